@@ -1,5 +1,6 @@
 """Importing this package registers every query (see ``quarry.plans.registry``)."""
 
 from quarry.plans.catalog import (  # noqa: F401
+    experiment_queries,
     tokenizer_queries,
 )

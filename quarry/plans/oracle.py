@@ -22,15 +22,20 @@ def duckdb_frame(sql: str, sf_dir: str) -> pd.DataFrame:
 
 
 def _cell(v) -> str:
+    import numpy as np
+    if isinstance(v, np.generic):
+        v = v.item()
+    if isinstance(v, np.ndarray):
+        v = v.tolist()
     if v is None:
         return "∅"
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
         r = round(v, 6)
-        return repr(0.0 if r == 0 else r)
-    if hasattr(v, "tolist") and not isinstance(v, (str, bytes)):
-        return repr([_cell(x) for x in v.tolist()])
+        if r == int(r) and abs(r) < 2 ** 53:
+            return str(int(r))  # a nullable integer column arrives as float from pandas
+        return repr(r)
     if isinstance(v, (list, tuple)):
         return repr([_cell(x) for x in v])
     if isinstance(v, (int,)) or type(v).__name__.startswith("int"):
