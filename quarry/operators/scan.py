@@ -151,3 +151,30 @@ def shift_by_index(df: DataFrame, keys: Sequence[str], idx: str, cols: Sequence[
     for k in keys:
         cond = cond & df[k].eqNullSafe(other["_s_" + k])
     return df.join(other, cond, "left").drop("_s_idx", *["_s_" + k for k in keys])
+
+
+def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx",
+                 num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """A dense 0-based index over the whole frame in ``order`` (unique), and the row count.
+
+    A range-partitioned sort spreads the rows over ``num_partitions`` tasks; each row's
+    position inside its partition comes from ``monotonically_increasing_id``; the per-partition
+    counts (one row per partition, a bounded table) give each partition its offset.  The
+    tagged rows are checkpointed first so that positions cannot move between the passes."""
+    n = num_partitions or _target_partitions(df)
+    cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    tagged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_pos", F.monotonically_increasing_id()))
+    tagged = cut_lineage(tagged)
+    counts = sorted((r["_pid"], r["n"]) for r in
+                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, total = [], 0
+    for pid, cnt in counts:
+        offsets += [F.lit(pid), F.lit(total)]
+        total += cnt
+    if not offsets:
+        return tagged.withColumn(out, F.lit(None).cast("long")).drop("_pid", "_pos"), 0
+    base = F.element_at(F.create_map(*offsets), F.col("_pid"))
+    local = F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return tagged.withColumn(out, (base + local).cast("long")).drop("_pid", "_pos"), total

@@ -68,3 +68,56 @@ def _finish_sql() -> None:
 
 
 _finish_sql()
+
+
+def conversation_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested cases (M4): each conversation turn carries ``cases`` = its lines as
+    ``struct(case_text)``; a null text gives a null array.  Built per row, so bounded."""
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    cases = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("case_text")))
+    return c.select("conv_id", "turn", cases.alias("cases"))
+
+
+def conversation_case_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON case lists (M3/M4): each turn written as a one-element JSON list of a case object
+    with ``text``, ``body`` (= ``role: text``) and ``conclusion`` (= role), then read back
+    through the JSON case reader's schema."""
+    from quarry.sources.tabular import CASE_ITEM
+    from pyspark.sql import types as T
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    item = F.struct(F.col("text").alias("text"),
+                    F.concat(F.col("role"), F.lit(": "), F.col("text")).alias("body"),
+                    F.col("role").alias("conclusion"))
+    js = c.select("conv_id", "turn", F.to_json(F.array(item)).alias("json"))
+    return js.select("conv_id", "turn", F.explode(F.from_json("json", T.ArrayType(CASE_ITEM))).alias("item"))
+
+
+def deposit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deposit records (M5) from ``pages``: one file per record; name by ``page_id % 3``
+    (cases.parquet, abstracts.parquet, an image zip), size = bytes of the html, link = url.
+    Even ids use the ``files``/``filename``/``filesize`` naming, odd ids ``entries``/``key``/
+    ``size``; every fourth record hides its link in a fallback field."""
+    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    pid = F.col("page_id")
+    name = (F.when(pid % 3 == 0, "cases.parquet").when(pid % 3 == 1, "abstracts.parquet")
+             .otherwise(F.concat(F.lit("images_"), pid.cast("string"), F.lit(".zip"))))
+    size = F.octet_length("html").cast("long")
+    v1 = F.struct(name.alias("filename"), size.alias("filesize"),
+                  F.struct(F.when(pid % 4 == 0, F.lit("")).otherwise(F.col("url")).alias("download")).alias("links"),
+                  F.when(pid % 4 == 0, F.col("url")).alias("download_url"))
+    v2 = F.struct(name.alias("key"), size.alias("size"),
+                  F.struct(F.when(pid % 4 != 3, F.col("url")).alias("content"),
+                           F.when(pid % 4 == 3, F.col("url")).alias("self")).alias("links"))
+    rec = F.when(pid % 2 == 0, F.to_json(F.struct(F.array(v1).alias("files")))) \
+           .otherwise(F.to_json(F.struct(F.array(v2).alias("entries"))))
+    return p.select(pid.alias("record_id"), rec.alias("record"))
+
+
+def cached_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cached downloads from ``pages``: size = html bytes, content type by ``page_id % 4``."""
+    p = read_table(spark, sf_dir, "pages", "page_id", "html")
+    pid = F.col("page_id")
+    ctype = (F.when(pid % 4 == 0, "application/zip").when(pid % 4 == 1, "application/octet-stream")
+              .when(pid % 4 == 2, "application/json").otherwise("text/html; charset=utf-8"))
+    return p.select("page_id", F.octet_length("html").cast("long").alias("size_bytes"),
+                    ctype.alias("content_type"))
