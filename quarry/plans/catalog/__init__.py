@@ -3,5 +3,6 @@
 from quarry.plans.catalog import (  # noqa: F401
     corpus_queries,
     experiment_queries,
+    runlog_queries,
     tokenizer_queries,
 )

@@ -27,3 +27,195 @@ def q_pretoken_counts_raw(spark, sf_dir):
     """C8 piece frequencies of the raw text with the full pattern (look-ahead, possessive)."""
     docs = read_table(spark, sf_dir, "documents", "text")
     return pretoken_counts(docs)
+
+
+# --------------------------------------------------------------------------- tokenizer
+import math  # noqa: E402
+
+from quarry.constants import BOS_TOKEN, EVAL_TOKENS, MAX_SEQ_LEN  # noqa: E402
+from quarry.operators import bpe, metrics, packing  # noqa: E402
+
+QUERY_VOCAB = 384          # 256 bytes + 124 merges + 4 specials (full 8192 via parameter)
+PACK_T = MAX_SEQ_LEN       # rows of T + 1 = 2049 ids, as the reference packs
+PACK_BUFFER_DOCS = 1000
+BATCH = 16                 # the reference's device batch
+_TOKENIZERS: dict[tuple[str, int], bpe.Tokenizer] = {}
+
+
+def train_split(spark, sf_dir):
+    from quarry.plans.catalog.corpus_queries import assigned_docs
+    a = assigned_docs(spark, sf_dir)
+    return a.where(F.col("split") == "train"), a.where(F.col("split") == "val")
+
+
+def tokenizer(spark, sf_dir, vocab: int = QUERY_VOCAB) -> bpe.Tokenizer:
+    """H2 on the training split (whole texts), trained once per session; the merge list is
+    bounded by the vocabulary size."""
+    key = (sf_dir, vocab)
+    if key not in _TOKENIZERS:
+        train, _ = train_split(spark, sf_dir)
+        _TOKENIZERS[key] = bpe.train_bpe(spark, train.select("text"), vocab_size=vocab)
+    return _TOKENIZERS[key]
+
+
+@register("bpe_pair_counts", sql=f"""
+WITH pieces AS (SELECT piece, CAST(count(*) AS BIGINT) AS n
+                FROM (SELECT unnest({S.pieces(S.normalize_ws('text'))}) AS piece FROM documents) GROUP BY piece),
+hexed AS (SELECT hex(encode(piece)) AS h, strlen(piece) AS nb, n FROM pieces WHERE strlen(piece) >= 2)
+SELECT CAST(('0x' || substr(h, 2 * i + 1, 2))::INTEGER AS INTEGER) AS "left",
+       CAST(('0x' || substr(h, 2 * i + 3, 2))::INTEGER AS INTEGER) AS "right",
+       CAST(sum(n) AS BIGINT) AS n
+FROM (SELECT h, n, unnest(range(nb - 1)) AS i FROM hexed) GROUP BY 1, 2""")
+def q_bpe_pair_counts(spark, sf_dir):
+    """The first round of BPE training — weighted byte-pair counts over all pieces of
+    whitespace-normalised documents."""
+    docs = read_table(spark, sf_dir, "documents", "text")
+    counts = pretoken_counts(docs.select(normalize_ws("text").alias("text")))
+    return bpe.pair_counts(bpe.word_table(counts))
+
+
+@register("train_bpe")
+def q_train_bpe(spark, sf_dir):
+    """H2 + M7: the learnt merges (rank, left, right, new id) of the training split."""
+    return bpe.merges_frame(spark, tokenizer(spark, sf_dir))
+
+
+@register("vocab_table")
+def q_vocab_table(spark, sf_dir):
+    """H3 + H4: vocabulary with decoded byte lengths (specials 0, last ids)."""
+    return bpe.vocab_frame(spark, tokenizer(spark, sf_dir))
+
+
+@register("vocab_size")
+def q_vocab_size(spark, sf_dir):
+    """H9: vocabulary size and the BOS id, from the vocabulary table."""
+    v = bpe.vocab_frame(spark, tokenizer(spark, sf_dir))
+    bos = F.lit(BOS_TOKEN).cast("binary")
+    return v.agg(F.count(F.lit(1)).alias("vocab_size"),
+                 F.max(F.when(F.col("is_special") & (F.col("token") == bos), F.col("token_id"))).alias("bos_id"))
+
+
+def encoded_docs(spark, sf_dir, split: str = "train", bos: bool = True):
+    train, val = train_split(spark, sf_dir)
+    docs = train if split == "train" else val
+    return bpe.encode(docs.select("doc_id", "idx", "text"), tokenizer(spark, sf_dir), prepend_bos=bos)
+
+
+@register("encode")
+def q_encode(spark, sf_dir):
+    """H5: token ids of every training document (ids, count, bytes)."""
+    e = encoded_docs(spark, sf_dir, bos=False)
+    return e.select("doc_id", "ids", F.size("ids").alias("n_tokens"), F.octet_length("text").alias("n_bytes"))
+
+
+@register("encode_prepend_bos")
+def q_encode_bos(spark, sf_dir):
+    """H6: ids with BOS in front."""
+    e = encoded_docs(spark, sf_dir, bos=True)
+    return e.select("doc_id", "ids", F.size("ids").alias("n_tokens"))
+
+
+@register("decode")
+def q_decode(spark, sf_dir):
+    """H7: ids of the validation documents decoded back to text."""
+    e = encoded_docs(spark, sf_dir, "val", bos=False)
+    return bpe.decode(e, tokenizer(spark, sf_dir)).select("doc_id", "decoded")
+
+
+@register("roundtrip_check")
+def q_roundtrip(spark, sf_dir):
+    """H8: decode(encode(text)) == text for every document of the corpus."""
+    from quarry.plans.catalog.corpus_queries import corpus_docs
+    return bpe.roundtrip_check(corpus_docs(spark, sf_dir), tokenizer(spark, sf_dir)) \
+              .groupBy("roundtrip_ok").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+def packed(spark, sf_dir, split: str = "train", epochs: int | None = None):
+    e = encoded_docs(spark, sf_dir, split, bos=True)
+    if epochs:
+        e = packing.repeat_epochs(e, epochs)
+    return packing.pack_best_fit(e, PACK_T, PACK_BUFFER_DOCS, order="idx")
+
+
+@register("pack_best_fit")
+def q_pack_best_fit(spark, sf_dir):
+    """Best-fit rows of T+1 = 2049 ids per pack (buffer 1,000 documents)."""
+    return packed(spark, sf_dir)
+
+
+@register("shift_targets")
+def q_shift_targets(spark, sf_dir):
+    """Inputs and targets of every packed row."""
+    return packing.shift_targets(packed(spark, sf_dir), PACK_T).select("pack_id", "row", "inputs", "targets")
+
+
+@register("batch_rows")
+def q_batch_rows(spark, sf_dir):
+    """I4: B = 16 rows per batch."""
+    return packing.batch_rows(packed(spark, sf_dir), BATCH).select("pack_id", "row", "batch")
+
+
+@register("pack_utilization")
+def q_pack_utilization(spark, sf_dir):
+    """Placed and cropped ids of the packer; placed + cropped = all input ids."""
+    u = packing.pack_utilization(packed(spark, sf_dir))
+    total = encoded_docs(spark, sf_dir, bos=True).agg(F.sum(F.size("ids")).cast("long").alias("n_input"))
+    return u.withColumn("n_input", F.lit(total.first()["n_input"]).cast("long"))   # one scalar
+
+
+@register("repeat_epochs")
+def q_repeat_epochs(spark, sf_dir):
+    """Two passes over the validation split, packed per epoch."""
+    return packed(spark, sf_dir, "val", epochs=2).groupBy("epoch").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.size("tokens")).cast("long").alias("n_ids"))
+
+
+@register("eval_steps")
+def q_eval_steps(spark, sf_dir):
+    """The validation rows one evaluation reads — EVAL_TOKENS // (B·T) = 640 batches of
+    16 rows — wrapping round the validation split in as many epochs as that takes."""
+    need = EVAL_TOKENS // (BATCH * PACK_T) * BATCH
+    per_epoch = packed(spark, sf_dir, "val").where("complete").count()
+    epochs = max(1, math.ceil(need / max(1, per_epoch)))
+    rows = packing.eval_rows(packed(spark, sf_dir, "val", epochs=epochs), BATCH, PACK_T, EVAL_TOKENS)
+    return rows.select("epoch", "pack_id", "row", "eval_row", "step", F.size("tokens").alias("n_ids"))
+
+
+@register("bits_per_byte_tokens")
+def q_bpb_tokens(spark, sf_dir):
+    """C10 (+ G1): BPB of validation tokens under add-one unigram losses learnt from the
+    training tokens, through the vocabulary's byte lengths (specials count 0)."""
+    tok = tokenizer(spark, sf_dir)
+    tr = encoded_docs(spark, sf_dir, "train", bos=True).select(F.explode("ids").alias("token_id"))
+    va = encoded_docs(spark, sf_dir, "val", bos=True).select(F.explode("ids").alias("token_id"))
+    tc = tr.groupBy("token_id").agg(F.count(F.lit(1)).alias("c"))
+    tot = tc.agg(F.sum("c").alias("N"), F.count(F.lit(1)).alias("V")).first()
+    denom = float(tot["N"] + tot["V"] + 1)
+    vc = va.groupBy("token_id").agg(F.count(F.lit(1)).alias("m"))
+    scored = vc.join(tc, "token_id", "left").select(
+        "token_id", (F.col("m") * -F.log((F.coalesce("c", F.lit(0)) + 1) / F.lit(denom))).alias("nll"))
+    return metrics.bits_per_byte(scored, bpe.vocab_frame(spark, tok))
+
+
+def _bpb_sql():
+    from quarry.plans.catalog.corpus_queries import SHARD_SQL
+    return SHARD_SQL + f""",
+p AS (SELECT split, unnest({S.pieces(S.normalize_ws('text'))}) AS piece FROM asg),
+tc AS (SELECT piece, count(*) AS c FROM p WHERE split = 'train' GROUP BY piece),
+tot AS (SELECT sum(c) AS nn, count(*) AS vv FROM tc),
+vc AS (SELECT piece, count(*) AS m FROM p WHERE split = 'val' GROUP BY piece),
+agg AS (SELECT sum(CASE WHEN strlen(piece) > 0 THEN m * -ln((coalesce(c, 0) + 1) / (nn + vv + 1)) ELSE 0 END) AS total_nats,
+               CAST(sum(m * strlen(piece)) AS BIGINT) AS total_bytes, CAST(sum(m) AS BIGINT) AS n_tokens
+        FROM vc LEFT JOIN tc USING (piece) CROSS JOIN tot)
+SELECT total_nats, total_bytes, n_tokens, total_nats / (ln(2) * total_bytes) AS bpb FROM agg"""
+
+
+@register("bits_per_byte", sql=_bpb_sql())
+def q_bits_per_byte(spark, sf_dir):
+    """C10 stand-in with an oracle: add-one unigram BPB over the pieces of whitespace-
+    normalised text, learnt on the train split and scored on the validation split."""
+    from quarry.operators.pretokenize import pieces_expr
+    from quarry.plans.catalog.corpus_queries import assigned_docs
+    a = assigned_docs(spark, sf_dir).select("split", normalize_ws("text").alias("text"))
+    ex = a.select("split", F.explode(pieces_expr("text")).alias("piece"))
+    return metrics.unigram_bpb(ex.where(F.col("split") == "train"), ex.where(F.col("split") == "val"))

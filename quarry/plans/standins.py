@@ -121,3 +121,28 @@ def cached_files(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(pid % 4 == 2, "application/json").otherwise("text/html; charset=utf-8"))
     return p.select("page_id", F.octet_length("html").cast("long").alias("size_bytes"),
                     ctype.alias("content_type"))
+
+
+FLOPS_PER_TOKEN = 6 * 50.3e6   # stand-in FLOPs per token: 6 × the sample model's 50.3 M parameters
+
+
+def step_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training telemetry from ``events``: run = user; steps ordered by (ts, event_id);
+    loss = value; dt = seconds since the run's previous event (0 for its first)."""
+    from quarry.operators.scan import dense_index, shift_by_index
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    e = e.withColumnRenamed("user_id", "run").withColumnRenamed("value", "loss")
+    e = dense_index(e, ["run"], ["ts", "event_id"], out="step")
+    e = shift_by_index(e, ["run"], "step", ["ts"], 1, "prev_")
+    dt = F.expr("timestampdiff(MICROSECOND, prev_ts, ts)") / F.lit(1e6)
+    return e.withColumn("dt", F.coalesce(dt, F.lit(0.0))).drop("prev_ts")
+
+
+STEP_SQL = r"""
+steps AS (
+  SELECT user_id AS run,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS step,
+         event_id, ts, event_type, value AS loss, props,
+         coalesce(CAST(epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS DOUBLE) / 1e6, 0.0) AS dt
+  FROM events)
+"""
