@@ -90,3 +90,15 @@ NA_WORDS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan"
 STATUS_KEEP, STATUS_DISCARD, STATUS_CRASH = "KEEP", "DISCARD", "CRASH"
 SUMMARY_KEYS = ["val_bpb", "training_seconds", "total_seconds", "peak_vram_mb",
                 "mfu_percent", "total_tokens_M", "num_steps", "num_params_M", "depth"]
+
+# --- fixed values: sandbox path policy (profile lists, $HOME unexpanded) -------------
+POLICY_ALLOW = ["$HOME/autoresearch-nono", "$HOME/.cache/autoresearch/ibd", "$HOME/.cache/autoresearch/tcga",
+                "$HOME/.cache/autoresearch/climbmix", "$HOME/.cache/torch", "$HOME/.cache/uv",
+                "$HOME/.cache/huggingface", "$HOME/.local/share/uv", "$HOME/.nv", "$HOME/.triton/cache",
+                "/tmp", "/dev/shm", "/proc/self/task"]
+POLICY_READ = ["/proc/driver/nvidia", "/proc/meminfo", "/proc/cpuinfo", "/proc/self", "/proc/version",
+               "/proc/sys/vm/overcommit_memory", "$HOME/shared-libs", "$HOME/.nvm", "$HOME/.local/bin",
+               "/usr/include", "/usr/local/cuda/include", "/usr/local/cuda/bin", "/sys/bus/pci", "/sys/devices",
+               "/sys/module/nvidia"]
+NO_DENIALS = "no denials recorded"
+EPHEMERAL_PROC = r"^/proc/[0-9]+(/.*)?$"

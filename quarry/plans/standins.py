@@ -146,3 +146,58 @@ steps AS (
          coalesce(CAST(epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS DOUBLE) / 1e6, 0.0) AS dt
   FROM events)
 """
+
+
+HOME = "/home/researcher"
+
+AUDIT_PATH_SQL = f"""
+CASE event_type
+  WHEN 'view' THEN '{HOME}/.cache/autoresearch/ibd/data/shard_' || k || '.parquet'
+  WHEN 'click' THEN '/tmp/run' || k || '.log'
+  WHEN 'purchase' THEN '{HOME}/autoresearch-nono/file' || k
+  WHEN 'signup' THEN CASE WHEN k % 2 = 0 THEN '/proc/meminfo' ELSE '/proc/' || k || '/status' END
+  ELSE CASE WHEN k % 2 = 0 THEN '/proc/' || k ELSE '{HOME}/.ssh/id_' || k END END"""
+
+AUDIT_SQL = f"""
+audit AS (
+  SELECT event_id AS op_id, user_id AS session, ts, event_type AS op, {AUDIT_PATH_SQL} AS path,
+         event_type = 'error' AS denied
+  FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events))
+"""
+
+
+def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit log from ``events``: session = user; op = event type; path by type under the
+    sandbox layout (cache, /tmp, repo, /proc, ~/.ssh); denied = error events."""
+    e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
+    k = F.get_json_object("props", "$.k").try_cast("long")
+    ks = k.cast("string")
+    et = F.col("event_type")
+    path = (F.when(et == "view", F.concat(F.lit(f"{HOME}/.cache/autoresearch/ibd/data/shard_"), ks, F.lit(".parquet")))
+             .when(et == "click", F.concat(F.lit("/tmp/run"), ks, F.lit(".log")))
+             .when(et == "purchase", F.concat(F.lit(f"{HOME}/autoresearch-nono/file"), ks))
+             .when(et == "signup", F.when(k % 2 == 0, F.lit("/proc/meminfo"))
+                   .otherwise(F.concat(F.lit("/proc/"), ks, F.lit("/status"))))
+             .otherwise(F.when(k % 2 == 0, F.concat(F.lit("/proc/"), ks))
+                        .otherwise(F.concat(F.lit(f"{HOME}/.ssh/id_"), ks))))
+    return e.select(F.col("event_id").alias("op_id"), F.col("user_id").alias("session"), "ts",
+                    et.alias("op"), path.alias("path"), (et == "error").alias("denied"))
+
+
+def signed_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Files and bundles from ``documents``: file ``doc_<id>.md`` holds the text; its bundle
+    (a DSSE envelope with a base64 in-toto payload) signs the text's SHA-256, except that
+    every tenth document was changed after signing (its bundle signs the text + '!') and
+    every seventeenth has no bundle."""
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".md"))
+    files = d.select(name.alias("name"), F.encode("text", "UTF-8").alias("content"))
+    signed_text = F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    stmt = F.to_json(F.struct(F.lit("https://in-toto.io/Statement/v1").alias("_type"),
+                              F.array(F.struct(name.alias("name"),
+                                               F.struct(F.sha2(F.encode(signed_text, "UTF-8"), 256).alias("sha256"))
+                                                .alias("digest"))).alias("subject")))
+    env = F.to_json(F.struct(F.struct(F.lit("application/vnd.in-toto+json").alias("payloadType"),
+                                      F.base64(F.encode(stmt, "UTF-8")).alias("payload")).alias("dsseEnvelope")))
+    bundles = d.where(F.col("doc_id") % 17 != 0).select(env.alias("bundle"))
+    return files, bundles
