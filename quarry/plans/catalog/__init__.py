@@ -5,5 +5,6 @@ from quarry.plans.catalog import (  # noqa: F401
     corpus_queries,
     experiment_queries,
     runlog_queries,
+    streaming_queries,
     tokenizer_queries,
 )
