@@ -12,8 +12,9 @@ def scan_text_parquet(spark: SparkSession, path: str, *extra: str) -> DataFrame:
 
 
 def scan_split(spark: SparkSession, root: str, split: str) -> DataFrame:
-    """One split of a ``split=…/shard=…`` layout; the filter prunes partitions."""
-    return spark.read.parquet(root).where(F.col("split") == F.lit(split))
+    """One split of a ``split=…/shard=…`` layout; the filter prunes partitions and only
+    ``*.parquet`` files are read (never a half-written ``*.tmp``)."""
+    return spark.read.option("pathGlobFilter", "*.parquet").parquet(root).where(F.col("split") == F.lit(split))
 
 
 def list_shards(spark: SparkSession, root: str) -> DataFrame:
