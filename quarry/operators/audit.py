@@ -32,13 +32,30 @@ def path_prefixes(path_col: str = "path"):
                        lambda k: F.array_join(F.slice(parts, 1, k), "/"))
 
 
+MAX_RULES_INLINE = 10_000      # a policy up to this size is looked up in a map literal
+
+
 def policy_match(ops: DataFrame, rules: DataFrame, key: str = "op_id") -> DataFrame:
     """The longest rule prefix covering each path (whole components), ``allow`` over
     ``read`` on the same prefix; no rule → denied.  Each path is expanded to its component
-    prefixes (bounded by depth) and equi-joined with the rules — no theta join.  The rule
-    table is broadcast after a size check, else shuffled."""
-    ex = ops.select(key, F.explode(path_prefixes()).alias("prefix"))
+    prefixes (bounded by depth), shortest first.  A policy of bounded size (checked) becomes
+    a map literal and the lookup is one projection — no join, no shuffle; a larger one is
+    equi-joined with the prefixes (broadcast when it fits)."""
     n_rules = rules.count()
+    if n_rules <= MAX_RULES_INLINE:
+        best: dict[str, str] = {}
+        for r in rules.collect():
+            if best.get(r["prefix"]) != "allow":
+                best[r["prefix"]] = r["kind"]
+        table = F.create_map(*[F.lit(x) for kv in sorted(best.items()) for x in kv])
+        hits = F.filter(F.transform(path_prefixes(), lambda p: F.struct(p.alias("prefix"),
+                                                                       F.element_at(table, p).alias("kind"))),
+                        lambda h: h["kind"].isNotNull())
+        last = F.element_at(hits, -1)
+        return (ops.withColumn("_h", F.when(F.size(hits) > 0, last))
+                   .withColumn("matched_prefix", F.col("_h.prefix"))
+                   .withColumn("access", F.coalesce(F.col("_h.kind"), F.lit("denied"))).drop("_h"))
+    ex = ops.select(key, F.explode(path_prefixes()).alias("prefix"))
     r = F.broadcast(rules) if n_rules <= MAX_RULES_BROADCAST else rules
     hits = ex.join(r, "prefix", "inner")
     rank = F.struct(F.length("prefix").alias("len"), (F.col("kind") == "allow").alias("is_allow"),

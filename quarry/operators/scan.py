@@ -1,7 +1,7 @@
 """Skew-safe ordered scans.
 
 Any group (a run, a user, a file) may hold a third of all rows, so nothing here puts a
-whole group into one task.  A window ``partitionBy(group)`` would.  Instead:
+whole group into one task.  Group keys must be non-null (they are joined by equality).  A window ``partitionBy(group)`` would.  Instead:
 
 * ``dense_index`` numbers rows inside each group in a given order.  It range-partitions on
   (group, order), which cuts a hot group into many partitions, tags each row with its
@@ -29,13 +29,6 @@ DEFAULT_CHUNK = 4096
 DEFAULT_SALT = 16
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
 def _target_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -58,14 +51,11 @@ def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
                      .agg(F.min("_pos").alias("_p0"), F.count(F.lit(1)).alias("_n")))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    s = summary.select(*[F.col(k).alias("_k_" + k) for k in keys], "_pid", "_p0", "_base") \
-               .withColumnRenamed("_pid", "_spid")
-    cond = tagged["_pid"] == s["_spid"]
-    for k in keys:
-        cond = cond & tagged[k].eqNullSafe(s["_k_" + k])
-    joined = tagged.join(s, cond, "inner")
+    s = summary.select(*keys, F.col("_pid"), "_p0", "_base")
+    # plain equi-join on (partition, group): group keys are non-null
+    joined = tagged.join(s, ["_pid", *keys], "inner")
     return (joined.withColumn(out, (F.col("_base") + F.col("_pos") - F.col("_p0")).cast("long"))
-                  .drop("_pid", "_pos", "_spid", "_p0", "_base", *["_k_" + k for k in keys]))
+                  .drop("_pid", "_pos", "_p0", "_base"))
 
 
 _COMBINE = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
@@ -91,17 +81,15 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], idx: str,
     summary = d.groupBy(*keys, "_chunk").agg(*parts)
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        *[F.col(k).alias("_c_" + k) for k in keys], F.col("_chunk").alias("_c_chunk"),
+        *keys, "_chunk",
         *[(_COMBINE[fn])(F.col(f"_part{i}")).over(earlier).alias(f"_carry{i}")
           for i, (_, fn, _, _) in enumerate(specs)])
     local_w = Window.partitionBy(*keys, "_chunk").orderBy(idx)
     for i, (_, fn, _, inclusive) in enumerate(specs):
         frame = local_w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
         d = d.withColumn(f"_loc{i}", (_LOCAL[fn])(F.col(f"_v{i}")).over(frame))
-    cond = d["_chunk"] == carry["_c_chunk"]
-    for k in keys:
-        cond = cond & d[k].eqNullSafe(carry["_c_" + k])
-    j = d.join(carry, cond, "left")
+    # an equi-join on (keys, chunk) reuses the window's hash partitioning: no extra exchange
+    j = d.join(carry, [*keys, "_chunk"], "left")
     for i, (out, fn, _, _) in enumerate(specs):
         a, b = F.col(f"_loc{i}"), F.col(f"_carry{i}")
         if fn == "min":
@@ -114,7 +102,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], idx: str,
             v = F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
                 F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
         j = j.withColumn(out, v)
-    drop = ["_chunk", "_c_chunk", *["_c_" + k for k in keys]]
+    drop = ["_chunk"]
     for i in range(len(specs)):
         drop += [f"_v{i}", f"_loc{i}", f"_carry{i}"]
     return j.drop(*drop)
@@ -144,13 +132,9 @@ def shift_by_index(df: DataFrame, keys: Sequence[str], idx: str, cols: Sequence[
                    offset: int = 1, prefix: str = "prev_") -> DataFrame:
     """``lag(col, offset)`` over a dense index, as a left equi-join on (keys, idx - offset)."""
     keys = list(keys)
-    other = df.select(*[F.col(k).alias("_s_" + k) for k in keys],
-                      (F.col(idx) + F.lit(offset)).alias("_s_idx"),
+    other = df.select(*keys, (F.col(idx) + F.lit(offset)).alias(idx),
                       *[F.col(c).alias(prefix + c) for c in cols])
-    cond = df[idx] == other["_s_idx"]
-    for k in keys:
-        cond = cond & df[k].eqNullSafe(other["_s_" + k])
-    return df.join(other, cond, "left").drop("_s_idx", *["_s_" + k for k in keys])
+    return df.join(other, [*keys, idx], "left")
 
 
 def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx",
