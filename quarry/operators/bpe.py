@@ -51,9 +51,10 @@ def bytes_of(piece: Column) -> Column:
 
 
 def word_table(counts: DataFrame, piece: str = "piece", n: str = "n") -> DataFrame:
-    """Words as byte-id arrays with their counts; one-symbol words can never merge."""
-    return (counts.select(bytes_of(F.col(piece)).alias("symbols"), F.col(n).cast("long").alias("n"))
-                  .where(F.size("symbols") >= 2))
+    """Words as byte-id arrays with their counts; one-symbol words can never merge.  The
+    filter is on ``octet_length`` (cheap): Catalyst may push it below the piece aggregation."""
+    return (counts.where(F.octet_length(piece) >= 2)
+                  .select(bytes_of(F.col(piece)).alias("symbols"), F.col(n).cast("long").alias("n")))
 
 
 def pair_counts(words: DataFrame) -> DataFrame:

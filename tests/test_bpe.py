@@ -105,3 +105,13 @@ def test_pretoken_pieces_equal_python_regex(spark):
         for p in regex.findall(SPLIT_PATTERN, t):
             exp[p] = exp.get(p, 0) + 1
     assert got == exp
+
+
+def test_save_and_load_tokenizer(spark, tmp_path):
+    from quarry.sources.vocab_io import load_tokenizer, save_tokenizer
+    tok = bpe.Tokenizer(merges=[(104, 101), (256, 108), (32, 116)])
+    save_tokenizer(spark, tok, str(tmp_path / "tok"))
+    back = load_tokenizer(spark, str(tmp_path / "tok"))
+    assert back.merges == tok.merges and back.bos_id == tok.bos_id
+    v = spark.read.parquet(str(tmp_path / "tok" / "vocab"))
+    assert v.count() == tok.vocab_size and v.where("is_special").agg({"n_bytes": "max"}).first()[0] == 0
