@@ -70,6 +70,11 @@ def pair_counts(words: DataFrame) -> DataFrame:
 def apply_merges(words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
     """Replace every (left, right) of ``batch`` by its new id, left to right, without overlap
     (batch pairs share no symbol, so one pass applies all of them)."""
+    return words.select(merge_expr(batch).alias("symbols"), "n").where(F.size("symbols") >= 2)
+
+
+def merge_expr(batch: list[tuple[int, int, int]]) -> Column:
+    """The merged ``symbols`` array as one native expression."""
     kv = []
     for left, right, new in batch:
         kv += [F.lit(left * ID_SHIFT + right).cast("long"), F.lit(new)]
@@ -86,8 +91,16 @@ def apply_merges(words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFra
                  .otherwise(F.struct(F.array_append(acc["out"], cur).alias("out"),
                                      F.lit(False).alias("skip"))))
 
-    merged = F.aggregate(F.sequence(F.lit(0), F.size(sym) - 1), init, step, lambda acc: acc["out"])
-    return words.select(merged.alias("symbols"), "n").where(F.size("symbols") >= 2)
+    return F.aggregate(F.sequence(F.lit(0), F.size(sym) - 1), init, step, lambda acc: acc["out"])
+
+
+def _signed_pairs(sym: Column, sign: int) -> Column:
+    """Adjacent pairs of ``sym`` tagged ±1.  ``sequence(0, -1)`` counts down in Spark, so a
+    one-symbol array would yield a pair with a null side: those are filtered out."""
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(sym) - 2, F.lit(0))),
+                        lambda i: F.struct(F.get(sym, i).alias("left"), F.get(sym, i + 1).alias("right"),
+                                           F.lit(sign).alias("sign")))
+    return F.filter(pairs, lambda p: p["right"].isNotNull())
 
 
 def select_batch(ranked: list[tuple[int, int, int]], complete: bool) -> list[tuple[int, int, int]]:
@@ -154,20 +167,29 @@ def _word_partitions(spark: SparkSession) -> int:
 
 def train_bpe(spark: SparkSession, texts: DataFrame, vocab_size: int = VOCAB_SIZE,
               text: str = "text", top_k: int = 4096, pattern: str = SPLIT_PATTERN,
-              counts: DataFrame | None = None, log=None) -> Tokenizer:
-    """H2: learn ``vocab_size - len(specials) - 256`` merges from ``texts``."""
+              counts: DataFrame | None = None, log=None, incremental: bool = True) -> Tokenizer:
+    """H2: learn ``vocab_size - len(specials) - 256`` merges from ``texts``.
+
+    With ``incremental`` the pair-count table is kept between rounds: each round is one
+    projection of the words (merged symbols, and whether anything merged); only the words
+    that changed contribute pair deltas (new pairs minus old pairs) to the table, instead of
+    every pair of every word being exploded again.  Each generation refers to the previous
+    one once, so plans grow linearly until the periodic checkpoint cuts them."""
     tok = Tokenizer(pattern=pattern)
     n_merges = vocab_size - len(tok.specials) - 256
     if counts is None:
         counts = pretoken_counts(texts, text, pattern)
-    words = cut_lineage(word_table(counts).repartition(_word_partitions(spark)))
-    next_id, rounds, previous = 256, 0, None
+    parts = _word_partitions(spark)
+    words = cut_lineage(word_table(counts).repartition(parts))
+    pairs = cut_lineage(pair_counts(words)) if incremental else None
+    next_id, rounds, stale, prev_step = 256, 0, [], None
     while len(tok.merges) < n_merges:
-        ranked_df = pair_counts(words).orderBy(F.desc("n"), "left", "right").limit(top_k + 1)
+        table = pairs if incremental else pair_counts(words)
+        ranked_df = table.orderBy(F.desc("n"), "left", "right").limit(top_k + 1)
         rows = [(r["left"], r["right"], r["n"]) for r in ranked_df.collect()]
-        if previous is not None:          # ``words`` is materialised now; its parent can go
-            previous.unpersist()
-            previous = None
+        for old in stale:                 # the current generation is materialised now
+            old.unpersist()
+        stale = []
         if not rows:
             break
         complete = len(rows) <= top_k
@@ -178,12 +200,31 @@ def train_bpe(spark: SparkSession, texts: DataFrame, vocab_size: int = VOCAB_SIZ
             tok.merges.append((left, right))
             next_id += 1
         rounds += 1
-        # each round starts from the last round's cached words (a short plan); a reliable
-        # checkpoint every few rounds bounds the lineage a lost executor would replay
-        parent = words
-        words = apply_merges(words, plan)
-        words = cut_lineage(words) if rounds % CHECKPOINT_EVERY == 0 else words.persist()
-        previous = parent
+        checkpoint = rounds % CHECKPOINT_EVERY == 0
+        if incremental:
+            step = words.select("symbols", "n", merge_expr(plan).alias("_new"))
+            step = step.withColumn("_hit", F.size("_new") < F.size("symbols")).persist()
+            changed = step.where("_hit").select(
+                "n", F.explode(F.concat(_signed_pairs(F.col("symbols"), -1),
+                                        _signed_pairs(F.col("_new"), 1))).alias("p"))
+            delta = changed.select(F.col("p.left").alias("left"), F.col("p.right").alias("right"),
+                                   (F.col("p.sign") * F.col("n")).alias("n"))
+            new_pairs = (pairs.unionByName(delta).groupBy("left", "right")
+                              .agg(F.sum("n").alias("n")).where(F.col("n") > 0))
+            new_words = step.select(F.col("_new").alias("symbols"), "n").where(F.size("symbols") >= 2)
+            # release the previous generation after the next round has materialised this one
+            stale = [x for x in (prev_step, pairs) if x is not None]
+            if checkpoint:
+                words, pairs = cut_lineage(new_words), cut_lineage(new_pairs)
+                step.unpersist()
+                prev_step = None
+            else:
+                words, pairs = new_words, new_pairs.persist()
+                prev_step = step
+        else:
+            stale = [words]
+            merged = apply_merges(words, plan)
+            words = cut_lineage(merged) if checkpoint else merged.persist()
         if log:
             log(rounds, len(tok.merges), batch)
     return tok

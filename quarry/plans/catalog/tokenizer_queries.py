@@ -175,8 +175,10 @@ def q_eval_steps(spark, sf_dir):
     """The validation rows one evaluation reads — EVAL_TOKENS // (B·T) = 640 batches of
     16 rows — wrapping round the validation split in as many epochs as that takes."""
     need = EVAL_TOKENS // (BATCH * PACK_T) * BATCH
-    per_epoch = packed(spark, sf_dir, "val").where("complete").count()
-    epochs = max(1, math.ceil(need / max(1, per_epoch)))
+    epochs, have = 1, packed(spark, sf_dir, "val").where("complete").count()
+    while have < need and have > 0:      # packs are re-hashed per epoch: re-count after growing
+        epochs = max(epochs + 1, math.ceil(need * epochs / have))
+        have = packed(spark, sf_dir, "val", epochs=epochs).where("complete").count()
     rows = packing.eval_rows(packed(spark, sf_dir, "val", epochs=epochs), BATCH, PACK_T, EVAL_TOKENS)
     return rows.select("epoch", "pack_id", "row", "eval_row", "step", F.size("tokens").alias("n_ids"))
 

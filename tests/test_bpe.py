@@ -54,8 +54,8 @@ def test_batched_equals_sequential(spark, seed):
     corpus = random_corpus(seed)
     counts = spark.createDataFrame(corpus, "piece string, n long")
     expect = sequential_bpe({tuple(w.encode()): n for w, n in corpus}, 25)
-    for top_k in (3, 4096):          # a small top_k exercises the bound for unseen pairs
-        tok = bpe.train_bpe(spark, None, vocab_size=256 + 4 + 25, counts=counts, top_k=top_k)
+    for top_k, inc in ((3, True), (4096, True), (4096, False)):   # small top_k: unseen-pair bound
+        tok = bpe.train_bpe(spark, None, vocab_size=256 + 4 + 25, counts=counts, top_k=top_k, incremental=inc)
         assert tok.merges == expect[:len(tok.merges)]
         assert len(tok.merges) == len(expect)
 
