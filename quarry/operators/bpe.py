@@ -91,7 +91,10 @@ def merge_expr(batch: list[tuple[int, int, int]]) -> Column:
                  .otherwise(F.struct(F.array_append(acc["out"], cur).alias("out"),
                                      F.lit(False).alias("skip"))))
 
-    return F.aggregate(F.sequence(F.lit(0), F.size(sym) - 1), init, step, lambda acc: acc["out"])
+    merged = F.aggregate(F.sequence(F.lit(0), F.size(sym) - 1), init, step, lambda acc: acc["out"])
+    # a word without any batch pair's left symbol cannot change: skip the interpreted fold
+    lefts = F.array(*[F.lit(v) for v in sorted({left for left, _, _ in batch})])
+    return F.when(F.arrays_overlap(sym, lefts), merged).otherwise(sym)
 
 
 def _signed_pairs(sym: Column, sign: int) -> Column:
