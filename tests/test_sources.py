@@ -70,3 +70,14 @@ def test_flag_suspect(spark):
     f = spark.createDataFrame([(1, 500, "application/zip"), (2, 50_000, "text/html"), (3, 50_000, None)],
                               "id int, size_bytes long, content_type string")
     assert [r["keep"] for r in flag_suspect_files(f).orderBy("id").collect()] == [False, False, True]
+
+
+def test_prepare_corpus_observes_counts(spark, tmp_path):
+    from quarry.plans.prepare import prepare_corpus
+    a = spark.range(150).select(F.col("id").alias("doc_key"), F.repeat(F.lit("abc "), 30).alias("text"))
+    b = spark.range(150, 260).select(F.col("id").alias("doc_key"), F.repeat(F.lit("xyz "), (F.col("id") % 40).cast("int")).alias("text"))
+    counts = prepare_corpus({"a": a, "b": b}, str(tmp_path / "out"), docs_per_shard=100)
+    long_b = sum(1 for i in range(150, 260) if 4 * (i % 40) > 100)
+    assert counts["n_docs"] == 150 + long_b and counts["n_val"] == 50
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == counts["n_docs"] and set(back.columns) >= {"text", "source", "split", "shard"}
