@@ -26,15 +26,34 @@ def fallback_string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
 
 
-def text_columns(df: DataFrame, words: Sequence[str] = TEXT_COLUMN_WORDS) -> list[str]:
-    return pick_columns_by_keyword(df, words) or fallback_string_columns(df)
+def object_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
+    """B2 for untyped sources (CSV): pandas would type a column numeric when every non-null
+    value parses as a number (and an all-missing column as float), so only columns with at
+    least one non-numeric value are text.  One aggregate pass over the string columns."""
+    cols = list(cols) if cols is not None else fallback_string_columns(df)
+    if not cols:
+        return []
+    row = df.agg(*[F.count_if(F.col(f"`{c}`").isNotNull() &
+                              F.col(f"`{c}`").try_cast("double").isNull()).alias(f"_{i}")
+                   for i, c in enumerate(cols)]).first()
+    return [c for i, c in enumerate(cols) if row[f"_{i}"] > 0]
+
+
+def text_columns(df: DataFrame, words: Sequence[str] = TEXT_COLUMN_WORDS,
+                 untyped: bool = False) -> list[str]:
+    """B1, else B2 (for an untyped source, the columns pandas would read as text)."""
+    picked = pick_columns_by_keyword(df, words)
+    if picked:
+        return picked
+    return object_columns(df) if untyped else fallback_string_columns(df)
 
 
 def combine_text_columns(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None,
-                         min_chars: int = MIN_DOC_CHARS, out: str = "text") -> DataFrame:
+                         min_chars: int = MIN_DOC_CHARS, out: str = "text",
+                         untyped: bool = False) -> DataFrame:
     """B5 + B8: strip each text column, drop null / ``nan`` / empty, join with a blank line,
     keep documents longer than ``min_chars``."""
-    cols = list(cols) if cols is not None else text_columns(df.drop(*keys))
+    cols = list(cols) if cols is not None else text_columns(df.drop(*keys), untyped=untyped)
     if not cols:
         return df.select(*keys, F.lit(None).cast("string").alias(out)).where(F.lit(False))
     return (df.select(*keys, combine_texts(cols).alias(out))
