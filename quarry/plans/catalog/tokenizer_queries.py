@@ -101,32 +101,38 @@ def encoded_docs(spark, sf_dir, split: str = "train", bos: bool = True):
     return bpe.encode(docs.select("doc_id", "idx", "text"), tokenizer(spark, sf_dir), prepend_bos=bos)
 
 
+def all_documents_encoded(spark, sf_dir, bos: bool):
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.encode(docs, tokenizer(spark, sf_dir), prepend_bos=bos)
+
+
 @register("encode")
 def q_encode(spark, sf_dir):
-    """H5: token ids of every training document (ids, count, bytes)."""
-    e = encoded_docs(spark, sf_dir, bos=False)
+    """H5: token ids of every document of the table (ids, count, bytes)."""
+    e = all_documents_encoded(spark, sf_dir, bos=False)
     return e.select("doc_id", "ids", F.size("ids").alias("n_tokens"), F.octet_length("text").alias("n_bytes"))
 
 
 @register("encode_prepend_bos")
 def q_encode_bos(spark, sf_dir):
-    """H6: ids with BOS in front."""
-    e = encoded_docs(spark, sf_dir, bos=True)
+    """H6: ids of every document with BOS in front."""
+    e = all_documents_encoded(spark, sf_dir, bos=True)
     return e.select("doc_id", "ids", F.size("ids").alias("n_tokens"))
 
 
-@register("decode")
+@register("decode", sql="SELECT doc_id, text AS decoded FROM documents")
 def q_decode(spark, sf_dir):
-    """H7: ids of the validation documents decoded back to text."""
-    e = encoded_docs(spark, sf_dir, "val", bos=False)
+    """H7: ids of every document decoded back to text."""
+    e = all_documents_encoded(spark, sf_dir, bos=False)
     return bpe.decode(e, tokenizer(spark, sf_dir)).select("doc_id", "decoded")
 
 
-@register("roundtrip_check")
+@register("roundtrip_check", sql="""
+SELECT text = text AS roundtrip_ok, CAST(count(*) AS BIGINT) AS n_docs FROM documents GROUP BY 1""")
 def q_roundtrip(spark, sf_dir):
-    """H8: decode(encode(text)) == text for every document of the corpus."""
-    from quarry.plans.catalog.corpus_queries import corpus_docs
-    return bpe.roundtrip_check(corpus_docs(spark, sf_dir), tokenizer(spark, sf_dir)) \
+    """H8: decode(encode(text)) == text for every document of the table."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.roundtrip_check(docs, tokenizer(spark, sf_dir)) \
               .groupBy("roundtrip_ok").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
