@@ -77,3 +77,26 @@ def q_scan_run_log(spark, sf_dir):
     lines = scan_run_log(spark, root)
     lines = lines.withColumn("run", F.regexp_extract("run", r"run=([0-9]+)/", 1).cast("long"))
     return parse_step_lines(lines).select("run", "step", "tok_sec", "epoch")
+
+
+@register("scan_experiment_log", sql=__import__("quarry.plans.catalog.experiment_queries",
+                                               fromlist=["W"]).W + "SELECT * FROM log")
+def q_scan_experiment_log(spark, sf_dir):
+    """A14 (+ B12, B13): the stand-in logs written as one ``results.tsv`` per run (header,
+    tab-separated, in log order), read back with ``idx`` from the line position."""
+    from quarry.operators.experiments import normalize_log
+    from quarry.plans.standins import raw_experiment_log
+    from quarry.sources.tabular import LOG_COLUMNS, scan_experiment_logs
+    root = os.path.join(scratch_dir(spark, "results"), "logs")
+    raw = raw_experiment_log(spark, sf_dir)
+    # a TSV field cannot hold a tab or a line break: a writer replaces them by a blank
+    line = F.concat_ws("\t", *[F.regexp_replace(F.col(c).cast("string"), "[\t\r\n]", " ")
+                               for c in LOG_COLUMNS])
+    header = F.lit("\t".join(LOG_COLUMNS))
+    body = raw.select("run", "idx", line.alias("line"))
+    heads = raw.select("run").distinct().select("run", F.lit(-1).cast("long").alias("idx"), header.alias("line"))
+    (body.unionByName(heads).repartition("run").sortWithinPartitions("run", "idx")
+         .select("run", "line").write.partitionBy("run").text(root))
+    logs = scan_experiment_logs(spark, root)
+    logs = logs.withColumn("run", F.regexp_extract("run", r"run=([0-9]+)/", 1).cast("long"))
+    return normalize_log(logs)
