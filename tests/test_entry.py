@@ -8,4 +8,3 @@ def test_entry_and_registry(spark):
     assert df.count() > 0
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q) and len(q) >= 80
-    assert not any(n.startswith("op") or "pipeline" in n for n in q)
