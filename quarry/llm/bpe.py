@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.common import list_array, slices, texts
 
@@ -159,7 +160,7 @@ def decode(tokens: DataFrame, model: Broadcast, ids: str = "token_ids", out: str
     Null ids decode to no bytes."""
     keep = [c for c in tokens.columns if c != out]
     src = tokens.select(*keep)
-    schema = src.schema.add(out, "binary")
+    schema = T.StructType([*src.schema.fields, T.StructField(out, T.BinaryType())])
 
     def run(batches):
         enc = encoder(model)
