@@ -1,4 +1,13 @@
 """Importing this module registers every query of the package."""
 
-from quarry.llm import q_bpe, q_quality, q_secrets, q_tokens, q_toxicity  # noqa: F401
+from quarry.llm import (  # noqa: F401
+    q_bpe,
+    q_html,
+    q_lines,
+    q_quality,
+    q_secrets,
+    q_tokens,
+    q_topk,
+    q_toxicity,
+)
 from quarry.llm.registry import QUERIES, SQL  # noqa: F401
