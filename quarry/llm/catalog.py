@@ -4,6 +4,7 @@ from quarry.llm import (  # noqa: F401
     q_bpe,
     q_html,
     q_lines,
+    q_near_dup,
     q_quality,
     q_secrets,
     q_tokens,
