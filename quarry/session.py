@@ -70,7 +70,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, *columns) -> DataFrame:
     """Read one driver table; naming ``columns`` prunes the parquet scan to them."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
