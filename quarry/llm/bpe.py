@@ -173,12 +173,12 @@ def decode(tokens: DataFrame, model: Broadcast, ids: str = "token_ids", out: str
     return src.mapInArrow(run, schema)
 
 
-def digests(tokens: DataFrame) -> DataFrame:
-    """Counts and digests of ``token_ids`` and ``decoded``."""
+def digests(tokens: DataFrame, *more: str) -> DataFrame:
+    """Counts and digests of ``token_ids`` and ``decoded``, then the columns ``more``."""
     ids = F.coalesce("token_ids", F.array().cast("array<int>"))
     return tokens.select(
         "doc_id", F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more)
 
 

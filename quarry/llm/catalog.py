@@ -1,9 +1,11 @@
 """Importing this module registers every query of the package."""
 
+import corpus_pipeline
 from quarry.llm import (  # noqa: F401
     q_bpe,
     q_html,
     q_lines,
+    q_mixing,
     q_near_dup,
     q_quality,
     q_secrets,
@@ -12,3 +14,7 @@ from quarry.llm import (  # noqa: F401
     q_toxicity,
 )
 from quarry.llm.registry import QUERIES, SQL  # noqa: F401
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
