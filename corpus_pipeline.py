@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from quarry.llm import bpe, line_spread, mixing, near_dup, toxicity  # noqa: E402
-from quarry.llm.common import written  # noqa: E402
+from quarry.llm.common import fresh, written  # noqa: E402
 from quarry.llm.q_bpe import RANKS  # noqa: E402
 from quarry.llm.q_mixing import WEIGHTS, labelled  # noqa: E402
 from quarry.llm.q_toxicity import learned  # noqa: E402
@@ -28,26 +28,25 @@ from quarry.llm.q_toxicity import learned  # noqa: E402
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under their language's threshold."""
     net = learned(spark, sf_dir)
-    rows = toxicity.score(docs, net, keep=tuple(docs.columns), out="_score")
-    return rows.where(F.col("_score") < toxicity.threshold(net)).select(*docs.columns)
+    at = fresh(docs, "score")
+    rows = toxicity.score(docs, net, keep=tuple(docs.columns), out=at)
+    return rows.where(F.col(at) < toxicity.threshold(net)).select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines; those that had nothing else go, empty ones stay."""
     rows = line_spread.remove_boilerplate(docs)
     emptied = (F.col("n_removed") > 0) & (F.trim("text") == "")
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
-                               .otherwise(F.col("n_chars")))
-    return rows.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+    rows = rows.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
+                           .otherwise(F.col("n_chars")))
+    return rows.where(~F.coalesce(emptied, F.lit(False))).select(*[c for c in docs.columns if c in rows.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class, once; documents without an id stay."""
     classes = near_dup.near_duplicates(docs)
-    keep = written(classes.where(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("_n")), "kept-ids")
-    one = docs.join(keep, "doc_id").dropDuplicates(["doc_id"]).select(*docs.columns)
+    keep = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    one = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 

@@ -8,6 +8,7 @@ from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
 
@@ -61,3 +62,16 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, chars: int = 4_000_000)
                 start, total = i, 0
             total += int(n)
         yield batch.slice(start)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def packed(df: DataFrame, name: str = "row") -> DataFrame:
+    """All columns of ``df`` in one struct, so that no helper column can clash with them."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))

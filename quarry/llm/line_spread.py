@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import written
+from quarry.llm.common import packed, written
 
 MIN_SITES = 10
 MIN_WORDS = 3                            # shorter lines are headings and the like
@@ -60,18 +60,19 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", key: str = "doc_id",
     never go.  A null text stays null, an empty one empty.  A null site is no site; a row with a
     null key is counted but keeps its lines.  Repeated rows of a key are treated alike: all of the
     keeper's keep the line.  Very long texts are read whole; an empty table gives no rows."""
-    src = docs.drop("n_lines", "n_removed")
-    lines = spread_lines(src, text, key, site, min_sites, min_words)
+    lines = spread_lines(docs, text, key, site, min_sites, min_words)
     bad = boilerplate(lines, min_sites)
     gone = (lines.join(bad, "h").where(F.col("key") != F.col("keeper"))
-            .groupBy("key").agg(F.collect_set("h").alias("_gone")).withColumnRenamed("key", "_key"))
-    rows = src.join(gone, F.col(key) == F.col("_key"), "left").drop("_key")
-    parts = F.split(F.col(text), "\n")
-    kept = F.filter(parts, lambda x: ~(eligible(x, min_words) & F.array_contains("_gone", line_hash(x))))
+            .groupBy("key").agg(F.collect_set("h").alias("gone")))
+    rows = packed(docs).join(gone, F.col("row")[key] == F.col("key"), "left")
+    parts = F.split(F.col("row")[text], "\n")
+    kept = F.filter(parts, lambda x: ~(eligible(x, min_words) & F.array_contains("gone", line_hash(x))))
     zero = F.lit(0).cast("long")
-    touched = F.col("_kept").isNotNull()
-    return (rows.withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
-            .withColumn("n_lines", F.when(F.col(text).isNull(), zero).otherwise(F.size(parts).cast("long")))
-            .withColumn("n_removed", F.when(touched, F.col("n_lines") - F.size("_kept")).otherwise(zero))
-            .withColumn(text, F.when(touched, F.array_join("_kept", "\n")).otherwise(F.col(text)))
-            .drop("_gone", "_kept"))
+    touched = F.col("kept").isNotNull()
+    rows = (rows.withColumn("kept", F.when(F.col("gone").isNotNull(), kept))
+            .withColumn("n_lines", F.when(F.col("row")[text].isNull(), zero).otherwise(F.size(parts).cast("long")))
+            .withColumn("n_removed", F.when(touched, F.col("n_lines") - F.size("kept")).otherwise(zero))
+            .withColumn("clean", F.when(touched, F.array_join("kept", "\n")).otherwise(F.col("row")[text])))
+    cols = [F.col("clean").alias(c) if c == text else F.col("row")[c].alias(c)
+            for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return rows.select(*cols, "n_lines", "n_removed")

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import written
+from quarry.llm.common import fresh, packed, written
 
 BUCKETS = 4096                 # hashed words of the classifier
 MAX_LABELLED = 20_000          # labelled rows it learns from, by hash
@@ -68,20 +68,22 @@ def fit_domains(labelled: DataFrame, text: str, domain: str, key: str) -> tuple[
 def posteriors(docs: DataFrame, model, text: str, keep: list[str]) -> DataFrame:
     """``keep``, ``tokens`` (words) and ``p`` (array of one double a domain, summing to 1)."""
     domains, logs, priors = model
+    rows = packed(docs.select(*keep)) if text in keep else packed(docs.select(*keep, text))
+    rows = rows.select("row", words(f"row.`{text}`").alias("w"))
+    rows = rows.select("row", "w", F.size("w").cast("long").alias("tokens"))
+    out = [F.col("row")[c].alias(c) for c in keep]
     if not domains:
-        return docs.select(*keep, F.size(words(text)).cast("long").alias("tokens"),
-                           F.array().cast("array<double>").alias("p"))
+        return rows.select(*out, "tokens", F.array().cast("array<double>").alias("p"))
     # A word looks up the D numbers of its bucket in one literal.
     flat = F.lit([[logs[d][b] for d in domains] for b in range(BUCKETS)])
     add = lambda acc, w: F.zip_with(acc, F.element_at(flat, bucket(w) + 1), lambda x, y: x + y)
-    zero = F.array(*[F.lit(0.0)] * len(domains))
-    src = docs.select(*keep, words(text).alias("_w"))
-    out = src.select(*keep, F.size("_w").cast("long").alias("tokens"), F.aggregate("_w", zero, add).alias("_l"))
+    rows = rows.select("row", "tokens", F.aggregate("w", F.array(*[F.lit(0.0)] * len(domains)), add).alias("l"))
     scale = F.least(F.lit(1.0), F.lit(EVIDENCE) / F.greatest(F.col("tokens"), F.lit(1)))
-    score = F.zip_with("_l", F.array(*map(F.lit, priors)), lambda x, y: x * scale + y)
-    out = out.withColumn("_s", score).withColumn("_e", F.transform("_s", lambda x: F.exp(x - F.array_max("_s"))))
-    norm = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
-    return out.select(*keep, "tokens", F.transform("_e", lambda x: x / norm).alias("p"))
+    score = F.zip_with("l", F.array(*map(F.lit, priors)), lambda x, y: x * scale + y)
+    rows = rows.select("row", "tokens", score.alias("s"))
+    rows = rows.select("row", "tokens", F.transform("s", lambda x: F.exp(x - F.array_max("s"))).alias("e"))
+    norm = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
+    return rows.select(*out, "tokens", F.transform("e", lambda x: x / norm).alias("p"))
 
 
 def fold_rates(p: Column, steps: list[list[float]]) -> Column:
@@ -148,5 +150,6 @@ def repeat_by_rate(rows: DataFrame, rate: str = "rate", key: str = "doc_id", sal
     of the rest, drawn from a hash of the key (null keys share a draw)."""
     u = F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(1 << 40)) / float(1 << 40)
     n = F.floor(rate) + (u < F.col(rate) - F.floor(rate)).cast("long")
-    return (rows.withColumn("_n", n).where("_n > 0")
-            .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n", "_i"))
+    times = F.when(n > 0, F.sequence(F.lit(1).cast("long"), n))
+    at = fresh(rows, "time")
+    return rows.withColumn(at, F.explode(times)).drop(at)
