@@ -9,7 +9,8 @@ targets T_d in sum over d of (S_d - T_d)² / N_d, N_d being the totals at rate 1
 The step of a document is the product of its posterior and the weighted residuals (the gradient in
 r · sqrt(t)), so it depends on the D residuals alone: a round is one aggregate over the written
 posteriors, and a document's rate is the fold of the rounds' residuals, which are D numbers each.
-With those weights the largest curvature is at most 1, so steps of 1 converge.  All of it is
+With those weights the largest curvature is at most 1, so steps of 1 converge; momentum with
+restarts makes them converge fast where memberships are soft.  All of it is
 DataFrame expressions; only D numbers a round reach the driver."""
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ BUCKETS = 4096                 # hashed words of the classifier
 MAX_LABELLED = 20_000          # labelled rows it learns from, by hash
 MAX_DOMAINS = 64
 EVIDENCE = 60.0                # words whose evidence counts in full; longer texts are averaged to it
-ROUNDS, TOLERANCE = 60, 1e-6
+ROUNDS, TOLERANCE = 100, 1e-6
 
 
 def words(text: str) -> Column:
@@ -87,18 +88,29 @@ def posteriors(docs: DataFrame, model, text: str, keep: list[str]) -> DataFrame:
 
 
 def fold_rates(p: Column, steps: list[list[float]]) -> Column:
-    """The rate after the rounds' steps: from 1, each takes the product of ``p`` and the step
-    off, and what would be negative becomes 0."""
+    """``r, y`` after the rounds' steps, from 1: a step takes its product with ``p`` off ``y``, what
+    would be negative becomes 0, and ``y`` runs ahead of the new ``r`` by the step's last number
+    (the momentum of accelerated projected gradient)."""
+    one = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
     if not steps:
-        return F.lit(1.0)
-    dot = lambda s: F.aggregate(F.zip_with(p, s, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    return F.aggregate(F.lit(steps), F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r - dot(s)))
+        return one
+    d = len(steps[0]) - 1
 
+    def step(at: Column, s: Column) -> Column:
+        dot = F.aggregate(F.zip_with(p, F.slice(s, 1, d), lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+        r = F.greatest(F.lit(0.0), at["y"] - dot)
+        return F.struct(r.alias("r"), (r + F.element_at(s, -1) * (r - at["r"])).alias("y"))
 
-def totals(rows: DataFrame, n: int, rate: Column) -> list[float]:
-    """Expected domain totals at the given rates."""
-    sums = [F.coalesce(F.sum(F.col("tokens") * F.element_at("p", i + 1) * rate), F.lit(0.0)).alias(f"s{i}") for i in range(n)]
-    return list(rows.agg(*sums).first()) if n else []
+    return F.aggregate(F.lit(steps), one, step)
+
+
+def totals(rows: DataFrame, n: int, steps: list[list[float]]) -> tuple[list[float], list[float]]:
+    """Expected domain totals at the rates ``r`` and at ``y``."""
+    rows = rows.withColumn("at", fold_rates(F.col("p"), steps))
+    sums = [F.coalesce(F.sum(F.col("tokens") * F.element_at("p", i + 1) * F.col("at")[v]), F.lit(0.0)).alias(f"{v}{i}")
+            for v in "ry" for i in range(n)]
+    got = list(rows.agg(*sums).first()) if n else []
+    return got[:n], got[n:]
 
 
 def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], budget: str | float = "corpus"):
@@ -106,7 +118,7 @@ def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], bu
     "corpus" (the tokens there are), "keep" (so many that no domain must shrink) or a number.
     Weights are scaled to sum to 1 over the domains known; one without a weight gets 0."""
     n = len(domains)
-    base = totals(rows, n, F.lit(1.0))
+    base, ahead = totals(rows, n, [])
     w = [max(0.0, weights.get(d, 0.0)) for d in domains]
     w = [x / sum(w) for x in w] if sum(w) > 0 else [1.0 / n] * n
     if budget == "keep":
@@ -114,18 +126,21 @@ def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], bu
     else:
         size = sum(base) if budget == "corpus" else float(budget)
     target = [size * x for x in w]
+    off = lambda x: [(g - t) / b if b > 0 else 0.0 for g, t, b in zip(x, target, base)]
+    loss = lambda x: sum(m * m * b for m, b in zip(off(x), base))
     steps: list[list[float]] = []
-    got = base
+    got, speed = base, 1.0
     for _ in range(ROUNDS):
-        miss = [(g - t) / b if b > 0 else 0.0 for g, t, b in zip(got, target, base)]
-        if max(map(abs, miss), default=0.0) < TOLERANCE:
+        if max(map(abs, off(got)), default=0.0) < TOLERANCE:
             break
-        steps.append(miss)
-        new = totals(rows, n, fold_rates(F.col("p"), steps))
-        if max((abs(a - b) / c for a, b, c in zip(new, got, base) if c > 0), default=0.0) < TOLERANCE / 10:
-            got = new
-            break                                                # no target in reach is nearer
+        faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        steps.append([*off(ahead), (speed - 1) / faster])
+        new, ahead = totals(rows, n, steps)
+        still = max((abs(a - b) / c for a, b, c in zip(new, got, base) if c > 0), default=0.0) < TOLERANCE / 10
+        speed = 1.0 if loss(new) > loss(got) else faster          # momentum that overshoots starts anew
         got = new
+        if still:
+            break                                                # no target in reach is nearer
     return steps, dict(zip(domains, target)), dict(zip(domains, got))
 
 
@@ -142,7 +157,7 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     model = fit_domains(labelled, text, domain, key)
     rows = written(posteriors(docs, model, text, keep), "posteriors")
     steps, target, got = fit_rates(rows, model[0], weights, budget)
-    return rows.withColumn("rate", fold_rates(F.col("p"), steps)), model[0], target, got
+    return rows.withColumn("rate", fold_rates(F.col("p"), steps)["r"]), model[0], target, got
 
 
 def repeat_by_rate(rows: DataFrame, rate: str = "rate", key: str = "doc_id", salt: str = "mixing") -> DataFrame:
