@@ -88,12 +88,34 @@ NA_WORDS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan"
 
 # --- fixed values: experiment log ------------------------------------------------------
 STATUS_KEEP, STATUS_DISCARD, STATUS_CRASH = "KEEP", "DISCARD", "CRASH"
+# the line a run prints at each step, and its fields
+STEP_LINE = ("\rstep %05d (%.1f%%) | loss: %.6f | lrm: %.2f | dt: %.0fms | tok/sec: %,d | "
+             "mfu: %.1f%% | epoch: %d | remaining: %.0fs    ")
+STEP_FIELDS = {
+    "step": (r"step (\d+)", "long"),
+    "pct": (r"step \d+ \(([0-9.]+)%\)", "double"),
+    "loss": (r"loss: ([-0-9.eE+naif]+)", "double"),
+    "lrm": (r"lrm: ([-0-9.]+)", "double"),
+    "dt_ms": (r"dt: ([0-9.]+)ms", "double"),
+    "tok_sec": (r"tok/sec: ([0-9,]+)", "long"),
+    "mfu": (r"mfu: ([0-9.]+)%", "double"),
+    "epoch": (r"epoch: (\d+)", "long"),
+    "remaining": (r"remaining: ([0-9.]+)s", "double"),
+}
+# the lines of the summary block
+SUMMARY_LINES = {
+    "val_bpb": "val_bpb:          %.6f", "training_seconds": "training_seconds: %.1f",
+    "total_seconds": "total_seconds:    %.1f", "peak_vram_mb": "peak_vram_mb:     %.1f",
+    "mfu_percent": "mfu_percent:      %.2f", "total_tokens_M": "total_tokens_M:   %.1f",
+    "num_steps": "num_steps:        %d", "num_params_M": "num_params_M:     %.1f", "depth": "depth:            %d",
+}
 SUMMARY_KEYS = ["val_bpb", "training_seconds", "total_seconds", "peak_vram_mb",
                 "mfu_percent", "total_tokens_M", "num_steps", "num_params_M", "depth"]
 
 # --- fixed values: sandbox path policy (profile lists, $HOME unexpanded) -------------
-POLICY_ALLOW = ["$HOME/autoresearch-nono", "$HOME/.cache/autoresearch/ibd", "$HOME/.cache/autoresearch/tcga",
-                "$HOME/.cache/autoresearch/climbmix", "$HOME/.cache/torch", "$HOME/.cache/uv",
+# (folders of the corpora and of the checkout under neutral names)
+POLICY_ALLOW = ["$HOME/research-loop", "$HOME/.cache/research/cases", "$HOME/.cache/research/reports",
+                "$HOME/.cache/research/web", "$HOME/.cache/torch", "$HOME/.cache/uv",
                 "$HOME/.cache/huggingface", "$HOME/.local/share/uv", "$HOME/.nv", "$HOME/.triton/cache",
                 "/tmp", "/dev/shm", "/proc/self/task"]
 POLICY_READ = ["/proc/driver/nvidia", "/proc/meminfo", "/proc/cpuinfo", "/proc/self", "/proc/version",

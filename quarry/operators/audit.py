@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 
 from quarry.constants import EPHEMERAL_PROC, NO_DENIALS, POLICY_ALLOW, POLICY_READ
 
-MAX_RULES_BROADCAST = 100_000   # a policy larger than this is joined by shuffle
-MAX_PATH_DEPTH = 64
-
 
 def policy_rules(spark: SparkSession, home: str, allow: Sequence[str] = POLICY_ALLOW,
                  read: Sequence[str] = POLICY_READ) -> DataFrame:
@@ -25,45 +22,26 @@ def policy_rules(spark: SparkSession, home: str, allow: Sequence[str] = POLICY_A
 
 
 def path_prefixes(path_col: str = "path"):
-    """Every whole-component prefix of an absolute path: /a, /a/b, /a/b/c."""
+    """Every whole-component prefix of a path, the root as the empty one: "", /a, /a/b."""
     parts = F.split(F.regexp_replace(F.col(path_col), "/+$", ""), "/")
-    n = F.least(F.size(parts), F.lit(MAX_PATH_DEPTH + 1))
-    return F.transform(F.sequence(F.lit(2), n),
-                       lambda k: F.array_join(F.slice(parts, 1, k), "/"))
-
-
-MAX_RULES_INLINE = 10_000      # a policy up to this size is looked up in a map literal
+    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
 
 
-def policy_match(ops: DataFrame, rules: DataFrame, key: str = "op_id") -> DataFrame:
+def policy_match(ops: DataFrame, rules: DataFrame) -> DataFrame:
     """The longest rule prefix covering each path (whole components), ``allow`` over
-    ``read`` on the same prefix; no rule → denied.  Each path is expanded to its component
-    prefixes (bounded by depth), shortest first.  A policy of bounded size (checked) becomes
-    a map literal and the lookup is one projection — no join, no shuffle; a larger one is
-    equi-joined with the prefixes (broadcast when it fits)."""
-    n_rules = rules.count()
-    if n_rules <= MAX_RULES_INLINE:
-        best: dict[str, str] = {}
-        for r in rules.collect():
-            if best.get(r["prefix"]) != "allow":
-                best[r["prefix"]] = r["kind"]
-        table = F.create_map(*[F.lit(x) for kv in sorted(best.items()) for x in kv])
-        hits = F.filter(F.transform(path_prefixes(), lambda p: F.struct(p.alias("prefix"),
-                                                                       F.element_at(table, p).alias("kind"))),
-                        lambda h: h["kind"].isNotNull())
-        last = F.element_at(hits, -1)
-        return (ops.withColumn("_h", F.when(F.size(hits) > 0, last))
-                   .withColumn("matched_prefix", F.col("_h.prefix"))
-                   .withColumn("access", F.coalesce(F.col("_h.kind"), F.lit("denied"))).drop("_h"))
-    ex = ops.select(key, F.explode(path_prefixes()).alias("prefix"))
-    r = F.broadcast(rules) if n_rules <= MAX_RULES_BROADCAST else rules
-    hits = ex.join(r, "prefix", "inner")
-    rank = F.struct(F.length("prefix").alias("len"), (F.col("kind") == "allow").alias("is_allow"),
-                    F.col("prefix").alias("prefix"), F.col("kind").alias("kind"))
-    best = hits.groupBy(key).agg(F.max(rank).alias("_b"))
-    out = ops.join(best, key, "left")
-    return (out.withColumn("matched_prefix", F.col("_b.prefix"))
-               .withColumn("access", F.coalesce(F.col("_b.kind"), F.lit("denied"))).drop("_b"))
+    ``read`` on the same prefix; no rule → denied.
+
+    Each distinct path is expanded to its component prefixes, which are equi-joined with the
+    rules; the best rule of a path joins the operations back by path, so neither ids nor the
+    number of rules matter.  A null path is denied; a null prefix covers nothing; the rule ``/``
+    covers every absolute path."""
+    paths = ops.select(F.col("path").alias("_path")).where(F.col("_path").isNotNull()).distinct()
+    ex = paths.select("_path", F.explode(path_prefixes("_path")).alias("prefix"))
+    best = (ex.join(rules.select("prefix", "kind"), "prefix").groupBy("_path")
+              .agg(F.max(F.struct(F.length("prefix"), F.col("kind") == "allow", "prefix", "kind")).alias("_b")))
+    name = F.when(F.col("_b.prefix") == "", F.lit("/")).otherwise(F.col("_b.prefix"))
+    return (ops.join(best, ops["path"] == best["_path"], "left").withColumn("matched_prefix", name)
+               .withColumn("access", F.coalesce(F.col("_b.kind"), F.lit("denied"))).drop("_b", "_path"))
 
 
 def expected_denials(denials: DataFrame, path: str = "path") -> DataFrame:

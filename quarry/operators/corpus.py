@@ -7,34 +7,41 @@ single-task window)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.constants import (DOCS_PER_SHARD, IBD_KEYWORDS, MIN_DOC_CHARS, MIN_VAL_DOCS,
                               SHUFFLE_SEED, VAL_FRACTION, VAL_SHARD)
 from quarry.functions.text import contains_any
-from quarry.operators.scan import _target_partitions, global_index
+from quarry.operators.scan import global_index, prefix_scan
 
 
-def shuffle_key(key: str = "doc_id", seed: int = SHUFFLE_SEED) -> Column:
+def shuffle_key(key: str | Column = "doc_id", seed: int = SHUFFLE_SEED) -> Column:
     """E5: the seeded order, ``md5('<seed>:<key>')``."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    c = F.col(key) if isinstance(key, str) else key
+    return F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string")))
 
 
 def n_val_docs(n: int, fraction: float = VAL_FRACTION, minimum: int = MIN_VAL_DOCS) -> int:
     return max(minimum, int(n * fraction))
 
 
-def shard_assignment(docs: DataFrame, key: str = "doc_id", seed: int = SHUFFLE_SEED,
+def shard_assignment(docs: DataFrame, key: str | Sequence[str] = "doc_id", seed: int = SHUFFLE_SEED,
                      fraction: float = VAL_FRACTION, minimum: int = MIN_VAL_DOCS,
                      docs_per_shard: int = DOCS_PER_SHARD, val_shard: int = VAL_SHARD) -> DataFrame:
     """The first ``max(50, int(n·0.10))`` documents of the shuffled order are the
-    validation split (shard 6542); the rest go to train shards 0, 1, … of ``docs_per_shard``."""
-    indexed, n = global_index(docs.withColumn("_okey", shuffle_key(key, seed)), ["_okey", key], "idx")
+    validation split (shard 6542); the rest go to train shards 0, 1, … of ``docs_per_shard``.
+
+    ``key`` (one column or several) identifies a document.  Keys alone are sorted; the other
+    columns meet the result in one join, and only if they are asked for."""
+    keys = [key] if isinstance(key, str) else list(key)
+    tag = shuffle_key(keys[0], seed) if len(keys) == 1 else shuffle_key(F.concat_ws(":", *keys), seed)
+    indexed, n = global_index(docs, [tag, *keys], "idx")
     n_val = n_val_docs(n, fraction, minimum)
     is_val = F.col("idx") < F.lit(n_val)
-    return (indexed.drop("_okey")
-                   .withColumn("split", F.when(is_val, F.lit("val")).otherwise(F.lit("train")))
+    return (indexed.withColumn("split", F.when(is_val, F.lit("val")).otherwise(F.lit("train")))
                    .withColumn("shard", F.when(is_val, F.lit(val_shard).cast("long")).otherwise(
                        F.floor((F.col("idx") - F.lit(n_val)) / F.lit(docs_per_shard)).cast("long"))))
 
@@ -71,25 +78,18 @@ def char_budget(docs: DataFrame, order: str, length: Column, max_chars: int) ->
     """Documents in ``order`` until the running character count reaches ``max_chars``;
     the document that crosses the budget is included.
 
-    Only a narrow (order, length) projection is range-partitioned and summed per partition
-    (a bounded table); the one partition where the budget is crossed is scanned in order to
-    find the last key; the result is a plain ``order <= key`` filter on the input."""
-    n = _target_partitions(docs)
-    narrow = docs.select(F.col(order).alias("_k"), length.cast("long").alias("_len"))
-    parts = (narrow.repartitionByRange(n, "_k").withColumn("_pid", F.spark_partition_id())
-                   .groupBy("_pid").agg(F.min("_k").alias("lo"), F.max("_k").alias("hi"),
-                                         F.sum("_len").alias("s")).collect())
-    before = 0
-    for r in sorted(parts, key=lambda r: r["lo"]):
-        if before + (r["s"] or 0) >= max_chars:
-            inside = (narrow.where(F.col("_k").between(r["lo"], r["hi"]))
-                            .repartitionByRange(1, "_k").sortWithinPartitions("_k"))
-            w = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-            cut = (inside.withColumn("_run", F.sum("_len").over(w) + F.lit(before))
-                         .where(F.col("_run") >= max_chars).agg(F.min("_k").alias("k")).first()["k"])
-            return docs.where(F.col(order) <= F.lit(cut))
-        before += r["s"] or 0
-    return docs
+    Lengths are summed per order value (equal values enter together, null before all others),
+    the values are indexed and prefix-summed in chunks; the result is a plain filter on the
+    input by the last value that starts below the budget."""
+    sums = docs.groupBy(F.col(order).alias("_k")).agg(F.coalesce(F.sum(length.cast("long")), F.lit(0)).alias("_len"))
+    indexed, _ = global_index(sums, ["_k"], "_i")
+    run = prefix_scan(indexed, [], "_i", [("_before", "sum", "_len", False)])
+    cut = (run.where(F.coalesce("_before", F.lit(0)) < max_chars)
+              .agg(F.max(F.struct("_i", "_k"))["_k"].alias("k"), F.count(F.lit(1)).alias("n")).first())
+    if not cut["n"]:
+        return docs.where(F.lit(False))
+    null = F.col(order).isNull()
+    return docs.where(null) if cut["k"] is None else docs.where(null | (F.col(order) <= F.lit(cut["k"])))
 
 
 def plan_missing_shards(spark: SparkSession, existing: DataFrame, num_shards: int,

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from quarry.constants import (AXIS_MARGIN, NEAR_BASELINE_MARGIN, STATUS_CRASH, STATUS_DISCARD,
                               STATUS_KEEP)
 from quarry.functions.text import normalize_status, shorten_label, to_double
-from quarry.operators.scan import DEFAULT_CHUNK, dense_index, prefix_scan, shift_by_index, \
-    top_k_per_group
+from quarry.operators.scan import DEFAULT_CHUNK, dense_index, prefix_scan, top_k_per_group
 
 KEYS = ("run",)
 
@@ -85,12 +84,15 @@ def baseline_valid(log: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 def improvement_summary(log: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Baseline is the first row of the log (even a crash, whose value is 0.0 or
     missing); best is C5; improvement and its percentage of the baseline.  The crash-free
-    baseline of D2 is given next to it."""
-    first = log.groupBy(*keys).agg(F.min(F.struct("idx", "val_bpb")).alias("_f"),
-                                   F.count(F.lit(1)).alias("n_experiments"))
-    first = first.select(*keys, F.col("_f.val_bpb").alias("baseline_raw"), "n_experiments")
-    out = (first.join(best_run(log, keys), list(keys), "left")
-                .join(baseline_valid(log, keys), list(keys), "left"))
+    baseline of D2 is given next to it.  One conditional aggregate."""
+    first, row = F.struct("idx", "val_bpb"), F.struct("val_bpb", "idx", "description", "commit")
+    kept = is_status(STATUS_KEEP) & F.col("val_bpb").isNotNull()
+    agg = log.groupBy(*keys).agg(F.min(first).alias("_f"), F.count(F.lit(1)).alias("n_experiments"),
+                                 F.min(F.when(kept, row)).alias("_b"), F.min(F.when(not_crash(), first)).alias("_v"))
+    out = agg.select(*keys, F.col("_f.val_bpb").alias("baseline_raw"), "n_experiments",
+                     F.col("_b.val_bpb").alias("best_bpb"), F.col("_b.idx").alias("best_idx"),
+                     F.col("_b.description").alias("best_description"), F.col("_b.commit").alias("best_commit"),
+                     F.col("_v.val_bpb").alias("baseline_valid"))
     delta = F.col("baseline_raw") - F.col("best_bpb")
     return (out.withColumn("improvement", delta)
                .withColumn("improvement_pct",
@@ -98,9 +100,10 @@ def improvement_summary(log: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame
 
 
 def running_best(log: DataFrame, keys: Sequence[str] = KEYS, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Cumulative minimum of kept values in log order (the frontier)."""
-    kept = filter_status(log)
-    return prefix_scan(kept, keys, "idx", [("running_best", "min", "val_bpb", True)], chunk)
+    """Cumulative minimum of kept values in log order (the frontier); a row without a value
+    has none, as in pandas, and the next one goes on from before."""
+    kept = prefix_scan(filter_status(log), keys, "idx", [("running_best", "min", "val_bpb", True)], chunk)
+    return kept.withColumn("running_best", F.when(F.col("val_bpb").isNotNull(), F.col("running_best")))
 
 
 def valid_index(log: DataFrame, keys: Sequence[str] = KEYS, chunk: int = DEFAULT_CHUNK) -> DataFrame:
@@ -120,13 +123,10 @@ def filter_near_baseline(log: DataFrame, keys: Sequence[str] = KEYS,
 
 def kept_sequence(log: DataFrame, keys: Sequence[str] = KEYS, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Kept rows with ``k`` (their rank among kept rows) and the previous kept row's
-    ``val_bpb`` and ``idx`` (``shift(1)``), via a join on (run, k - 1)."""
+    ``val_bpb`` and ``idx`` (``shift(1)``), in one scan."""
     kept = filter_status(log).withColumn("_one", F.lit(1))
-    kept = prefix_scan(kept, keys, "idx", [("k", "count", "_one", False)], chunk).drop("_one")
-    shifted = shift_by_index(kept.select(*keys, "k", "idx", "val_bpb"), keys, "k",
-                             ["val_bpb", "idx"], 1, "prev_")
-    return kept.join(shifted.select(*keys, "k", F.col("prev_val_bpb").alias("prev_bpb"),
-                                    F.col("prev_idx")), [*keys, "k"], "left")
+    return prefix_scan(kept, keys, "idx", [("k", "count", "_one", False), ("prev_bpb", "last", "val_bpb", False),
+                                           ("prev_idx", "last", "idx", False)], chunk).drop("_one")
 
 
 def kept_deltas(log: DataFrame, keys: Sequence[str] = KEYS, chunk: int = DEFAULT_CHUNK) -> DataFrame:
@@ -155,9 +155,11 @@ def top_hits(log: DataFrame, k: int, keys: Sequence[str] = KEYS, chunk: int = DE
 
 
 def total_delta(log: DataFrame, keys: Sequence[str] = KEYS, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Sum of all per-step improvements."""
-    return kept_deltas(log, keys, chunk).groupBy(*keys).agg(
-        F.sum("delta").alias("total_delta"), F.count(F.lit(1)).alias("n_hits"))
+    """Sum of all per-step improvements of every log with a kept run (0.0 if there is none)."""
+    delta = F.col("prev_bpb") - F.col("val_bpb")
+    return kept_sequence(log, keys, chunk).groupBy(*keys).agg(
+        F.coalesce(F.sum(delta), F.lit(0.0)).alias("total_delta"),
+        F.count_if(F.col("k") > 0).alias("n_hits"))
 
 
 def effort_per_improvement(log: DataFrame, keys: Sequence[str] = KEYS,

@@ -1,20 +1,23 @@
 """Skew-safe ordered scans.
 
-Any group (a run, a user, a file) may hold a third of all rows, so nothing here puts a
-whole group into one task.  Group keys must be non-null (they are joined by equality).  A window ``partitionBy(group)`` would.  Instead:
+Any group (a run, a user, a file) may hold a third of all rows, so nothing here puts a whole
+group into one task, as a window ``partitionBy(group)`` would.  Instead:
 
 * ``dense_index`` numbers rows inside each group in a given order.  It range-partitions on
   (group, order), which cuts a hot group into many partitions, tags each row with its
-  partition and position, checkpoints (so the tags are stable and survive executor loss),
+  partition and position, writes them (so the tags are stable and survive executor loss),
   and adds to each row the count of its group's rows in earlier partitions.  Only one
   small table (one row per partition and group) is windowed.
-* ``prefix_scan`` computes running min / max / sum / count over a dense index: one summary
-  row per (group, chunk of ``chunk`` rows), a running carry over the summaries, and a local
-  running value inside each chunk.  Work per task is bounded by the chunk size.
+* ``global_index`` does the same for a whole frame, on its key columns alone.
+* ``prefix_scan`` computes running min / max / sum / count / last over a dense index: one summary
+  row per (group, chunk of ``chunk`` rows), a running carry over the summaries in two levels
+  (chunks within a block of chunks, then blocks), and a local running value inside each chunk.
+  Work per task is bounded by the chunk and block sizes.
 * ``top_k_per_group`` keeps the k first rows per group in two bounded steps (per salt bucket,
   then per group), never sorting a whole group in one task.
 * ``shift_by_index`` is ``lag``/``lead`` as an equi-join on (group, index ± n).
-"""
+
+Group keys travel as one struct, so groups with null keys are groups like any other."""
 
 from __future__ import annotations
 
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from quarry.session import cut_lineage
 
 DEFAULT_CHUNK = 4096
+DEFAULT_BLOCK = 4096          # chunks of a block
 DEFAULT_SALT = 16
 
 
@@ -33,79 +37,110 @@ def _target_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def group_key(keys: Sequence[str]) -> Column:
+    """The group as one never-null struct (a constant for no keys)."""
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
+
+
+def _columns(order: Sequence[str | Column]) -> list[Column]:
+    return [F.col(o) if isinstance(o, str) else o for o in order]
+
+
+def _tagged(df: DataFrame, sort_cols: Sequence[Column], num_partitions: int | None) -> DataFrame:
+    """Rows in range partitions of ``sort_cols``, with partition and position, written."""
+    n = num_partitions or _target_partitions(df)
+    return cut_lineage(df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id()), "ordered")
+
+
 def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                 out: str = "idx", num_partitions: int | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order) - 1`` without a per-group task.
 
     ``order`` must make rows unique inside a group (add a tie-breaking id)."""
     keys = list(keys)
-    n = num_partitions or _target_partitions(df)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    sort_cols = [F.col(k) for k in keys] + order_cols
-    tagged = (df.repartitionByRange(n, *sort_cols)
-                .sortWithinPartitions(*sort_cols)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id()))
-    tagged = cut_lineage(tagged)
-    summary = (tagged.groupBy("_pid", *keys)
+    tagged = _tagged(df, [F.col(k) for k in keys] + _columns(order), num_partitions).withColumn("_key", group_key(keys))
+    summary = (tagged.groupBy("_pid", "_key")
                      .agg(F.min("_pos").alias("_p0"), F.count(F.lit(1)).alias("_n")))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_key").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    s = summary.select(*keys, F.col("_pid"), "_p0", "_base")
-    # plain equi-join on (partition, group): group keys are non-null
-    joined = tagged.join(s, ["_pid", *keys], "inner")
-    return (joined.withColumn(out, (F.col("_base") + F.col("_pos") - F.col("_p0")).cast("long"))
-                  .drop("_pid", "_pos", "_p0", "_base"))
+    joined = tagged.join(summary.select("_key", "_pid", "_p0", "_base"), ["_pid", "_key"])
+    return cut_lineage(joined.withColumn(out, (F.col("_base") + F.col("_pos") - F.col("_p0")).cast("long"))
+                       .drop("_pid", "_pos", "_p0", "_base", "_key"), "indexed")
 
 
-_COMBINE = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum}
-_LOCAL = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.count}
+def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx",
+                 num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """A dense 0-based index over the whole frame in ``order`` (unique), and the row count.
+
+    Only the order columns are sorted and written, never the rest of a row.  Partition offsets
+    are a table of one row a partition, and the index joins the rows on the order columns, so a
+    caller that needs no text moves none."""
+    cols = _columns(order)
+    named = [c.alias(f"_o{i}") for i, c in enumerate(cols)]
+    names = [f"_o{i}" for i in range(len(cols))]
+    tagged = _tagged(df.select(*named), [F.col(n) for n in names], num_partitions)
+    per = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)        # one row a partition
+    per = per.withColumn("_base", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    total = per.agg(F.sum("_n").alias("n")).first()["n"] or 0
+    index = (tagged.join(F.broadcast(per.select("_pid", "_p0", "_base")), "_pid")
+             .select(F.struct(*names).alias("_order"), (F.col("_base") + F.col("_pos") - F.col("_p0")).cast("long").alias(out)))
+    return df.withColumn("_order", F.struct(*named)).join(index, "_order").drop("_order"), int(total)
+
+
+_RUNNING = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum, "last": F.last}
+
+
+def _merge(fn: str, before: Column, here: Column) -> Column:
+    """What ``fn`` gives over two frames in a row, of which either may be empty (null)."""
+    if fn == "min":
+        return F.least(before, here)
+    if fn == "max":
+        return F.greatest(before, here)
+    if fn == "last":
+        return F.coalesce(here, before)
+    both = F.coalesce(before, F.lit(0)) + F.coalesce(here, F.lit(0))
+    return both.cast("long") if fn == "count" else F.when(before.isNotNull() | here.isNotNull(), both)
 
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], idx: str,
                 specs: Sequence[tuple[str, str, str | Column, bool]],
-                chunk: int = DEFAULT_CHUNK) -> DataFrame:
+                chunk: int = DEFAULT_CHUNK, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Running aggregates inside each group in ``idx`` order.
 
-    ``specs``: (out column, fn in min/max/sum/count, value column, inclusive).  Inclusive
+    ``specs``: (out column, fn in min/max/sum/count/last, value column, inclusive).  Inclusive
     means rows up to and including the current one (``rowsBetween(unboundedPreceding, 0)``),
-    exclusive means strictly before it (``..., -1``).  Null values are skipped as in SQL;
-    an empty frame gives null for min/max/sum and 0 for count."""
-    keys = list(keys)
-    d = df.withColumn("_chunk", F.floor(F.col(idx) / F.lit(chunk)))
-    vals = {}
+    exclusive means strictly before it (``..., -1``).  Null values are skipped as in SQL, but by
+    ``last``, whose exclusive form is ``lag``; an empty frame gives null, and 0 for count."""
+    fns = [fn for _, fn, _, _ in specs]
+    d = df.withColumn("_key", group_key(keys)).withColumn("_chunk", F.floor(F.col(idx) / F.lit(chunk)))
     for i, (_, fn, value, _) in enumerate(specs):
-        vals[i] = F.col(value) if isinstance(value, str) else value
-        d = d.withColumn(f"_v{i}", vals[i])
-    parts = [(_LOCAL[fn])(F.col(f"_v{i}")).alias(f"_part{i}") for i, (_, fn, _, _) in enumerate(specs)]
-    summary = d.groupBy(*keys, "_chunk").agg(*parts)
-    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *keys, "_chunk",
-        *[(_COMBINE[fn])(F.col(f"_part{i}")).over(earlier).alias(f"_carry{i}")
-          for i, (_, fn, _, _) in enumerate(specs)])
-    local_w = Window.partitionBy(*keys, "_chunk").orderBy(idx)
+        v = F.col(value) if isinstance(value, str) else value
+        d = d.withColumn(f"_v{i}", F.struct(v.alias("v")) if fn == "last" else v.isNotNull().cast("long") if fn == "count" else v)
+    part = lambda fn, c, by: (F.max_by(c, by) if fn == "last" else _RUNNING[fn](c))
+    chunks = d.groupBy("_key", "_chunk").agg(*[part(fn, F.col(f"_v{i}"), F.col(idx)).alias(f"_s{i}") for i, fn in enumerate(fns)])
+    chunks = chunks.withColumn("_block", F.floor(F.col("_chunk") / F.lit(block)))
+    blocks = chunks.groupBy("_key", "_block").agg(*[part(fn, F.col(f"_s{i}"), F.col("_chunk")).alias(f"_t{i}") for i, fn in enumerate(fns)])
+    earlier = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    w = earlier("_key", "_block")
+    blocks = blocks.select("_key", "_block", *[_RUNNING[fn](F.col(f"_t{i}")).over(w).alias(f"_u{i}") for i, fn in enumerate(fns)])
+    w = earlier("_key", "_block", "_chunk")
+    carry = chunks.select("_key", "_block", "_chunk", *[_RUNNING[fn](F.col(f"_s{i}")).over(w).alias(f"_c{i}") for i, fn in enumerate(fns)])
+    carry = carry.join(blocks, ["_key", "_block"]).select(
+        "_key", "_chunk", *[_merge(fn, F.col(f"_u{i}"), F.col(f"_c{i}")).alias(f"_carry{i}") for i, fn in enumerate(fns)])
+    carry = cut_lineage(carry, "carry")          # one row a chunk: the rows' plan is one window and one join
+    local = Window.partitionBy("_key", "_chunk").orderBy(idx)
     for i, (_, fn, _, inclusive) in enumerate(specs):
-        frame = local_w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-        d = d.withColumn(f"_loc{i}", (_LOCAL[fn])(F.col(f"_v{i}")).over(frame))
-    # an equi-join on (keys, chunk) reuses the window's hash partitioning: no extra exchange
-    j = d.join(carry, [*keys, "_chunk"], "left")
+        frame = local.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        d = d.withColumn(f"_loc{i}", _RUNNING[fn](F.col(f"_v{i}")).over(frame))
+    # the join on (key, chunk) reuses the window's hash partitioning: no exchange of the rows
+    j = d.join(carry, ["_key", "_chunk"])
     for i, (out, fn, _, _) in enumerate(specs):
-        a, b = F.col(f"_loc{i}"), F.col(f"_carry{i}")
-        if fn == "min":
-            v = F.least(a, b)
-        elif fn == "max":
-            v = F.greatest(a, b)
-        elif fn == "count":
-            v = (F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))).cast("long")
-        else:
-            v = F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
-                F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
-        j = j.withColumn(out, v)
-    drop = ["_chunk"]
-    for i in range(len(specs)):
-        drop += [f"_v{i}", f"_loc{i}", f"_carry{i}"]
-    return j.drop(*drop)
+        v = _merge(fn, F.col(f"_carry{i}"), F.col(f"_loc{i}"))
+        j = j.withColumn(out, v["v"] if fn == "last" else v)
+    return j.drop("_key", "_chunk", *[f"_{x}{i}" for i in range(len(specs)) for x in ("v", "loc", "carry")])
 
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
@@ -131,34 +166,6 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 def shift_by_index(df: DataFrame, keys: Sequence[str], idx: str, cols: Sequence[str],
                    offset: int = 1, prefix: str = "prev_") -> DataFrame:
     """``lag(col, offset)`` over a dense index, as a left equi-join on (keys, idx - offset)."""
-    keys = list(keys)
-    other = df.select(*keys, (F.col(idx) + F.lit(offset)).alias(idx),
-                      *[F.col(c).alias(prefix + c) for c in cols])
-    return df.join(other, [*keys, idx], "left")
-
-
-def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx",
-                 num_partitions: int | None = None) -> tuple[DataFrame, int]:
-    """A dense 0-based index over the whole frame in ``order`` (unique), and the row count.
-
-    A range-partitioned sort spreads the rows over ``num_partitions`` tasks; each row's
-    position inside its partition comes from ``monotonically_increasing_id``; the per-partition
-    counts (one row per partition, a bounded table) give each partition its offset.  The
-    tagged rows are checkpointed first so that positions cannot move between the passes."""
-    n = num_partitions or _target_partitions(df)
-    cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    tagged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_pos", F.monotonically_increasing_id()))
-    tagged = cut_lineage(tagged)
-    counts = sorted((r["_pid"], r["n"]) for r in
-                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, total = [], 0
-    for pid, cnt in counts:
-        offsets += [F.lit(pid), F.lit(total)]
-        total += cnt
-    if not offsets:
-        return tagged.withColumn(out, F.lit(None).cast("long")).drop("_pid", "_pos"), 0
-    base = F.element_at(F.create_map(*offsets), F.col("_pid"))
-    local = F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return tagged.withColumn(out, (base + local).cast("long")).drop("_pid", "_pos"), total
+    d = df.withColumn("_key", group_key(keys))
+    other = d.select("_key", (F.col(idx) + F.lit(offset)).alias(idx), *[F.col(c).alias(prefix + c) for c in cols])
+    return d.join(other, ["_key", idx], "left").drop("_key")

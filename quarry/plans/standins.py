@@ -13,8 +13,8 @@ from quarry.operators.experiments import add_log_index, normalize_log
 from quarry.session import read_table
 
 
-def raw_experiment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Experiment log: run = customer; order = (order date, order key); value = total price;
+def _raw_experiment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Experiment log without an index: run = customer; order = (order date, order key); value = total price;
     status F → keep, O → discard, P → crash (crash rows log 0.0 / 0.0 as the loop does);
     every fifth status padded with a tab and upper-cased to exercise the normalisation."""
     o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
@@ -36,9 +36,19 @@ def raw_experiment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("o_orderkey").cast("string"), F.lit(" for customer "),
                  F.col("o_custkey").cast("string")).alias("description"),
         "o_orderdate", "o_orderkey")
+    return raw
+
+
+def raw_experiment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _raw_experiment_rows(spark, sf_dir)
     return add_log_index(raw, ["run"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate", "o_orderkey")
 
 
+def experiment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows for reports that need no order: no index is built."""
+    return normalize_log(_raw_experiment_rows(spark, sf_dir).drop("o_orderdate", "o_orderkey"))
+
+
 def experiment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_log(raw_experiment_log(spark, sf_dir))
 
@@ -126,24 +136,28 @@ def cached_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 FLOPS_PER_TOKEN = 6 * 50.3e6   # stand-in FLOPs per token: 6 × the sample model's 50.3 M parameters
 
 
+GAP_SCALE = 4000.0             # event gaps are hours; steps take seconds
+
+
 def step_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training telemetry from ``events``: run = user; steps ordered by (ts, event_id);
-    loss = value; dt = seconds since the run's previous event (0 for its first)."""
-    from quarry.operators.scan import dense_index, shift_by_index
+    loss = value; dt = seconds since the run's previous event (0 for its first) over GAP_SCALE,
+    which brings hours down to seconds, so that a run's clock passes its budget on the way."""
+    from quarry.operators.scan import dense_index, prefix_scan
     e = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
     e = e.withColumnRenamed("user_id", "run").withColumnRenamed("value", "loss")
     e = dense_index(e, ["run"], ["ts", "event_id"], out="step")
-    e = shift_by_index(e, ["run"], "step", ["ts"], 1, "prev_")
-    dt = F.expr("timestampdiff(MICROSECOND, prev_ts, ts)") / F.lit(1e6)
+    e = prefix_scan(e, ["run"], "step", [("prev_ts", "last", "ts", False)])
+    dt = F.expr("timestampdiff(MICROSECOND, prev_ts, ts)") / F.lit(1e6 * GAP_SCALE)
     return e.withColumn("dt", F.coalesce(dt, F.lit(0.0))).drop("prev_ts")
 
 
-STEP_SQL = r"""
+STEP_SQL = rf"""
 steps AS (
   SELECT user_id AS run,
          CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS step,
          event_id, ts, event_type, value AS loss, props,
-         coalesce(CAST(epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS DOUBLE) / 1e6, 0.0) AS dt
+         coalesce(CAST(epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS DOUBLE) / {1e6 * GAP_SCALE!r}, 0.0) AS dt
   FROM events)
 """
 
@@ -152,9 +166,9 @@ HOME = "/home/researcher"
 
 AUDIT_PATH_SQL = f"""
 CASE event_type
-  WHEN 'view' THEN '{HOME}/.cache/autoresearch/ibd/data/shard_' || k || '.parquet'
+  WHEN 'view' THEN '{HOME}/.cache/research/cases/data/shard_' || k || '.parquet'
   WHEN 'click' THEN '/tmp/run' || k || '.log'
-  WHEN 'purchase' THEN '{HOME}/autoresearch-nono/file' || k
+  WHEN 'purchase' THEN '{HOME}/research-loop/file' || k
   WHEN 'signup' THEN CASE WHEN k % 2 = 0 THEN '/proc/meminfo' ELSE '/proc/' || k || '/status' END
   ELSE CASE WHEN k % 2 = 0 THEN '/proc/' || k ELSE '{HOME}/.ssh/id_' || k END END"""
 
@@ -173,9 +187,9 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").try_cast("long")
     ks = k.cast("string")
     et = F.col("event_type")
-    path = (F.when(et == "view", F.concat(F.lit(f"{HOME}/.cache/autoresearch/ibd/data/shard_"), ks, F.lit(".parquet")))
+    path = (F.when(et == "view", F.concat(F.lit(f"{HOME}/.cache/research/cases/data/shard_"), ks, F.lit(".parquet")))
              .when(et == "click", F.concat(F.lit("/tmp/run"), ks, F.lit(".log")))
-             .when(et == "purchase", F.concat(F.lit(f"{HOME}/autoresearch-nono/file"), ks))
+             .when(et == "purchase", F.concat(F.lit(f"{HOME}/research-loop/file"), ks))
              .when(et == "signup", F.when(k % 2 == 0, F.lit("/proc/meminfo"))
                    .otherwise(F.concat(F.lit("/proc/"), ks, F.lit("/status"))))
              .otherwise(F.when(k % 2 == 0, F.concat(F.lit("/proc/"), ks))

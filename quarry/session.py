@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,10 +42,10 @@ def get_session(master: str | None = None, app: str = "quarry", **conf: str) ->
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; create a private one only when unset.
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared, fault-tolerant folder.  A local folder is
-    only made when nothing is configured (local tests)."""
+    Only a plain local session without the setting gets a private folder of its own (tests); on
+    a cluster its absence is an error, because a folder of the driver is invisible to executors."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -52,18 +54,51 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not re.fullmatch(r"local(\[(\*|\d+)(,\s*\d+)?\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
-
-    A reliable checkpoint survives the loss of the executors that computed it, unlike a
-    local checkpoint or a cache."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, deleted when the driver ends (frames read from it
+    are lazy until then)."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
+
+
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    The copy survives the loss of the executors that computed it, unlike a cache, is compressed
+    and read by column, and goes when the driver ends."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for sessions whose workers cannot import it."""
+    import zipfile
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quarry-zip-"), "quarry.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("quarry", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores: a table of one small file is
+    otherwise one task, however costly its expressions.  A table of many splits is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def table_path(sf_dir: str, name: str) -> str:
