@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +36,7 @@ from quarry.constants import BOS_TOKEN, SPECIAL_TOKENS, SPLIT_PATTERN, VOCAB_SIZ
 from quarry.operators.pretokenize import pieces_expr, pretoken_counts
 from quarry.session import cut_lineage
 
-ID_SHIFT = 1 << 21          # pair key = left * ID_SHIFT + right (ids stay below 2^21)
+ID_SHIFT = 1 << 31          # pair key = left * ID_SHIFT + right; ids are ints, so keys are unique
 CHECKPOINT_EVERY = 8
 
 
@@ -184,6 +185,8 @@ def train_bpe(spark: SparkSession, texts: DataFrame, vocab_size: int = VOCAB_SIZ
         counts = pretoken_counts(texts, text, pattern)
     parts = _word_partitions(spark)
     words = cut_lineage(word_table(counts).repartition(parts))
+    if words.limit(1).count() == 0 and counts.limit(1).count() == 0:
+        raise ValueError("no text to learn merges from")
     pairs = cut_lineage(pair_counts(words)) if incremental else None
     next_id, rounds, stale, prev_step = 256, 0, [], None
     while len(tok.merges) < n_merges:
@@ -261,18 +264,38 @@ def tokenizer_from_frames(merges: DataFrame) -> Tokenizer:
 # --------------------------------------------------------------------------- encode / decode
 
 def encode_piece(data: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Lowest-rank pair first, leftmost on a tie, until no pair is a token."""
-    parts = [data[i:i + 1] for i in range(len(data))]
-    while len(parts) > 1:
-        best, best_rank = -1, None
-        for i in range(len(parts) - 1):
-            r = ranks.get(parts[i] + parts[i + 1])
-            if r is not None and (best_rank is None or r < best_rank):
-                best, best_rank = i, r
-        if best < 0:
-            break
-        parts[best:best + 2] = [parts[best] + parts[best + 1]]
-    return [ranks[p] for p in parts]
+    """Lowest-rank pair first, leftmost on a tie, until no pair is a token.
+
+    Parts are kept as their ends; a heap holds the pairs that are tokens by (rank, start).  An
+    entry is stale once its parts have changed; the work is n log n for n bytes."""
+    n = len(data)
+    if data in ranks:
+        return [ranks[data]]
+    end = list(range(1, n + 1))           # of the part that starts here, 0 once it was merged away
+    before = list(range(-1, n - 1))       # where the part to the left starts
+    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(data[i:i + 2])) is not None]
+    heapify(heap)
+    while heap:
+        _, i, stop = heappop(heap)
+        mid = end[i]
+        if not mid or mid >= n or end[mid] != stop:
+            continue
+        end[i], end[mid] = stop, 0
+        if stop < n:
+            before[stop] = i
+            r = ranks.get(data[i:end[stop]])
+            if r is not None:
+                heappush(heap, (r, i, end[stop]))
+        left = before[i]
+        if left >= 0:
+            r = ranks.get(data[left:stop])
+            if r is not None:
+                heappush(heap, (r, left, stop))
+    out, i = [], 0
+    while i < n:
+        out.append(ranks[data[i:end[i]]])
+        i = end[i]
+    return out
 
 
 def _encoder(bc, prepend: int | None):

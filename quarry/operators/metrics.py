@@ -1,7 +1,7 @@
 """Bits per byte.
 
 Losses are in nats per target token; special tokens have 0 bytes and count in neither sum.
-The vocabulary side of the lookup join is bounded by the vocabulary size and broadcast."""
+The vocabulary side of the lookup join is broadcast up to MAX_VOCAB entries."""
 
 from __future__ import annotations
 
@@ -12,16 +12,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MAX_VOCAB = 1_000_000
+
+
 def bits_per_byte(scored: DataFrame, vocab: DataFrame, keys: Sequence[str] = (),
                   token: str = "token_id", nll: str = "nll") -> DataFrame:
-    """Σ nll (tokens with bytes) / (ln 2 · Σ bytes), globally or per ``keys``."""
-    v = F.broadcast(vocab.select(F.col("token_id").alias(token), "n_bytes"))
-    j = scored.join(v, token, "inner")
+    """Σ nll (tokens with bytes) / (ln 2 · Σ bytes), globally or per ``keys``.  A token that the
+    vocabulary lacks counts as a token without bytes."""
+    v = vocab.select(F.col("token_id").alias(token), "n_bytes")
+    v = F.broadcast(v) if v.limit(MAX_VOCAB + 1).count() <= MAX_VOCAB else v
+    j = scored.join(v, token, "left")
     agg = j.groupBy(*keys).agg(
         F.sum(F.when(F.col("n_bytes") > 0, F.col(nll)).otherwise(F.lit(0.0))).alias("total_nats"),
-        F.sum("n_bytes").cast("long").alias("total_bytes"),
+        F.sum(F.coalesce("n_bytes", F.lit(0))).cast("long").alias("total_bytes"),
         F.count(F.lit(1)).alias("n_tokens"))
-    return agg.withColumn("bpb", F.col("total_nats") / (F.lit(math.log(2)) * F.col("total_bytes")))
+    return agg.withColumn("bpb", F.try_divide("total_nats", F.lit(math.log(2)) * F.col("total_bytes")))
 
 
 def unigram_bpb(train_units: DataFrame, val_units: DataFrame, unit: str = "piece") -> DataFrame:
@@ -39,4 +44,4 @@ def unigram_bpb(train_units: DataFrame, val_units: DataFrame, unit: str = "piece
     agg = j.agg(F.sum(F.when(nbytes > 0, F.col("m") * nll).otherwise(F.lit(0.0))).alias("total_nats"),
                 F.sum(F.col("m") * nbytes).cast("long").alias("total_bytes"),
                 F.sum("m").cast("long").alias("n_tokens"))
-    return agg.withColumn("bpb", F.col("total_nats") / (F.lit(math.log(2)) * F.col("total_bytes")))
+    return agg.withColumn("bpb", F.try_divide("total_nats", F.lit(math.log(2)) * F.col("total_bytes")))

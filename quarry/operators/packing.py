@@ -2,13 +2,14 @@
 
 Best-fit packing is sequential inside one buffer, so it runs per *pack*: documents are
 spread over packs by a hash of their key, each pack is packed greedily and exactly as one
-loader would, and packs run in parallel.  The number of packs follows the data (about
-``docs_per_pack`` documents each), so a task holds one bounded pack, never a whole split."""
+loader would, and packs run in parallel.  The number of packs follows the documents of one epoch
+(about ``docs_per_pack`` each), so a task holds one bounded pack, never a whole split.  All epochs
+of a pack run through one buffer, so a pack has one short row at most, however many epochs."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from quarry.operators.scan import global_index
 
 REFILL_BATCH = 128          # documents added per refill (the tokenizer batch)
 PACKED_SCHEMA = ("pack_id long, epoch int, row long, tokens array<int>, cropped long, "
-                 "complete boolean")
+                 "complete boolean, pack_input long, pack_skipped long")
 
 
 def repeat_epochs(df: DataFrame, n_epochs: int) -> DataFrame:
@@ -30,67 +31,65 @@ def repeat_epochs(df: DataFrame, n_epochs: int) -> DataFrame:
 
 
 def assign_packs(df: DataFrame, n_packs: int, key: str = "doc_id") -> DataFrame:
-    cols = [F.col(key)] + ([F.col("epoch")] if "epoch" in df.columns else [])
-    return df.withColumn("pack_id", F.pmod(F.xxhash64(*cols), F.lit(n_packs)))
+    return df.withColumn("pack_id", F.pmod(F.xxhash64(key), F.lit(n_packs)))
 
 
 def pack_rows(docs: list[np.ndarray], capacity: int, buffer_size: int,
-              refill: int = REFILL_BATCH) -> tuple[list[np.ndarray], list[int], list[bool], int]:
+              refill: int = REFILL_BATCH) -> tuple[list[np.ndarray], list[int], list[bool], list[int]]:
     """Best fit into rows of ``capacity`` ids.  Before every placement the buffer is filled
     to ``buffer_size`` documents (in batches of ``refill``) while input remains; the longest
     document that fits is placed (first on a tie); if none fits, the shortest (first on a
     tie) is cropped to the space left and its rest discarded.  When input and buffer run
     out, the last row is returned incomplete.  Returns rows, cropped ids per row, completeness
-    and the ids left over."""
-    nxt, buf, lens = 0, [], []
-    rows, cropped, complete = [], [], []
-    row, pos, row_crop = np.empty(capacity, dtype=np.int32), 0, 0
+    and the document that starts each row.  Documents must not be empty.
+
+    The buffer is a list of (length, arrival) in order, so a placement is a binary search."""
+    nxt, buf = 0, []
+    rows, cropped, complete, starts = [], [], [], []
+    row, pos, row_crop, start = np.empty(capacity, dtype=np.int32), 0, 0, 0
     while True:
         while len(buf) < buffer_size and nxt < len(docs):
-            take = docs[nxt:nxt + refill]
-            buf.extend(take)
-            lens.extend(len(d) for d in take)
-            nxt += len(take)
+            stop = min(nxt + refill, len(docs))
+            buf += [(len(docs[i]), i) for i in range(nxt, stop)]
+            buf.sort()
+            nxt = stop
         if not buf:
             break
-        remaining = capacity - pos
-        la = np.asarray(lens)
-        fits = np.where(la <= remaining, la, -1)
-        i = int(np.argmax(fits))
-        if fits[i] > 0:
-            doc = buf.pop(i)
-            lens.pop(i)
-            row[pos:pos + len(doc)] = doc
-            pos += len(doc)
-        else:
-            i = int(np.argmin(la))
-            doc = buf.pop(i)
-            lens.pop(i)
-            row[pos:capacity] = doc[:remaining]
-            row_crop += len(doc) - remaining
-            pos = capacity
+        space = capacity - pos
+        at = bisect_right(buf, (space, len(docs)))
+        if at:
+            at = bisect_left(buf, (buf[at - 1][0], -1))
+        size, i = buf.pop(at)
+        if not pos:
+            start = i
+        put = min(size, space)
+        row[pos:pos + put] = docs[i][:put]
+        pos += put
+        row_crop += size - put
         if pos == capacity:
             rows.append(row.copy())
             cropped.append(row_crop)
             complete.append(True)
+            starts.append(start)
             pos, row_crop = 0, 0
     if pos > 0:
         rows.append(row[:pos].copy())
         cropped.append(row_crop)
         complete.append(False)
-    return rows, cropped, complete, 0
+        starts.append(start)
+    return rows, cropped, complete, starts
 
 
 def _packer(capacity: int, buffer_size: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("order_key", kind="stable")
-        docs = [np.asarray(a, dtype=np.int32) for a in pdf["ids"]]
-        rows, cropped, complete, _ = pack_rows(docs, capacity, buffer_size)
-        pack_id = int(pdf["pack_id"].iloc[0])
-        epoch = int(pdf["epoch"].iloc[0]) if "epoch" in pdf.columns else 1
-        return pd.DataFrame({"pack_id": pack_id, "epoch": epoch, "row": np.arange(len(rows), dtype=np.int64),
-                             "tokens": [r.tolist() for r in rows], "cropped": np.asarray(cropped, dtype=np.int64),
-                             "complete": complete})
+        pdf = pdf.sort_values(["epoch", "order_key"], kind="stable")
+        full = [(e, np.asarray(a, dtype=np.int32)) for e, a in zip(pdf["epoch"], pdf["ids"]) if a is not None and len(a)]
+        rows, cropped, complete, starts = pack_rows([a for _, a in full], capacity, buffer_size)
+        once = lambda n: [n] + [0] * (len(rows) - 1) if rows else []
+        return pd.DataFrame({"pack_id": int(pdf["pack_id"].iloc[0]), "epoch": [full[i][0] for i in starts],
+                             "row": np.arange(len(rows), dtype=np.int64), "tokens": [r.tolist() for r in rows],
+                             "cropped": np.asarray(cropped, dtype=np.int64), "complete": complete,
+                             "pack_input": once(sum(len(a) for _, a in full)), "pack_skipped": once(len(pdf) - len(full))})
     return run
 
 
@@ -102,14 +101,15 @@ def pack_best_fit(encoded: DataFrame, seq_len: int = MAX_SEQ_LEN, buffer_size: i
                   docs_per_pack: int | None = None, key: str = "doc_id", order: str | None = None,
                   ids: str = "ids") -> DataFrame:
     """Rows of ``seq_len + 1`` ids (every row starts with a document, so with BOS when
-    documents carry one).  ``order`` is the document order inside a pack (default ``key``)."""
+    documents carry one).  ``order`` is the document order inside a pack and epoch (default
+    ``key``); a row's ``epoch`` is that of its first document.  Documents with null or empty ids
+    are skipped.  A pack's first row tells how many ids and skipped documents it got."""
     docs_per_pack = docs_per_pack or 5 * buffer_size
-    n_docs = encoded.count()
-    packs = n_packs_for(n_docs, docs_per_pack)
-    cols = [key, ids] + (["epoch"] if "epoch" in encoded.columns else [])
-    d = assign_packs(encoded.select(*cols, F.col(order or key).alias("order_key")), packs, key)
-    group = ["pack_id"] + (["epoch"] if "epoch" in encoded.columns else [])
-    return d.groupBy(*group).applyInPandas(_packer(seq_len + 1, buffer_size), PACKED_SCHEMA)
+    epoch = F.col("epoch") if "epoch" in encoded.columns else F.lit(1)
+    n_docs = (encoded.groupBy(epoch.alias("epoch")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]) or 0
+    d = encoded.select(key, F.col(ids).alias("ids"), epoch.cast("int").alias("epoch"), F.col(order or key).alias("order_key"))
+    d = assign_packs(d, n_packs_for(n_docs, docs_per_pack), key)
+    return d.groupBy("pack_id").applyInPandas(_packer(seq_len + 1, buffer_size), PACKED_SCHEMA)
 
 
 def shift_targets(packed: DataFrame, seq_len: int = MAX_SEQ_LEN) -> DataFrame:
@@ -124,20 +124,24 @@ def batch_rows(packed: DataFrame, batch_size: int) -> DataFrame:
 
 
 def pack_utilization(packed: DataFrame) -> DataFrame:
-    """Placed ids, ids cropped away, rows, and the share of full rows."""
+    """Ids that came in, placed ids, ids cropped away, rows, and the share of full rows, from
+    one pass of the packer."""
     return packed.agg(F.count(F.lit(1)).alias("n_rows"),
                       F.count_if("complete").alias("n_complete"),
                       F.sum(F.size("tokens")).cast("long").alias("n_placed"),
-                      F.sum("cropped").cast("long").alias("n_cropped"))
+                      F.sum("cropped").cast("long").alias("n_cropped"),
+                      F.sum("pack_input").cast("long").alias("n_input"),
+                      F.sum("pack_skipped").cast("long").alias("n_skipped"))
 
 
 def eval_rows(packed: DataFrame, batch_size: int, seq_len: int = MAX_SEQ_LEN,
               eval_tokens: int = EVAL_TOKENS) -> DataFrame:
-    """The rows the evaluator reads — ``eval_tokens // (B·T)`` batches of complete rows
-    in (epoch, pack, row) order; pack with more epochs (I2) when one pass is too short."""
+    """The rows the evaluator reads — ``eval_tokens // (B·T)`` batches of complete rows in
+    (row, pack) order, so that packs take turns; pack with more epochs (I2) when one pass is too
+    short.  Only a pack's last row can be incomplete."""
     steps = eval_tokens // (batch_size * seq_len)
     need = steps * batch_size
     full = packed.where("complete")
-    indexed, _ = global_index(full, ["epoch", "pack_id", "row"], "eval_row")
+    indexed, _ = global_index(full, ["row", "pack_id"], "eval_row")
     return indexed.where(F.col("eval_row") < F.lit(need)) \
                   .withColumn("step", F.floor(F.col("eval_row") / F.lit(batch_size)).cast("long"))
