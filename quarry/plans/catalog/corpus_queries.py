@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.constants import DOC_CAP, DOCS_PER_SHARD, MAX_CHARS, MIN_DOC_CHARS, VAL_SHARD
+from quarry.constants import DOC_CAP, IBD_KEYWORDS, MIN_DOC_CHARS, VAL_SHARD
 from quarry.operators import corpus as C
 from quarry.operators import text_ops as TX
 from quarry.plans import sqltext as S
@@ -13,9 +13,13 @@ from quarry.plans.standins import (conversation_cases, conversation_case_items,
                                    cached_files)
 from quarry.sources.manifest import flag_suspect_files, parse_deposit_manifest
 from quarry.sources.tabular import union_sources
-from quarry.session import read_table
+from quarry.session import read_table, spread
 
-NUM_SHARDS = 10   # the reference downloads 10 training shards by default
+NUM_SHARDS = 10         # the reference downloads 10 training shards by default
+SHARD_DOCS = 100        # documents per shard here, so that the tables fill several shards
+BUDGET = 500_000        # characters of the budget query, so that it is crossed
+# phrases that occur in the tables, beside the reference's
+PHRASES = [*IBD_KEYWORDS, "apache license", "mit license", "cc by-nc"]
 
 
 def corpus_docs(spark, sf_dir):
@@ -24,7 +28,7 @@ def corpus_docs(spark, sf_dir):
 
 
 def assigned_docs(spark, sf_dir):
-    return C.shard_assignment(corpus_docs(spark, sf_dir))
+    return C.shard_assignment(corpus_docs(spark, sf_dir), docs_per_shard=SHARD_DOCS)
 
 
 def _combine_sql(cols: list[str], min_len: int | None = None) -> str:
@@ -39,7 +43,7 @@ ord AS (SELECT doc_id, text,
                CAST(row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS BIGINT) AS idx,
                greatest(50, CAST(floor(count(*) OVER () * 0.1) AS BIGINT)) AS n_val FROM docs),
 asg AS (SELECT doc_id, text, idx, CASE WHEN idx < n_val THEN 'val' ELSE 'train' END AS split,
-               CAST(CASE WHEN idx < n_val THEN {VAL_SHARD} ELSE (idx - n_val) // {DOCS_PER_SHARD} END AS BIGINT) AS shard
+               CAST(CASE WHEN idx < n_val THEN {VAL_SHARD} ELSE (idx - n_val) // {SHARD_DOCS} END AS BIGINT) AS shard
         FROM ord)
 """
 
@@ -69,15 +73,19 @@ def _generic(df, key_expr):
                                    ["doc_key"])
 
 
-def _union(spark, sf_dir):
+def source_frames(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     conv = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     pages = read_table(spark, sf_dir, "pages")
-    return union_sources({
-        "documents": _generic(docs, F.col("doc_id")),
-        "conversations": _generic(conv, F.col("conv_id") * 100 + F.col("turn")),
-        "pages": _generic(pages, F.col("page_id")),
-    })
+    return {
+        "documents": _generic(spread(docs), F.col("doc_id")),
+        "conversations": _generic(spread(conv), F.col("conv_id") * 100 + F.col("turn")),
+        "pages": _generic(spread(pages), F.col("page_id")),
+    }
+
+
+def _union(spark, sf_dir):
+    return union_sources(source_frames(spark, sf_dir))
 
 
 @register("union_sources", sql=UNION_SQL)
@@ -133,13 +141,13 @@ def q_filter_min_length(spark, sf_dir):
 
 KW_SQL = " OR ".join(f"contains(lower(text), {S.lit(k)})" for k in
                      __import__("quarry.functions.text", fromlist=["x"]).minimal_phrases(
-                         __import__("quarry.constants", fromlist=["x"]).IBD_KEYWORDS))
+                         PHRASES))
 
 
 @register("filter_keywords_any", sql=f"SELECT doc_id, text FROM documents WHERE length(text) > 100 AND ({KW_SQL})")
 def q_filter_keywords_any(spark, sf_dir):
-    """Long documents that mention any of the twelve phrases (lower-cased substring)."""
-    return TX.filter_keywords_any(corpus_docs(spark, sf_dir))
+    """Long documents that mention any of the phrases (lower-cased substring)."""
+    return TX.filter_keywords_any(TX.filter_min_length(spread(read_table(spark, sf_dir, "documents", "doc_id", "text"))), PHRASES)
 
 
 @register("pick_first_candidate", sql=f"""
@@ -175,7 +183,7 @@ FROM (SELECT n_loaded, n_long, n_relevant, least(n_long, greatest(50, CAST(floor
                    CAST(count_if(length(text) > 100 AND ({KW_SQL})) AS BIGINT) AS n_relevant FROM documents))""")
 def q_corpus_counts(spark, sf_dir):
     """Loaded, long enough, relevant, train and validation counts in one pass."""
-    return C.corpus_counts(read_table(spark, sf_dir, "documents", "text"))
+    return C.corpus_counts(read_table(spark, sf_dir, "documents", "text"), phrases=PHRASES)
 
 
 @register("shard_assignment", sql=SHARD_SQL + "SELECT doc_id, idx, split, shard FROM asg")
@@ -203,13 +211,13 @@ def q_scan_split(spark, sf_dir):
 SELECT doc_id, idx, n_chars FROM (
   SELECT doc_id, idx, CAST(least(length(text), {DOC_CAP}) AS BIGINT) AS n_chars,
          coalesce(sum(least(length(text), {DOC_CAP})) OVER (ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM asg WHERE split = 'train') WHERE before < {MAX_CHARS}""")
+  FROM asg WHERE split = 'train') WHERE before < {BUDGET}""")
 def q_char_budget(spark, sf_dir):
     """D8 (+ B11): the tokenizer's training input — train documents in shuffled order, each
-    counted up to 10,000 characters, until 1e9 characters (the crossing one included)."""
+    counted up to 10,000 characters, until the budget (the crossing one included)."""
     train = assigned_docs(spark, sf_dir).where(F.col("split") == "train")
     n_chars = F.least(F.length("text"), F.lit(DOC_CAP)).cast("long")
-    kept = C.char_budget(train, "idx", n_chars, MAX_CHARS)
+    kept = C.char_budget(train, "idx", n_chars, BUDGET)
     return kept.select("doc_id", "idx", n_chars.alias("n_chars"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import commit_short, memory_gb
 from quarry.operators import experiments as X
 from quarry.plans.registry import register
-from quarry.plans.standins import EXPERIMENT_LOG_SQL, experiment_log
+from quarry.plans.standins import EXPERIMENT_LOG_SQL, experiment_log, experiment_rows
 from quarry.session import read_table
 
 W = "WITH " + EXPERIMENT_LOG_SQL
@@ -26,7 +26,7 @@ def q_experiment_log(spark, sf_dir):
 SELECT run, status, CAST(count(*) AS BIGINT) AS n FROM log WHERE status IS NOT NULL GROUP BY run, status""")
 def q_status_counts(spark, sf_dir):
     """Outcome counts per log."""
-    return X.status_counts(experiment_log(spark, sf_dir))
+    return X.status_counts(experiment_rows(spark, sf_dir))
 
 
 @register("keep_rate", sql=W + """
@@ -39,7 +39,7 @@ FROM (SELECT run, CAST(count(*) AS BIGINT) AS n_total,
       FROM log GROUP BY run)""")
 def q_keep_rate(spark, sf_dir):
     """C4: keep / (keep + discard)."""
-    return X.keep_rate(experiment_log(spark, sf_dir))
+    return X.keep_rate(experiment_rows(spark, sf_dir))
 
 
 BEST_SQL = """
@@ -77,8 +77,8 @@ def q_improvement_summary(spark, sf_dir):
 
 
 @register("running_best", sql=W + f"""
-SELECT {LOG_COLS}, min(val_bpb) OVER (PARTITION BY run ORDER BY idx
-       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_best
+SELECT {LOG_COLS}, CASE WHEN val_bpb IS NOT NULL THEN min(val_bpb) OVER (PARTITION BY run ORDER BY idx
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS running_best
 FROM log WHERE status = 'KEEP'""")
 def q_running_best(spark, sf_dir):
     """Cumulative minimum over kept runs."""
@@ -134,7 +134,8 @@ def q_top_hits(spark, sf_dir):
 
 
 @register("total_delta", sql=W + "," + KEPT_SQL + """
-SELECT run, sum(delta) AS total_delta, CAST(count(*) AS BIGINT) AS n_hits FROM hits GROUP BY run""")
+SELECT run, coalesce(sum(prev_bpb - val_bpb), 0.0) AS total_delta, CAST(count_if(k > 0) AS BIGINT) AS n_hits
+FROM seq GROUP BY run""")
 def q_total_delta(spark, sf_dir):
     """Sum of per-step improvements."""
     return X.total_delta(experiment_log(spark, sf_dir))

@@ -56,11 +56,11 @@ def q_scan_split_files(spark, sf_dir):
 SELECT page_id AS doc_key, {_combine_sql(['url', 'html'])} AS text FROM pages
 WHERE length({_combine_sql(['url', 'html'])}) > 100""")
 def q_scan_delimited(spark, sf_dir):
-    """A2 + B2: ``pages`` written as one CSV (quoted html with line breaks and quotes), read
+    """A2 + B2: ``pages`` written as CSV files (quoted html with line breaks and quotes), read
     back with the pandas-compatible reader; ``page_id`` is numeric, so the text columns are
     url and html."""
     path = os.path.join(scratch_dir(spark, "csv"), "pages.csv")
-    (read_table(spark, sf_dir, "pages", "page_id", "url", "html").coalesce(1).write
+    (read_table(spark, sf_dir, "pages", "page_id", "url", "html").write
         .option("header", True).option("quote", '"').option("escape", '"').csv(path))
     docs = delimited_docs(spark, path, key="page_id")
     return docs.select(F.col("page_id").cast("long").alias("doc_key"), "text")
@@ -73,6 +73,7 @@ def q_scan_run_log(spark, sf_dir):
     """A15 + J1: every run's step lines (``\\r``-separated, the reference's format) written as
     a text log per run, read back with the file as run id, parsed into fields."""
     root = os.path.join(scratch_dir(spark, "runlogs"), "logs")
+    # a hot run is spread over several files of its folder
     step_lines(spark, sf_dir).select("run", "line").write.partitionBy("run").text(root)
     lines = scan_run_log(spark, root)
     lines = lines.withColumn("run", F.regexp_extract("run", r"run=([0-9]+)/", 1).cast("long"))
@@ -100,3 +101,148 @@ def q_scan_experiment_log(spark, sf_dir):
     logs = scan_experiment_logs(spark, root)
     logs = logs.withColumn("run", F.regexp_extract("run", r"run=([0-9]+)/", 1).cast("long"))
     return normalize_log(logs)
+
+
+# --------------------------------------------------------------------------- mixed folders
+
+def _one_file_per_task(df, folder: str, suffix: str, pack) -> None:
+    """Each partition of ``df`` (one string or binary column) as one file of ``folder``."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    from quarry.sources.files import arrow_store, write_once
+
+    def run(batches):
+        store, root = arrow_store(folder)
+        values = (v for b in batches for v in b.column(0).to_pylist())
+        write_once(store, f"{root}/part-{TaskContext.get().partitionId():05d}{suffix}", pack(values))
+        yield pa.RecordBatch.from_arrays([pa.array([1])], ["n"])
+
+    df.mapInArrow(run, "n bigint").agg(F.sum("n")).first()
+
+
+def _json_array(values):
+    sep = b"["
+    for v in values:
+        yield sep + v.encode()
+        sep = b",\n"
+    yield b"[]" if sep == b"[" else b"]"
+
+
+def _zip_of(values):
+    import io
+    import zipfile
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for i, v in enumerate(values):
+            z.writestr(f"members/pages-{i}.csv", v)
+    yield out.getvalue()
+
+
+def _write_cases_json(spark, sf_dir, folder: str) -> None:
+    c = read_table(spark, sf_dir, "conversations", "role", "text")
+    item = F.struct("text", F.concat("role", F.lit(": "), F.col("text")).alias("body"), F.col("role").alias("conclusion"),
+                    F.struct("role").alias("abstract"), F.length("text").alias("discussion"))   # no strings: not taken
+    _one_file_per_task(c.select(F.to_json(item).alias("v")), folder, ".json", _json_array)
+
+
+def _write_pages_csv(spark, sf_dir, folder: str) -> None:
+    (read_table(spark, sf_dir, "pages", "page_id", "url", "html").write.option("header", True)
+        .option("quote", '"').option("escape", '"').csv(folder))
+
+
+def _write_pages_zip(spark, sf_dir, folder: str) -> None:
+    csv = os.path.join(scratch_dir(spark, "csv"), "pages")
+    _write_pages_csv(spark, sf_dir, csv)
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(csv).select("content")
+    _one_file_per_task(parts, folder, ".zip", _zip_of)
+
+
+CASES_SQL = f"""SELECT {_combine_sql(['text', "role || ': ' || text", 'role'], 20)} AS text FROM conversations
+WHERE length({_combine_sql(['text', "role || ': ' || text", 'role'], 20)}) > 100"""
+CASES_SQL = CASES_SQL.replace(_combine_sql(['text', "role || ': ' || text", 'role'], 20),
+                              _combine_sql(['role', 'text', "role || ': ' || text"], 20))   # the order of the fields
+PAGES_SQL = f"""SELECT {_combine_sql(['url', 'html'])} AS text FROM pages WHERE length({_combine_sql(['url', 'html'])}) > 100"""
+
+
+@register("scan_json_cases", sql=CASES_SQL)
+def q_scan_json_cases(spark, sf_dir):
+    """A3 + B6: conversations written as JSON lists of case objects, read back: strings only."""
+    from quarry.sources.tabular import scan_json_cases
+    folder = os.path.join(scratch_dir(spark, "json"), "cases")
+    _write_cases_json(spark, sf_dir, folder)
+    return scan_json_cases(spark, os.path.join(folder, "*.json")).select("text")
+
+
+@register("scan_zip_members", sql=PAGES_SQL)
+def q_scan_zip_members(spark, sf_dir):
+    """A4: pages written as CSV members of zip files, read back."""
+    from quarry.sources.tabular import scan_zip_members
+    folder = os.path.join(scratch_dir(spark, "zip"), "pages")
+    _write_pages_zip(spark, sf_dir, folder)
+    return scan_zip_members(spark, os.path.join(folder, "*.zip")).where("error IS NULL").select("text")
+
+
+def _mixed_folder(spark, sf_dir) -> str:
+    """Documents as parquet, conversations as JSON, pages as CSV and again in zip files, and one file
+    of each kind that cannot be read (made from the first bytes of a good one)."""
+    root = os.path.join(scratch_dir(spark, "mixed"), "in")
+    read_table(spark, sf_dir, "documents", "text").write.parquet(os.path.join(root, "docs"))
+    _write_cases_json(spark, sf_dir, os.path.join(root, "cases"))
+    _write_pages_csv(spark, sf_dir, os.path.join(root, "pages"))
+    _write_pages_zip(spark, sf_dir, os.path.join(root, "zips"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "content")
+    for kind, suffix in (("docs", ".parquet"), ("cases", ".json"), ("zips", ".zip")):
+        one = files.where(F.col("path").contains(f"/{kind}/") & (F.col("length") > 100)).orderBy("path").limit(1)
+        cut = one.select(F.substring("content", 1, 60).alias("v"))
+        _one_file_per_task(cut.coalesce(1), os.path.join(root, f"broken-{kind}"), suffix, iter)
+    return root
+
+
+@register("load_dir", sql=f"""
+SELECT 'docs' AS folder, {_combine_sql(['text'])} AS text, false AS failed FROM documents WHERE length({_combine_sql(['text'])}) > 100
+UNION ALL SELECT 'cases', text, false FROM ({CASES_SQL})
+UNION ALL SELECT 'pages', text, false FROM ({PAGES_SQL})
+UNION ALL SELECT 'zips', text, false FROM ({PAGES_SQL})
+UNION ALL SELECT unnest(['broken-docs', 'broken-cases', 'broken-zips']), NULL, true""")
+def q_load_dir(spark, sf_dir):
+    """A1–A6 in one call on a folder of every file type, with broken files quarantined."""
+    from quarry.sources.tabular import load_dir
+    docs = load_dir(spark, _mixed_folder(spark, sf_dir))
+    return docs.select(F.regexp_extract("path", "/in/([^/]+)/", 1).alias("folder"), "text", F.col("error").isNotNull().alias("failed"))
+
+
+@register("materialize_once", sql="SELECT doc_id, text FROM documents")
+def q_materialize_once(spark, sf_dir):
+    """The first write counts; a second one, of nothing, is skipped."""
+    from quarry.sources.shards import materialize_once
+    docs, path = read_table(spark, sf_dir, "documents", "doc_id", "text"), os.path.join(scratch_dir(spark, "once"), "docs")
+    materialize_once(docs, path)
+    return materialize_once(docs.limit(0), path)
+
+
+def _prepare_sql() -> str:
+    from quarry.plans.catalog.corpus_queries import SHARD_DOCS, UNION_SQL, VAL_SHARD
+    return f"""
+WITH u AS ({UNION_SQL}),
+ord AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || source || ':' || CAST(doc_key AS VARCHAR)), source, doc_key) - 1 AS idx,
+               greatest(50, CAST(floor(count(*) OVER () * 0.1) AS BIGINT)) AS n_val FROM u),
+asg AS (SELECT *, CASE WHEN idx < n_val THEN 'val' ELSE 'train' END AS split,
+               CAST(CASE WHEN idx < n_val THEN {VAL_SHARD} ELSE (idx - n_val) // {SHARD_DOCS} END AS BIGINT) AS shard FROM ord)
+SELECT split, shard, CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(strlen(text)) AS BIGINT) AS n_bytes,
+       true AS counted FROM asg GROUP BY split, shard"""
+
+
+@register("prepare_corpus", sql=_prepare_sql())
+def q_prepare_corpus(spark, sf_dir):
+    """The preparation path on three sources, from union to written shards; ``counted``: the counts
+    observed during the write are those of what was written."""
+    from quarry.plans.catalog.corpus_queries import SHARD_DOCS, source_frames
+    from quarry.plans.prepare import prepare_corpus
+    out = os.path.join(scratch_dir(spark, "prepare"), "corpus")
+    seen = prepare_corpus(source_frames(spark, sf_dir), out, docs_per_shard=SHARD_DOCS)
+    back = spark.read.option("pathGlobFilter", "*.parquet").parquet(out)
+    stats = shard_stats(back)
+    total = stats.agg(F.sum("n_docs").alias("d"), F.sum("n_bytes").alias("b")).first()
+    same = seen["n_docs"] == total["d"] and seen["n_bytes"] == total["b"]
+    return stats.withColumn("counted", F.lit(same))

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.constants import H100_BF16_PEAK_FLOPS, TOTAL_BATCH_SIZE
+from quarry.constants import H100_BF16_PEAK_FLOPS, STEP_LINE, SUMMARY_LINES, TOTAL_BATCH_SIZE
 from quarry.operators import runlogs as R
 from quarry.plans.registry import register
-from quarry.plans.standins import FLOPS_PER_TOKEN, STEP_SQL, step_table
+from quarry.plans.standins import FLOPS_PER_TOKEN, GAP_SCALE, STEP_SQL, step_table
 
 W = "WITH " + STEP_SQL
 STEP_COLS = "run, step, event_id, event_type, loss, dt"
@@ -34,6 +34,12 @@ def timed(spark, sf_dir):
     return R.cumulative_train_time(steps(spark, sf_dir))
 
 
+def run_totals(spark, sf_dir):
+    """C11 with a step's memory from the event's ``props.k`` (stand-in: k · 512 MB)."""
+    memory = F.get_json_object("props", "$.k").try_cast("double") * 512
+    return R.run_totals(timed(spark, sf_dir), flops_per_token=FLOPS_PER_TOKEN, memory_mb=memory)
+
+
 @register("step_table", sql=W + f"SELECT {STEP_COLS} FROM steps")
 def q_step_table(spark, sf_dir):
     """The stand-in telemetry: dense steps per run and seconds per step."""
@@ -91,6 +97,7 @@ def q_stop_step(spark, sf_dir):
 
 @register("run_totals", sql=TIMED_SQL + f""",
 agg AS (SELECT run, max(step) + 1 AS num_steps, sum(CASE WHEN step > 10 THEN dt ELSE 0.0 END) AS training_seconds,
+               sum(dt) AS total_seconds, max(CAST(json_extract(props, '$.k') AS DOUBLE) * 512) AS peak_vram_mb,
                CAST(count(*) AS BIGINT) AS n_lines FROM timed GROUP BY run)
 SELECT *, CAST(num_steps * {TOTAL_BATCH_SIZE} AS BIGINT) AS total_tokens,
        CASE WHEN training_seconds > 0 THEN CAST({100.0 * FLOPS_PER_TOKEN * TOTAL_BATCH_SIZE / H100_BF16_PEAK_FLOPS!r} AS DOUBLE) * (num_steps - 10) / training_seconds ELSE 0.0 END AS steady_mfu,
@@ -98,7 +105,7 @@ SELECT *, CAST(num_steps * {TOTAL_BATCH_SIZE} AS BIGINT) AS total_tokens,
 FROM agg""")
 def q_run_totals(spark, sf_dir):
     """C11 + J7: steps, tokens, training seconds, steady MFU (as written and exact)."""
-    return R.run_totals(timed(spark, sf_dir), flops_per_token=FLOPS_PER_TOKEN)
+    return run_totals(spark, sf_dir)
 
 
 @register("ema_loss", sql=W + f"""
@@ -120,7 +127,7 @@ def q_tail_lines(spark, sf_dir):
 
 SUMMARY_SQL = W + """,
 summ AS (SELECT run, min(CASE WHEN event_type = 'purchase' THEN loss END) AS val_bpb,
-                CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / 1e6 AS total_seconds
+                CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / 1e6 / 4000 AS total_seconds
          FROM steps GROUP BY run)
 """
 
@@ -129,7 +136,7 @@ def summaries(spark, sf_dir):
     s = steps(spark, sf_dir)
     return s.groupBy("run").agg(
         F.min(F.when(F.col("event_type") == "purchase", F.col("loss"))).alias("val_bpb"),
-        (F.expr("timestampdiff(MICROSECOND, min(ts), max(ts))") / F.lit(1e6)).alias("total_seconds"))
+        (F.expr("timestampdiff(MICROSECOND, min(ts), max(ts))") / F.lit(1e6) / F.lit(GAP_SCALE)).alias("total_seconds"))
 
 
 @register("detect_crash", sql=SUMMARY_SQL + """
@@ -140,10 +147,6 @@ def q_detect_crash(spark, sf_dir):
     return R.detect_crash(steps(spark, sf_dir), summaries(spark, sf_dir), total_col="total_seconds")
 
 
-STEP_LINE = ("\rstep %05d (%.1f%%) | loss: %.6f | lrm: %.2f | dt: %.0fms | tok/sec: %,d | "
-             "mfu: %.1f%% | epoch: %d | remaining: %.0fs    ")
-
-
 def step_lines(spark, sf_dir):
     """The step lines a run would print (the reference's format), one per step."""
     t = R.schedule_audit(R.throughput(timed(spark, sf_dir), flops_per_token=F.lit(FLOPS_PER_TOKEN)))
@@ -154,32 +157,53 @@ def step_lines(spark, sf_dir):
     return t.select("run", "step", line.alias("line"))
 
 
-@register("parse_step_lines")
+# What the printed digits of a step say.  SQL rounds a tie away from zero in decimal, as the
+# printer does; a value one bit off a tie may differ, so the oracle gives numbers in units of the
+# last digit, within which the query's must lie.
+@register("parse_step_lines", sql=TIMED_SQL + f""",
+ema AS (SELECT run, step, 0.1 * pow(0.9, step) * sum(pow(0.9, -step) * loss) OVER (PARTITION BY run ORDER BY step
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / (1 - pow(0.9, step + 1)) AS ema FROM steps)
+SELECT t.run, t.step, true AS pct_ok, true AS loss_ok, true AS lrm_ok, true AS dt_ok, true AS mfu_ok, true AS remaining_ok,
+       CASE WHEN dt > 0 THEN CAST(floor({TOTAL_BATCH_SIZE}.0 / dt) AS BIGINT) ELSE 0 END AS tok_sec, CAST(1 AS BIGINT) AS epoch
+FROM timed t JOIN ema e ON t.run = e.run AND t.step = e.step""")
 def q_parse_step_lines(spark, sf_dir):
-    """Step lines written in the reference's format, then parsed back into fields."""
-    return R.parse_step_lines(step_lines(spark, sf_dir))
-
-
-@register("parse_summary")
+    """Step lines written in the reference's format, then parsed back: integers as they are,
+    every decimal within half a unit of its last printed digit of what was printed."""
+    t = R.ema_loss(R.schedule_audit(R.throughput(timed(spark, sf_dir), flops_per_token=F.lit(FLOPS_PER_TOKEN))).drop("ts"))
+    true = t.select("run", "step", "pct_done", "ema_loss", "lrm_expected", (F.col("dt") * 1000).alias("dt_true"),
+                    F.coalesce("mfu", F.lit(0.0)).alias("mfu_true"), F.col("remaining").alias("remaining_true"))
+    got = R.parse_step_lines(step_lines(spark, sf_dir)).join(true, ["run", "step"])
+    near = lambda c, d, digits, out: (F.abs(F.col(c) - F.col(d)) <= 0.5 * 10.0 ** -digits * (1 + 1e-6)).alias(out)
+    return got.select("run", "step", near("pct", "pct_done", 1, "pct_ok"), near("loss", "ema_loss", 6, "loss_ok"),
+                      near("lrm", "lrm_expected", 2, "lrm_ok"), near("dt_ms", "dt_true", 0, "dt_ok"),
+                      near("mfu", "mfu_true", 1, "mfu_ok"), near("remaining", "remaining_true", 0, "remaining_ok"),
+                      "tok_sec", "epoch")
+
+
+@register("parse_summary", sql=TIMED_SQL.replace("SELECT run, step, event_id", "SELECT run, step, ts, event_id") + """,
+tot AS (SELECT run, min(CASE WHEN event_type = 'purchase' THEN loss END) AS val_bpb,
+               max(CAST(json_extract(props, '$.k') AS DOUBLE) * 512) AS mb, min(ts) AS started FROM timed GROUP BY run),
+shown AS (SELECT run, round(val_bpb, 6) AS val_bpb, round(mb, 1) AS mb FROM tot),
+m AS (SELECT *, min(val_bpb) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM shown)
+SELECT run, substr(md5(CAST(run AS VARCHAR)), 1, 7) AS commit, coalesce(val_bpb, 0.0) AS val_bpb,
+       CASE WHEN val_bpb IS NULL THEN 0.0 ELSE round(mb / 1024, 1) END AS memory_gb,
+       CASE WHEN val_bpb IS NULL THEN 'crash' WHEN best IS NULL OR val_bpb < best THEN 'keep' ELSE 'discard' END AS status,
+       'run ' || CAST(run AS VARCHAR) AS description
+FROM m""")
 def q_parse_summary(spark, sf_dir):
-    """J2 + J10: a summary block per run written as ``key: value`` lines and parsed back
-    with a pivot; then the results-log row (crash → 0.000000 / 0.0)."""
-    tot = R.run_totals(timed(spark, sf_dir), flops_per_token=FLOPS_PER_TOKEN)
-    s = summaries(spark, sf_dir).join(tot, "run")
-    kv = F.array(
-        F.format_string("val_bpb:          %.6f", F.col("val_bpb")),
-        F.format_string("training_seconds: %.1f", F.col("training_seconds")),
-        F.format_string("total_seconds:    %.1f", F.col("total_seconds")),
-        F.format_string("peak_vram_mb:     %.1f", F.col("total_seconds") / 10),
-        F.format_string("mfu_percent:      %.2f", F.col("steady_mfu")),
-        F.format_string("total_tokens_M:   %.1f", F.col("total_tokens") / 1e6),
-        F.format_string("num_steps:        %d", F.col("num_steps")),
-        F.format_string("num_params_M:     %.1f", F.lit(50.3)),
-        F.format_string("depth:            %d", F.lit(8)))
-    lines = s.select("run", F.explode(F.concat(F.array(F.lit("---")), kv)).alias("line"))
+    """J2 + J10 + D7: a summary block per run written as ``key: value`` lines and parsed back
+    with a pivot; then the results-log row with the keep rule's status (crash → 0.000000 / 0.0);
+    the runs are one log in order of their number."""
+    s = summaries(spark, sf_dir).drop("total_seconds").join(run_totals(spark, sf_dir), "run")
+    values = {"val_bpb": F.col("val_bpb"), "training_seconds": F.col("training_seconds"),
+              "total_seconds": F.col("total_seconds"), "peak_vram_mb": F.col("peak_vram_mb"),
+              "mfu_percent": F.col("steady_mfu"), "total_tokens_M": F.col("total_tokens") / 1e6,
+              "num_steps": F.col("num_steps"), "num_params_M": F.lit(50.3), "depth": F.lit(8)}
+    kv = [F.format_string(SUMMARY_LINES[k], v) for k, v in values.items()]
+    lines = s.select("run", F.posexplode(F.array(F.lit("---"), *kv)).alias("at", "line"))
     lines = lines.where(~F.col("line").contains("null"))
-    parsed = R.parse_summary(lines)
-    crashed = R.detect_crash(steps(spark, sf_dir), parsed)
-    meta = parsed.select("run", F.md5(F.col("run").cast("string")).alias("commit"),
-                         F.concat(F.lit("run "), F.col("run").cast("string")).alias("description"))
-    return R.build_results_log(parsed.join(meta, "run"), crashed)
+    parsed = R.parse_summary(lines, order="at")
+    crashed = R.detect_crash(s, parsed)
+    meta = s.select("run", F.md5(F.col("run").cast("string")).alias("commit"),
+                    F.concat(F.lit("run "), F.col("run").cast("string")).alias("description"))
+    return R.build_results_log(parsed.join(meta, "run", "right"), crashed)

@@ -23,11 +23,9 @@ def prepare_corpus(sources: dict[str, DataFrame], out: str, key: str = "doc_key"
     docs = union_sources(sources).where(F.length("text") > min_chars)
     if keywords:
         docs = filter_keywords_any(docs, keywords)
-    assigned = shard_assignment(docs, key=key, docs_per_shard=docs_per_shard)
+    assigned = shard_assignment(docs, key=["source", key], docs_per_shard=docs_per_shard)
     obs = Observation("corpus")
-    observed = assigned.observe(obs, F.count(F.lit(1)).alias("n_docs"),
-                                F.count_if(F.col("split") == "val").alias("n_val"),
-                                F.count_if(F.col("split") == "train").alias("n_train"),
-                                F.sum(F.octet_length("text")).alias("n_bytes"))
-    write_shards(observed, out, mode, columns=("text", "source", key))
+    write_shards(assigned, out, mode, columns=("text", "source", key), observe=(
+        obs, F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("split") == "val").alias("n_val"),
+        F.count_if(F.col("split") == "train").alias("n_train"), F.sum(F.octet_length("text")).alias("n_bytes")))
     return dict(obs.get)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SPLITS = ("train", "val")
+
 
 def scan_text_parquet(spark: SparkSession, path: str, *extra: str) -> DataFrame:
     """A1: only ``text`` (and the named columns) is read from the shards."""
@@ -13,27 +15,34 @@ def scan_text_parquet(spark: SparkSession, path: str, *extra: str) -> DataFrame:
 
 def scan_split(spark: SparkSession, root: str, split: str) -> DataFrame:
     """One split of a ``split=…/shard=…`` layout; the filter prunes partitions and only
-    ``*.parquet`` files are read (never a half-written ``*.tmp``)."""
+    ``*.parquet`` files are read (never a half-written ``*.tmp``).  An unknown split name, or a
+    folder without shards, stops the job."""
+    if split not in SPLITS:
+        raise ValueError(f"split must be one of {SPLITS}, not {split!r}")
+    if list_shards(spark, root).limit(1).count() == 0:
+        raise FileNotFoundError(f"no shards in {root}; prepare the corpus first")
     return spark.read.option("pathGlobFilter", "*.parquet").parquet(root).where(F.col("split") == F.lit(split))
 
 
 def list_shards(spark: SparkSession, root: str) -> DataFrame:
-    """The ``*.parquet`` files (never ``*.tmp``) with their size, in name order;
-    only the file footers are read."""
-    df = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(root)
-    return (df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_name").alias("file_name"),
-                      F.col("_metadata.file_size").alias("file_size"))
-              .distinct().orderBy("file_path"))
+    """The ``*.parquet`` files (never ``*.tmp``) with their size, in name order, those without
+    rows too: the folder is listed and no file is opened."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", True).load(root))
+    return (files.select(F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                         F.col("length").alias("file_size")).orderBy("file_path"))
 
 
 def write_shards(assigned: DataFrame, root: str, mode: str = "errorifexists",
-                 columns: tuple[str, ...] = ("text",)) -> None:
-    """One directory per (split, shard).  The input is already range-ordered by its
-    index (``global_index``), so every task writes a contiguous run of shards: no shuffle;
-    the large validation shard is written by many tasks in parallel."""
-    (assigned.select(*columns, "split", "shard", "idx").sortWithinPartitions("split", "shard", "idx")
-             .drop("idx").write.mode(mode).partitionBy("split", "shard").parquet(root))
+                 columns: tuple[str, ...] = ("text",), observe: tuple = ()) -> None:
+    """One directory per (split, shard).  Rows are range-partitioned by their index, so every
+    task writes a contiguous run of shards (one file a shard, but where a range cuts it) and the
+    large validation shard is written by many tasks in parallel.  ``observe`` (an Observation and
+    its aggregates) counts the rows as they are written."""
+    rows = (assigned.select(*columns, "split", "shard", "idx").repartitionByRange("idx")
+                    .sortWithinPartitions("split", "shard", "idx"))
+    rows = rows.observe(*observe) if observe else rows
+    (rows.drop("idx").write.mode(mode).partitionBy("split", "shard").parquet(root))
 
 
 def materialize_once(df: DataFrame, path: str) -> DataFrame:
