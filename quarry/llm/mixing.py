@@ -39,14 +39,19 @@ def bucket(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
 
+def sample_ids(rows: DataFrame, key: str) -> DataFrame:
+    """At most MAX_LABELLED ids, by their hash."""
+    return (rows.where(F.col(key).isNotNull()).select(key).distinct()
+            .orderBy(F.xxhash64(key), key).limit(MAX_LABELLED))
+
+
 def fit_domains(labelled: DataFrame, text: str, domain: str, key: str) -> tuple[list[str], dict[str, list[float]], list[float]]:
     """Domains in order, log-probabilities of the buckets in each, log-priors; from at most
     MAX_LABELLED rows with a domain and an id, chosen by the id's hash."""
-    ids = (labelled.where(F.col(domain).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_id"))
-           .distinct().orderBy(F.xxhash64("_id"), "_id").limit(MAX_LABELLED))
-    rows = (labelled.where(F.col(domain).isNotNull())
-            .select(F.col(key).alias("_id"), F.col(domain).cast("string").alias("d"), words(text).alias("w"))
-            .join(F.broadcast(ids), "_id"))                      # MAX_LABELLED ids
+    known = labelled.where(F.col(domain).isNotNull())
+    rows = known.select(F.col(key).alias("_id"), F.col(domain).cast("string").alias("d"), F.col(text).alias("t"))
+    rows = written(rows.join(F.broadcast(sample_ids(known, key).withColumnRenamed(key, "_id")), "_id"), "labelled")
+    rows = rows.select("d", words("t").alias("w"))
     counts = (rows.select("d", F.explode("w").alias("w")).groupBy("d", bucket(F.col("w")).alias("b"))
               .agg(F.count(F.lit(1)).alias("n")))
     priors = {r["d"]: r["n"] for r in rows.groupBy("d").agg(F.count(F.lit(1)).alias("n")).limit(MAX_DOMAINS + 1).collect()}
@@ -120,7 +125,7 @@ def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], bu
     n = len(domains)
     base, ahead = totals(rows, n, [])
     w = [max(0.0, weights.get(d, 0.0)) for d in domains]
-    w = [x / sum(w) for x in w] if sum(w) > 0 else [1.0 / n] * n
+    w = [x / sum(w) for x in w] if sum(w) > 0 else [1.0 / max(1, n)] * n
     if budget == "keep":
         size = max([b / x for b, x in zip(base, w) if x > 0 and b > 0], default=0.0)
     else:

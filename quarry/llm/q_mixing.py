@@ -12,9 +12,11 @@ WEIGHTS = {"en": 0.5, "de": 0.18, "fr": 0.18, "es": 0.14}
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labelled rows: documents listed in ``labels``, with their language as the domain."""
+    """The labelled rows: documents listed in ``labels``, with their language as the domain, at
+    most ``mixing.MAX_LABELLED`` of them by the hash of their id."""
+    ids = mixing.sample_ids(read_table(spark, sf_dir, "labels", "doc_id"), "doc_id")
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", F.col("lang").alias("domain"))
-    return docs.join(read_table(spark, sf_dir, "labels", "doc_id").distinct(), "doc_id", "left_semi")
+    return docs.join(F.broadcast(ids), "doc_id", "left_semi")
 
 
 @register("op2_mixing")
