@@ -47,7 +47,7 @@ def list_array(lengths: Iterable[int], values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str, chars: int = 4_000_000) -> Iterable[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], text: str, chars: int = 2_000_000) -> Iterable[pa.RecordBatch]:
     """Arrow batches cut so that a slice holds about ``chars`` characters (at least a row),
     which bounds a task's memory however long the texts are.  No row is lost."""
     import pyarrow.compute as pc
@@ -75,3 +75,17 @@ def fresh(df: DataFrame, name: str) -> str:
 def packed(df: DataFrame, name: str = "row") -> DataFrame:
     """All columns of ``df`` in one struct, so that no helper column can clash with them."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
+
+
+ARROW_BYTES = 4 << 20        # of a batch that goes to Python
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes as well as by rows: ten thousand texts may be a
+    gigabyte.  The setting is the session's, since it is read when the frame runs; a smaller one
+    is left alone."""
+    spark = df.sparkSession
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+    return df.mapInArrow(run, schema)

@@ -2,34 +2,35 @@
 
 1. A map-side pass sketches every text: digest, band buckets, signature.
 2. Texts with equal digests are one class at once; one of them represents it from here on.
-3. In each bucket every representative is paired with the bucket's smallest id only, and the
-   pairs are verified exactly on their shingles.  Links give components.
+3. In each bucket every representative is paired with the bucket's centre only - the member whose
+   buckets are the fullest, which in a group of near copies is the one most others are close to -
+   and the pairs are verified exactly on their shingles.  Links give components.
 4. A bucket whose members are still in several components may hide a link between two members
-   that are not its smallest.  There, the members outside the bucket's largest component are
-   compared with all others of the bucket, block by block, on their signatures; pairs of different
-   components that could reach the threshold are verified exactly: first the most similar few of
-   each, then, for what is still apart, all the rest.
+   of which neither is its centre.  There, the members outside the bucket's largest component are
+   compared with all others of the bucket, block by block: pairs of different components whose
+   signatures could reach the threshold are verified exactly in the task, which unites what it
+   links and so emits at most one link for each union, never the pairs of a group.
 5. Components of all verified links, with the copies, are the classes.
 
-No bucket is gathered in one task, no bucket's pairs are enumerated unless they could join two
-components, and nothing but counters reaches the driver."""
+Shingles are compared by 32 bits of their hashes: two texts of 20,000 words share one by chance
+once in ten times.  No bucket is gathered in one task, and nothing but counters reaches the
+driver."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import probminhash as pm
-from quarry.llm.common import list_array, slices, texts, written
+from quarry.llm.common import list_array, map_arrow, slices, texts, written
 from quarry.llm.components import components
 
 THRESHOLD = 0.8
 MARGIN = 0.12                # four standard errors of the signature's estimate near the threshold
 BLOCK = 512                  # members of a block in step 4
-FIRST_TRY = 8                # candidates of each member and component that step 4 verifies first
 
 
 def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -49,42 +50,42 @@ def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
                 ["id", "digest", "n", "bands", "sig"])
 
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("string").alias("_text"))
-    return rows.select("_text", "id").mapInArrow(
-        run, f"id {kind}, digest binary, n bigint, bands array<bigint>, sig binary")
+    return map_arrow(
+        rows.select("_text", "id"), run, f"id {kind}, digest binary, n bigint, bands array<bigint>, sig binary")
 
 
-def _pack(counts: np.ndarray) -> bytes:
-    """Counts as bytes; none at all where every count is one, as in most texts."""
-    return counts.astype("<u4").tobytes() if (counts > 1).any() else b""
+def _set(text: str) -> tuple[bytes, bytes]:
+    """Sorted 32-bit shingle hashes of a text, and their counts unless all are one, as in most texts."""
+    k, c = pm.shingles(text)
+    k, at = np.unique((k >> np.uint64(32)).astype("<u4"), return_inverse=True)
+    c = np.bincount(at, c, len(k)).astype("<u4")
+    return k.tobytes(), c.tobytes() if (c > 1).any() else b""
 
 
 def _unpack(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    k = np.frombuffer(hashes, "<u8")
+    k = np.frombuffer(hashes, "<u4")
     return k, np.frombuffer(counts, "<u4") if counts else np.ones(len(k), "<u4")
 
 
 def shingle_rows(docs: DataFrame, ids: DataFrame, text: str, key: str) -> DataFrame:
-    """``id, hashes, counts`` of the documents in ``ids`` (binary, for exact similarities)."""
+    """``id, hashes, counts`` of the documents in ``ids``, for exact similarities."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         for b in slices(batches, "_text"):
-            sets = [pm.shingles(x) for x in texts(b.column("_text"))]
+            sets = [_set(x) for x in texts(b.column("_text"))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array([k.astype("<u8").tobytes() for k, _ in sets], pa.binary()),
-                 pa.array([_pack(c) for _, c in sets], pa.binary())], ["id", "hashes", "counts"])
+                [b.column("id"), *(pa.array(x, pa.binary()) for x in (zip(*sets) if sets else ((), ())))], ["id", "hashes", "counts"])
 
-    rows = docs.select(F.col(text).cast("string").alias("_text"), F.col(key).alias("id")).join(ids, "id", "left_semi")
-    return rows.select("_text", "id").mapInArrow(run, f"id {kind}, hashes binary, counts binary").dropDuplicates(["id"])
+    # Candidates grow with the corpus: a plan that broadcasts them at a small size is no plan.
+    rows = docs.select(F.col(text).cast("string").alias("_text"), F.col(key).alias("id")).join(ids.hint("merge"), "id", "left_semi")
+    return map_arrow(rows.select("_text", "id"), run, f"id {kind}, hashes binary, counts binary").dropDuplicates(["id"])
 
 
-def verify(pairs: DataFrame, docs: DataFrame, text: str, key: str, threshold: float) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``a, b`` whose Jaccard or probability Jaccard is at least ``threshold``, written."""
-    pairs = written(pairs.select("a", "b").distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(shingle_rows(docs, ids, text, key), "shingles")
     side = lambda x: sets.select(F.col("id").alias(x), F.col("hashes").alias(f"h{x}"), F.col("counts").alias(f"c{x}"))
-    kind = docs.schema[key].dataType.simpleString()
+    kind = sets.schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
@@ -96,46 +97,68 @@ def verify(pairs: DataFrame, docs: DataFrame, text: str, key: str, threshold: fl
                 yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
 
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ha", "ca", "hb", "cb")
-    return written(both.mapInArrow(run, f"a {kind}, b {kind}"), "links")
+    return written(map_arrow(both, run, f"a {kind}, b {kind}"), "links")
 
 
-def open_pairs(members: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``a, b`` (with their components and estimate) of different components that share a
-    bucket and could reach the threshold.  ``members``: ``bucket, id, comp``."""
+def open_links(members: DataFrame, sigs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a > b`` that unite components which share a bucket; ``members``: ``bucket, band, id, comp``."""
     size = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     top = size.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("n", "comp")).alias("t"),
                                      F.sum("n").alias("all")).where("k > 1")
     open_ = (members.join(top.select("bucket", F.col("t.comp").alias("big"), F.col("t.n").alias("n_big"), "all"), "bucket")
              .withColumn("few", F.col("all") - F.col("n_big")))
-    open_ = open_.join(sigs, "id")
+    open_ = written(open_, "open-buckets")
+    own = written(sets.join(open_.select("id").distinct().hint("merge"), "id", "left_semi").join(sigs, "id"), "open-sets")
+    open_ = open_.join(own, "id")
     cut = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
     part = lambda n: F.pmod(F.xxhash64("id"), cut(F.col(n))).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), cut(F.col(n)) - 1))
-    few = (open_.where("comp <> big").withColumn("x", part("few")).withColumn("y", every("all"))
-           .select("bucket", "x", "y", "id", "comp", "sig"))
-    all_ = (open_.withColumn("y", part("all")).withColumn("x", every("few"))
-            .select("bucket", "x", "y", "id", "comp", "sig").toDF("bucket2", "x2", "y2", "id2", "comp2", "sig2"))
+    cols = ("bucket", "x", "y", "id", "comp", "sig", "hashes", "counts")
+    few = open_.where("comp <> big").withColumn("x", part("few")).withColumn("y", every("all")).select(*cols, "band", "big")
+    all_ = (open_.withColumn("y", part("all")).withColumn("x", every("few")).select(*cols).toDF(*[f"{c}2" for c in cols]))
     need = int(np.ceil((threshold - MARGIN) * pm.REGISTERS))
     kind = members.schema["id"].dataType.simpleString()
 
     def run(f: pa.Table, g: pa.Table) -> pa.Table:
-        out = {"a": [], "b": [], "ca": [], "cb": [], "same": []}
+        a, b = [], []
         if f.num_rows and g.num_rows:
-            fs, gs = (np.frombuffer(b"".join(t.column(5).to_pylist()), "<u4").reshape(t.num_rows, -1) for t in (f, g))
-            fi, fc, gi, gc = (t.column(c).to_pylist() for t in (f, g) for c in (3, 4))
-            for i in range(f.num_rows):
-                same = (gs == fs[i]).sum(1)
-                for j in np.flatnonzero(same >= need).tolist():
-                    if fc[i] != gc[j]:
-                        for c, v in zip(out, (fi[i], gi[j], fc[i], gc[j], int(same[j]))):
-                            out[c].append(v)
-        types = [f.schema.field(3).type] * 2 + [f.schema.field(4).type] * 2 + [pa.int32()]
-        return pa.table([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
+            (fi, fc, fs, fsets), (gi, gc, gs, gsets) = map(_side, (f, g))
+            band, big = f.column(8)[0].as_py(), f.column(9)[0].as_py()
+            up: dict = {}
+
+            def top(c):
+                while c in up:
+                    c = up[c]
+                return c
+
+            for i in range(len(fi)):
+                eq = gs == fs[i]
+                same = eq.sum(1)
+                # Of the buckets that two texts share, the one of the first band compares them.
+                first = eq.reshape(len(gs), pm.BANDS, pm.ROWS).all(2).argmax(1) == band
+                hit = np.flatnonzero((same >= need) & first)
+                for j in hit[np.argsort(-same[hit], kind="stable")]:
+                    c, d = top(fc[i]), top(gc[j])
+                    # Two members outside the largest component meet twice; one meeting is enough.
+                    if c == d or gc[j] != big and fi[i] < gi[j]:
+                        continue
+                    if max(pm.similarity(fsets[i], gsets[j])) >= threshold:
+                        up[c] = d
+                        a.append(max(fi[i], gi[j]))
+                        b.append(min(fi[i], gi[j]))
+        t = f.schema.field(3).type
+        return pa.table({"a": pa.array(a, t), "b": pa.array(b, t)})
 
     keys = ("bucket", "x", "y")
-    found = few.groupBy(*keys).cogroup(all_.groupBy(*[f"{k}2" for k in keys])).applyInArrow(
-        run, f"a {kind}, b {kind}, ca {kind}, cb {kind}, same int")
-    return written(found.distinct(), "open-pairs")
+    found = few.groupBy(*keys).cogroup(all_.groupBy(*[f"{k}2" for k in keys])).applyInArrow(run, f"a {kind}, b {kind}")
+    return written(found.distinct(), "open-links")
+
+
+def _side(t: pa.Table):
+    """Ids, components, signatures and shingle sets of a block."""
+    ids, comps, sig, hashes, counts = (t.column(i).to_pylist() for i in range(3, 8))
+    sigs = np.frombuffer(b"".join(sig), pm.SIG_TYPE).reshape(len(ids), -1)
+    return ids, comps, sigs, [_unpack(h, c) for h, c in zip(hashes, counts)]
 
 
 def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -159,26 +182,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
     copies = some.select("id", "digest").join(rep, "digest").where("id <> rep").select(
         F.col("id").alias("a"), F.col("rep").alias("b"))
     reps = rep.select(F.col("rep").alias("id")).distinct()
-    member = written(some.select("id", "bands").join(reps, "id", "left_semi")
-                     .select("id", F.explode("bands").alias("bucket")).distinct(), "members")
-    heads = member.groupBy("bucket").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    star = member.join(heads, "bucket").where("id <> b").select(F.col("id").alias("a"), "b")
-    links = verify(star, docs, text, key, threshold)
-
+    member = some.select("id", "bands").join(reps.hint("merge"), "id", "left_semi").select("id", F.posexplode("bands").alias("band", "bucket")).distinct()
+    size = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = written(member.join(size, "bucket"), "buckets")
+    fullness = shared.groupBy("id").agg(F.sum("n").alias("full"))
+    centre = (shared.join(fullness, "id").groupBy("bucket")
+              .agg(F.max_by("id", F.struct("full", F.xxhash64("id"))).alias("c")))
+    star = (shared.join(centre, "bucket").where("id <> c")
+            .select(F.greatest("id", "c").alias("a"), F.least("id", "c").alias("b")).distinct())
+    sets = written(shingle_rows(docs, shared.select("id").distinct(), text, key), "shingles")
+    links = verify(star, sets, threshold)
     sigs = some.select("id", "sig").dropDuplicates(["id"])
-    # Only buckets with two members or more can be open.
-    shared = member.join(heads.select("bucket"), "bucket", "left_semi")
-    for first in (FIRST_TRY, None):
-        found = open_pairs(with_components(shared, links), sigs, threshold)
-        if first is None:
-            pairs = found
-        else:
-            rank = F.row_number().over(Window.partitionBy("a", "cb").orderBy(F.desc("same"), "b"))
-            pairs = found.withColumn("r", rank).where(F.col("r") <= first)
-        more = verify(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), docs, text, key, threshold)
-        links = links.unionByName(more)
-        if first is not None and found.count() == pairs.count():
-            break                                  # nothing was put off
+    links = links.unionByName(open_links(with_components(shared.select("bucket", "band", "id"), links), sigs, sets, threshold))
     label = components(links.unionByName(copies), "a", "b").withColumnRenamed("node", "id")
     known = (sk.groupBy("id").agg(F.max("n").alias("n_shingles")).join(label, "id", "left")
              .select(F.col("id").alias("_id"), F.coalesce("label", "id").alias("class_id"), "n_shingles"))

@@ -12,14 +12,11 @@ every shingle that is still running."""
 from __future__ import annotations
 
 import numpy as np
-import xxhash
-
-from quarry.llm.common import WORD
 
 WIDTH = 5                    # words of a shingle
 BANDS, ROWS = 32, 6          # 0.8^6 in 32 bands: a pair at 0.8 is missed once in 17,000
 REGISTERS = BANDS * ROWS
-CACHED_WORDS = 300_000
+SIG_TYPE = np.dtype("<u2")   # 16 bits of a register's shingle: two texts agree by chance once in 65,536
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -31,25 +28,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = h
-        return h
+# A word's hash is the finalised sum of its characters times odd numbers by their place.
+_PLACES = mix(np.arange(1, 4097, dtype=np.uint64) * _STEP) | np.uint64(1)
 
 
-_WORDS = WordHashes()        # one per Python worker
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the text's words (runs of anything but ASCII white space), in order."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    blank = (code == 32) | ((code >= 9) & (code <= 13))
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    start = np.flatnonzero(begins)
+    if not len(start):
+        return np.empty(0, np.uint64)
+    place = np.arange(len(code)) - start[np.maximum(np.cumsum(begins) - 1, 0)]
+    value = (code.astype(np.uint64) + np.uint64(1)) * _PLACES[place & 4095] + (place >> 12).astype(np.uint64)
+    value[blank] = 0
+    return mix(np.add.reduceat(value, start))
 
 
 def shingles(text: str, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes and counts of a text's shingles.  A text of fewer words than ``width`` has
     one shingle, all its words; one without words has none."""
-    words = WORD.findall(text)
-    if not words:
+    h = word_hashes(text)
+    if not len(h):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     n = max(1, len(h) - width + 1)
     acc = np.full(n, min(width, len(h)), np.uint64)
     for j in range(min(width, len(h))):
@@ -63,11 +66,11 @@ def weights(counts: np.ndarray) -> np.ndarray:
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int = REGISTERS) -> np.ndarray:
-    """``len(sets) × m`` registers, each the low 32 bits of the shingle that came first (0 for a
-    set without shingles)."""
+    """``len(sets) × m`` registers, each the low bits of the shingle that came first (0 for a set
+    without shingles)."""
     n = len(sets)
     first = np.full(n * m, np.inf)
-    sig = np.zeros(n * m, np.uint32)
+    sig = np.zeros(n * m, SIG_TYPE)
     sizes = np.array([len(k) for k, _ in sets], np.int64)
     if not sizes.sum():
         return sig.reshape(n, m)
@@ -82,11 +85,12 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int = REGISTERS) ->
             slot = mix(key + np.uint64(2 * t + 2) * _STEP)
         now = now - np.log(((u >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53) / rate
         at = doc * m + (slot % np.uint64(m)).astype(np.int64)
-        won = np.flatnonzero(now < first[at])
-        won = won[np.argsort(-now[won], kind="stable")]        # the earliest is written last
-        first[at[won]] = now[won]
-        sig[at[won]] = key[won].astype(np.uint32)
-        last = first.reshape(n, m).max(1)
+        np.minimum.at(first, at, now)
+        won = first[at] == now
+        sig[at[won]] = key[won].astype(SIG_TYPE)
+        still = doc[np.flatnonzero(np.diff(doc, prepend=-1))]      # texts with running shingles, in order
+        last = np.zeros(n)
+        last[still] = first.reshape(n, m)[still].max(1)
         run = now < last[doc]
         key, rate, doc, now = key[run], rate[run], doc[run], now[run]
         t += 1

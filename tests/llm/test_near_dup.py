@@ -7,6 +7,7 @@ import pytest
 
 from quarry.llm import near_dup as N
 from quarry.llm import probminhash as pm
+from quarry.llm.common import WORD
 from quarry.llm.components import components
 from quarry.llm.q_near_dup import op9_probminhash
 from quarry.session import read_table
@@ -74,24 +75,39 @@ def test_hot_groups_and_chains(spark):
     assert got == brute_classes(texts)
 
 
-def test_open_buckets_are_compared_in_blocks(spark, monkeypatch):
-    """A link between two members that are not their bucket's smallest id is found."""
+def test_open_buckets_unite_what_no_centre_links(spark, monkeypatch):
+    """Links between members of which neither is their bucket's centre are found, block by block,
+    and only as many as unite components."""
     monkeypatch.setattr(N, "BLOCK", 3)
     r = random.Random(9)
     base = words(r, 300)
-    members, sigs, sets = [], [], {}
+    members, sigs, sets, texts = [], [], {}, []
     for i in range(12):
         w = list(base)
         for j in range(2 * i):                             # similarity falls along the row
             w[(j * 7) % 300] = f"e{i // 2}x{j}"
-        sets[i] = pm.shingles(" ".join(w))
-        sigs.append((i, pm.signatures([sets[i]])[0].tobytes()))
-        members.append((1, i, 0 if i < 7 else i))
-    found = N.open_pairs(spark.createDataFrame(members, "bucket bigint, id bigint, comp bigint"),
-                         spark.createDataFrame(sigs, "id bigint, sig binary"), 0.8).collect()
-    got = {tuple(sorted((x["a"], x["b"]))) for x in found}
-    want = {(a, b) for a in range(12) for b in range(max(a + 1, 7), 12) if max(pm.similarity(sets[a], sets[b])) >= 0.8}
-    assert want and want <= got and all(b >= 7 for _, b in got)
+        texts.append((i, " ".join(w)))
+        sets[i] = pm.shingles(texts[i][1])
+        sig = pm.signatures([sets[i]])
+        sigs.append((i, sig[0].tobytes()))
+        members += [(int(h), band, i, 0 if i < 7 else i) for band, h in enumerate(pm.band_hashes(sig)[0])]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    rows = N.shingle_rows(docs, spark.range(12).select("id"), "text", "doc_id")
+    got = N.open_links(spark.createDataFrame(members, "bucket bigint, band int, id bigint, comp bigint"),
+                       spark.createDataFrame(sigs, "id bigint, sig binary"), rows, 0.8).collect()
+    links = {(x["b"], x["a"]) for x in got}
+    real = {(a, b) for a in range(12) for b in range(a + 1, 12) if max(pm.similarity(sets[a], sets[b])) >= 0.8}
+    assert links <= real and all(b >= 7 for _, b in links)
+    up = {i: 0 if i < 7 else i for i in range(12)}
+
+    def united(pairs):
+        label = dict(up)
+        for a, b in pairs:
+            x, y = label[a], label[b]
+            label = {k: min(x, y) if v in (x, y) else v for k, v in label.items()}
+        return label
+
+    assert united(links) == united(real) != up
 
 
 def test_registers_agree_as_often_as_the_probability_jaccard():
@@ -124,6 +140,15 @@ def test_a_signature_does_not_depend_on_its_batch():
         assert (pm.signatures([s])[0] == row).all()
 
 
+def test_words_are_told_apart():
+    texts = ["a b", "b a", "ab", "a  b", " a\tb\n", "", " \n", "é e", "x" * 9000 + " x", "x" * 9001, "a\x85b", "a b"]
+    for t in texts:
+        assert len(pm.word_hashes(t)) == len(WORD.findall(t))
+    assert (pm.word_hashes("a b") == pm.word_hashes(" a\tb\n")).all()
+    words = {w for i in range(3000) for w in (f"w{i}", f"{i}w", "x" * i)} - {""}
+    assert len(set(pm.word_hashes(" ".join(sorted(words))).tolist())) == len(words)
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(200, 200), (None, 3), (5, 4)]
