@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import list_array, slices, texts
+from quarry.llm.common import list_array, map_arrow, slices, texts
 
 # Braille patterns: exactly 256 code points, none of them white space.
 FIRST_BYTE_CHAR = 0x2800
@@ -30,8 +30,9 @@ BYTE_CHARS = {b: FIRST_BYTE_CHAR + b for b in range(256)}
 # Between a non-space and a single space before another non-space the pre-token pattern always
 # starts a new match, so the pieces on both sides do not depend on each other.
 CUT = re.compile(r"(?<=\S)(?= \S)")
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 250_000             # of each of two caches: about 70 MB a worker
 CACHED_CHARS = 40
+DECODED_ROWS = 1000
 
 
 @dataclass(frozen=True)
@@ -88,7 +89,6 @@ class Encoder(dict):
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model.proto)
         self.of_piece = np.array(model.ids, "<i4")
         self.words: dict[str, bytes] = {}
-        self.piece_of = dict(zip(model.ids, model.pieces))
 
     def pretoken(self, word: str) -> bytes:
         raw = word.encode("utf-8", "surrogatepass")
@@ -115,21 +115,33 @@ class Encoder(dict):
             self[chunk] = found
         return found
 
+    def forget(self) -> None:
+        """Empty the caches: the worker's next task may be another operator's."""
+        self.clear()
+        self.words.clear()
+
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, CUT.split(text))) if text else b""
 
+
+class Decoder(dict):
+    """Id → its bytes; needs no sentencepiece."""
+
+    def __init__(self, model: BpeModel):
+        super().__init__(zip(model.ids, model.pieces))
+
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.piece_of.__getitem__, ids))
+        return b"".join(map(self.__getitem__, ids))
 
 
-_ENCODERS: dict[int, Encoder] = {}   # one per Python worker and model
+_CODERS: dict[tuple, Encoder | Decoder] = {}   # one of each per Python worker and model
 
 
-def encoder(model: Broadcast) -> Encoder:
-    e = _ENCODERS.get(model.value.proto.__hash__())
-    if e is None:
-        e = _ENCODERS[model.value.proto.__hash__()] = Encoder(model.value)
-    return e
+def coder(kind: type, model: Broadcast) -> Encoder | Decoder:
+    at = kind, hash(model.value.proto)
+    if at not in _CODERS:
+        _CODERS[at] = kind(model.value)
+    return _CODERS[at]
 
 
 def load_model(spark: SparkSession, path: str, pattern: str) -> Broadcast:
@@ -144,15 +156,16 @@ def encode(docs: DataFrame, model: Broadcast, text: str = "text", key: str = "do
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        enc = encoder(model)
+        enc = coder(Encoder, model)
         for b in slices(batches, "_text"):
             found = [enc.encode(t) for t in texts(b.column("_text"))]
             values = pa.array(np.frombuffer(b"".join(found), "<i4"))
             yield pa.RecordBatch.from_arrays(
                 [b.column("_key"), list_array([len(x) // 4 for x in found], values)], [key, "token_ids"])
+        enc.forget()
 
-    return docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).mapInArrow(
-        run, f"`{key}` {kind}, token_ids array<int>")
+    return map_arrow(
+        docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")), run, f"`{key}` {kind}, token_ids array<int>")
 
 
 def decode(tokens: DataFrame, model: Broadcast, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
@@ -163,14 +176,16 @@ def decode(tokens: DataFrame, model: Broadcast, ids: str = "token_ids", out: str
     schema = T.StructType([*src.schema.fields, T.StructField(out, T.BinaryType())])
 
     def run(batches):
-        enc = encoder(model)
-        for b in batches:
-            col = b.column(ids)
-            values, offs = col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy()
-            raw = [enc.decode(values[s:e].tolist()) for s, e in zip(offs[:-1], offs[1:])]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.binary())], [*keep, out])
-
-    return src.mapInArrow(run, schema)
+        dec = coder(Decoder, model)
+        for batch in batches:
+            for start in range(0, batch.num_rows, DECODED_ROWS):
+                b = batch.slice(start, DECODED_ROWS)
+                col = b.column(ids)
+                values, offs = col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy()
+                raw = [dec.decode(values[s:e].tolist()) for s, e in zip(offs[:-1], offs[1:])]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.binary())], [*keep, out])
+
+    return map_arrow(src, run, schema)
 
 
 def digests(tokens: DataFrame, *more: str) -> DataFrame:

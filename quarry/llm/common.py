@@ -83,9 +83,25 @@ ARROW_BYTES = 4 << 20        # of a batch that goes to Python
 def map_arrow(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` with batches bounded by bytes as well as by rows: ten thousand texts may be a
     gigabyte.  The setting is the session's, since it is read when the frame runs; a smaller one
-    is left alone."""
+    is left alone.  A worker serves one task after another, so each gives back what it freed."""
     spark = df.sparkSession
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > ARROW_BYTES:
         spark.conf.set(name, str(ARROW_BYTES))
-    return df.mapInArrow(run, schema)
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the allocators can (glibc for the strings)."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

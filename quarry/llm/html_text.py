@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import slices, texts
+from quarry.llm.common import map_arrow, slices, texts
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -267,5 +267,5 @@ def extract(pages: DataFrame, page: str = "html", keep: tuple[str, ...] = ("page
             found = [main_text(t) for t in texts(b.column("_page"))]
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(found, pa.string())], [*keep, out])
 
-    return pages.select(F.col(page).cast("string").alias("_page"), *keep).mapInArrow(
-        run, ", ".join([*fields, f"`{out}` string"]))
+    return map_arrow(
+        pages.select(F.col(page).cast("string").alias("_page"), *keep), run, ", ".join([*fields, f"`{out}` string"]))

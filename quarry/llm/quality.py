@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WORD, slices, texts, written
+from quarry.llm.common import WORD, map_arrow, slices, texts, written
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
@@ -77,8 +77,8 @@ def document_stats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
             yield pa.RecordBatch.from_arrays([b.column("_key"), *(pa.array(c, pa.int64()) for c in cols)],
                                              [key, *STATS])
 
-    return docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).mapInArrow(
-        run, f"`{key}` {kind}, " + ", ".join(f"{s} bigint" for s in STATS))
+    return map_arrow(
+        docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")), run, f"`{key}` {kind}, " + ", ".join(f"{s} bigint" for s in STATS))
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import trigrams
-from quarry.llm.common import slices, texts
+from quarry.llm.common import map_arrow, slices, texts
 
 
 @dataclass(frozen=True)
@@ -81,5 +81,5 @@ def scan(docs: DataFrame, rules: Sequence[SecretRule] = RULES, text: str = "text
             span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
             yield pa.RecordBatch.from_arrays([b.column("_key"), pa.array(out, pa.list_(span))], [key, "spans"])
 
-    return src.join(found, "_hash", "left").select("_key", "_text", "rules").mapInArrow(
+    return map_arrow(src.join(found, "_hash", "left").select("_key", "_text", "rules"),
         verify, f"`{key}` {kind}, spans {SPAN}")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import slices, texts
+from quarry.llm.common import map_arrow, slices, texts
 
 _parser = re._parser
 MAX_CLASS, MAX_STRINGS = 8, 256
@@ -148,8 +148,8 @@ def postings(docs: DataFrame, key: str, text: str, wanted: Iterable[str] | None
             yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), b.column("_key").take(pa.array(at, pa.int64()))],
                                              ["trigram", key])
 
-    return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(
-        run, f"trigram string, `{key}` {kind}").distinct()
+    return map_arrow(
+        docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), run, f"trigram string, `{key}` {kind}").distinct()
 
 
 def candidates(index: DataFrame, queries: dict[str, Query], key: str) -> DataFrame:
