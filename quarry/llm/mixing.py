@@ -3,7 +3,7 @@
 A labelled table teaches a naive Bayes classifier over hashed words; it gives every document a
 posterior over the domains, capped in its evidence so that memberships stay soft.  A document of
 t tokens and posterior p adds t · p_d · r expected tokens to domain d when it is used at rate r.
-Projected gradient steps find rates r >= 0 whose expected domain totals S_d are nearest to the
+Projected gradient steps find rates 0 <= r <= MAX_RATE whose expected domain totals S_d are nearest to the
 targets T_d in sum over d of (S_d - T_d)² / N_d, N_d being the totals at rate 1.
 
 The step of a document is the product of its posterior and the weighted residuals (the gradient in
@@ -27,6 +27,7 @@ MAX_LABELLED = 20_000          # labelled rows it learns from, by hash
 MAX_DOMAINS = 64
 EVIDENCE = 60.0                # words whose evidence counts in full; longer texts are averaged to it
 ROUNDS, TOLERANCE = 100, 1e-6
+MAX_RATE = 16.0                # a document is used at most so often, whatever a target asks for
 
 
 def words(text: str) -> Column:
@@ -92,9 +93,9 @@ def posteriors(docs: DataFrame, model, text: str, keep: list[str]) -> DataFrame:
     return rows.select(*out, "tokens", F.transform("e", lambda x: x / norm).alias("p"))
 
 
-def fold_rates(p: Column, steps: list[list[float]]) -> Column:
-    """``r, y`` after the rounds' steps, from 1: a step takes its product with ``p`` off ``y``, what
-    would be negative becomes 0, and ``y`` runs ahead of the new ``r`` by the step's last number
+def fold_rates(p: Column, steps: list[list[float]], limit: float = MAX_RATE) -> Column:
+    """``r, y`` after the rounds' steps, from 1: a step takes its product with ``p`` off ``y``, the
+    result is brought between 0 and ``limit``, and ``y`` runs ahead of the new ``r`` by the step's last number
     (the momentum of accelerated projected gradient)."""
     one = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
     if not steps:
@@ -103,27 +104,29 @@ def fold_rates(p: Column, steps: list[list[float]]) -> Column:
 
     def step(at: Column, s: Column) -> Column:
         dot = F.aggregate(F.zip_with(p, F.slice(s, 1, d), lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-        r = F.greatest(F.lit(0.0), at["y"] - dot)
+        r = F.least(F.greatest(F.lit(0.0), at["y"] - dot), F.lit(float(limit)))
         return F.struct(r.alias("r"), (r + F.element_at(s, -1) * (r - at["r"])).alias("y"))
 
     return F.aggregate(F.lit(steps), one, step)
 
 
-def totals(rows: DataFrame, n: int, steps: list[list[float]]) -> tuple[list[float], list[float]]:
+def totals(rows: DataFrame, n: int, steps: list[list[float]], limit: float) -> tuple[list[float], list[float]]:
     """Expected domain totals at the rates ``r`` and at ``y``."""
-    rows = rows.withColumn("at", fold_rates(F.col("p"), steps))
+    rows = rows.withColumn("at", fold_rates(F.col("p"), steps, limit))
     sums = [F.coalesce(F.sum(F.col("tokens") * F.element_at("p", i + 1) * F.col("at")[v]), F.lit(0.0)).alias(f"{v}{i}")
             for v in "ry" for i in range(n)]
     got = list(rows.agg(*sums).first()) if n else []
     return got[:n], got[n:]
 
 
-def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], budget: str | float = "corpus"):
+def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], budget: str | float = "corpus",
+              limit: float = MAX_RATE):
     """Steps of the rounds, targets and reached totals.  ``budget`` is the total of the targets:
     "corpus" (the tokens there are), "keep" (so many that no domain must shrink) or a number.
-    Weights are scaled to sum to 1 over the domains known; one without a weight gets 0."""
+    Weights are scaled to sum to 1 over the domains known; one without a weight gets 0.  Targets
+    that no rates within the limit can reach are approached."""
     n = len(domains)
-    base, ahead = totals(rows, n, [])
+    base, ahead = totals(rows, n, [], limit)
     w = [max(0.0, weights.get(d, 0.0)) for d in domains]
     w = [x / sum(w) for x in w] if sum(w) > 0 else [1.0 / max(1, n)] * n
     if budget == "keep":
@@ -140,7 +143,7 @@ def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], bu
             break
         faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
         steps.append([*off(ahead), (speed - 1) / faster])
-        new, ahead = totals(rows, n, steps)
+        new, ahead = totals(rows, n, steps, limit)
         still = max((abs(a - b) / c for a, b, c in zip(new, got, base) if c > 0), default=0.0) < TOLERANCE / 10
         speed = 1.0 if loss(new) > loss(got) else faster          # momentum that overshoots starts anew
         got = new
@@ -150,7 +153,8 @@ def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], bu
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: str | float = "corpus",
-        text: str = "text", key: str = "doc_id", domain: str = "domain", keep: list[str] | None = None):
+        text: str = "text", key: str = "doc_id", domain: str = "domain", keep: list[str] | None = None,
+        limit: float = MAX_RATE):
     """Rows of ``docs`` with ``keep`` (default: the key), ``tokens``, ``p`` and ``rate``; domains,
     targets and reached totals.
 
@@ -161,8 +165,8 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     keep = [c for c in (keep or [key]) if c not in ("tokens", "p", "rate")]
     model = fit_domains(labelled, text, domain, key)
     rows = written(posteriors(docs, model, text, keep), "posteriors")
-    steps, target, got = fit_rates(rows, model[0], weights, budget)
-    return rows.withColumn("rate", fold_rates(F.col("p"), steps)["r"]), model[0], target, got
+    steps, target, got = fit_rates(rows, model[0], weights, budget, limit)
+    return rows.withColumn("rate", fold_rates(F.col("p"), steps, limit)["r"]), model[0], target, got
 
 
 def repeat_by_rate(rows: DataFrame, rate: str = "rate", key: str = "doc_id", salt: str = "mixing") -> DataFrame:

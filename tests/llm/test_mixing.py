@@ -11,13 +11,13 @@ from quarry.session import read_table
 from .conftest import by_id
 
 
-def plain_rates(p, t, w, budget, rounds=20_000):
+def plain_rates(p, t, w, budget, limit, rounds=20_000):
     """Projected gradient in r·sqrt(t) with a small step, to convergence."""
     base = t @ p
     target = budget * np.array(w)
     r = np.ones(len(t))
     for _ in range(rounds):
-        r = np.maximum(0, r - 0.5 * (p @ (((r * t) @ p - target) / base)))
+        r = np.clip(r - 0.5 * (p @ (((r * t) @ p - target) / base)), 0, limit)
     return r
 
 
@@ -35,18 +35,19 @@ def test_query_meets_the_targets(spark):
     assert (best == lang[best.index]).mean() > 0.95
 
 
+@pytest.mark.parametrize("limit", [M.MAX_RATE, 2.0])
 @pytest.mark.parametrize("weights", [(0.5, 0.3, 0.2), (0.98, 0.02, 0.0), (0.0, 0.0, 1.0)])
-def test_rates_against_plain_gradient(spark, weights):
+def test_rates_against_plain_gradient(spark, weights, limit):
     r = np.random.default_rng(0)
     t = r.integers(1, 200, 60).astype(float)
     p = r.dirichlet([0.4, 0.4, 0.4], 60)
     rows = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(t, p))], "doc_id bigint, tokens bigint, p array<double>").cache()
     w = dict(zip("abc", weights))
-    steps, target, got = M.fit_rates(rows, list("abc"), w)
-    mine = np.array([x["r"] for x in rows.withColumn("r", M.fold_rates(F.col("p"), steps)["r"]).orderBy("doc_id").collect()])
-    want = plain_rates(p, t, weights, t.sum())
+    steps, target, got = M.fit_rates(rows, list("abc"), w, limit=limit)
+    mine = np.array([x["r"] for x in rows.withColumn("r", M.fold_rates(F.col("p"), steps, limit)["r"]).orderBy("doc_id").collect()])
+    want = plain_rates(p, t, weights, t.sum(), limit)
     loss = lambda x: (((x * t) @ p - t.sum() * np.array(weights)) ** 2 / (t @ p)).sum()
-    assert (mine >= 0).all() and loss(mine) <= loss(want) + 2e-3 * loss(np.ones(60))
+    assert (mine >= 0).all() and (mine <= limit).all() and loss(mine) <= loss(want) + 2e-3 * loss(np.ones(60))
     assert np.allclose(list(got.values()), (mine * t) @ p)
 
 
@@ -59,6 +60,14 @@ def test_keep_budget_shrinks_no_domain(spark):
     assert np.allclose(sorted(rates), [1.0] * 30 + [3.0] * 10)
 
 
+def test_unreachable_targets_stay_within_the_limit(spark):
+    """A domain of which there is nearly nothing cannot be conjured up."""
+    rows = spark.createDataFrame([(i, 100, [1 - 1e-9, 1e-9]) for i in range(20)], "doc_id bigint, tokens bigint, p array<double>")
+    steps, _, got = M.fit_rates(rows, ["a", "b"], {"a": 0.5, "b": 0.5}, "keep", limit=4)
+    rates = [x["r"] for x in rows.select(M.fold_rates(F.col("p"), steps, 4)["r"].alias("r")).collect()]
+    assert all(0 <= r <= 4 for r in rates) and M.repeat_by_rate(rows.withColumn("rate", F.lit(max(rates)))).count() <= 80
+
+
 def test_repeats_follow_the_rate(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(1.3).alias("rate"), F.lit("x").alias("time"))
     out = M.repeat_by_rate(df)
