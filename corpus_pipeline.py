@@ -35,7 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines; those that had nothing else go, empty ones stay."""
-    rows = line_spread.remove_boilerplate(docs)
+    rows = line_spread.remove_boilerplate(docs, long_lines=line_spread.LONG_LINES)
     emptied = (F.col("n_removed") > 0) & (F.trim("text") == "")
     rows = rows.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
                            .otherwise(F.col("n_chars")))

@@ -2,6 +2,7 @@
 
 import pytest
 
+from corpus_pipeline import drop_boilerplate
 from quarry.llm import line_spread as L
 from quarry.llm.q_lines import SQL, op10_line_spread
 from quarry.plans.oracle import canonical, duckdb_frame
@@ -49,3 +50,20 @@ def test_edges(spark, odd, empty):
     assert sum(r["doc_id"] is None and r["text"] == "no id here" for r in rows) == 1
     assert got[3]["gone"] == "extra" and got[3]["row"] == "extra"
     assert L.remove_boilerplate(empty).count() == 0
+
+
+def test_pipeline_stage_drops_long_passages_on_few_sources(spark, sf):
+    """Passages on two sources, most of them on a hot one, and lines of a dozen words on four."""
+    passage = " ".join(f"word{i}" for i in range(60))
+    tabbed = passage.replace("word", "cell").replace(" ", "\t")
+    dozen = " ".join(f"term{i}" for i in range(12))
+    rows = [(i, f"own text of document {i}\n{passage}\n{tabbed}", "hot" if i else "cold") for i in range(9)]
+    rows += [(20 + i, f"other text of document {i}\n{dozen}", f"s{i}") for i in range(4)]
+    rows += [(30 + i, f"some text of document {i}\na short line here\n{dozen} and more", f"s{i}") for i in range(3)]
+    rows += [(40 + i, f"more text of document {i}\n{passage} on one source", "hot") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "'en' AS lang", "1L AS n_chars")
+    got = by_id(drop_boilerplate(spark, df, sf).collect())
+    text = {r[0]: r[1] for r in rows}
+    for i in text:
+        gone = 1 <= i < 9 or 21 <= i < 24
+        assert got[i]["text"] == (text[i].split("\n")[0] if gone else text[i])
