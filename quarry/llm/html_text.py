@@ -5,8 +5,10 @@ adjusted by the share of characters and tags in links (composite text density);
 sum adds the densities of its children.  The subtree with the largest density sum is the article;
 the least density on the path from it to the body is the threshold that further subtrees, off
 that path, must reach.  Menus, footers, forms, adverts and the like, which their element or
-class names, are cut before.  If the article lies in an ``article`` or ``main`` element, that
-whole element is taken, so its short paragraphs stay."""
+class names, are cut before.  A class or id alone cuts nothing in an ``article`` element or in
+the chosen subtree but comments and what is mostly links, and never a heading.  If the article
+lies in an ``article`` or ``main`` element, that whole element is taken, so its short paragraphs
+stay; so is a page's only such element, wherever density lands."""
 
 from __future__ import annotations
 
@@ -44,15 +46,25 @@ CUT_NAMES = {"ad", "ads", "advert", "advertisement", "adverts", "advertising", "
              "form", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notification", "pager",
              "pagination", "popup", "promo", "promotion", "recommended", "related", "respond", "search", "share",
              "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget"}
+COMMENT_NAMES = {"comment", "comments", "disqus", "respond"}
+# Parts of a class or id that say where or what shape, not what: "sidebar-left" is a sidebar.
+SHAPES = {"area", "bar", "block", "body", "bottom", "box", "container", "content", "entry", "group", "inner", "item",
+          "items", "left", "list", "main", "outer", "page", "panel", "post", "posts", "right", "section", "site",
+          "thread", "top", "wp", "wrap", "wrapper"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+TEXTUAL = {"blockquote", "dd", "dt", "figcaption", "figure", "li", "p", "pre", "td", "th"}
 HOLDS = {"article", "main"}
+FULL, PART, COMMENT = 1, 2, 3  # a name that is all junk, has a part that is, or is one of comments
+ALONE = 4                      # cut by a full name, though it is not mostly links
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "cut", "chars", "link_chars", "tags", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "items", "cut", "name", "chars", "link_chars", "tags", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool = False):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: Node | None, cut: bool = False, name: int = 0):
+        self.tag, self.parent, self.cut, self.name = tag, parent, cut, name
         self.items: list[Node | str] = []
+        self.chars = self.link_chars = 0
 
     def blocks(self) -> list[Node]:
         """Block nodes below, with inline elements seen through."""
@@ -74,8 +86,29 @@ def _cut(tag: str, attrs: str, inside: bool) -> bool:
         return False
     if HIDDEN.search(attrs):
         return True
-    names = {n for m in NAMES.finditer(attrs) for n in re.split(r"[\s_-]+", (m[2] or m[3] or m[4] or "").lower())}
-    return not CUT_NAMES.isdisjoint(names)
+    return any(m[1].lower() == "role" and not CUT_NAMES.isdisjoint(_value(m).split()) for m in NAMES.finditer(attrs))
+
+
+def _value(m: re.Match) -> str:
+    return (m[2] or m[3] or m[4] or "").lower()
+
+
+def _name(tag: str, attrs: str) -> int:
+    """What the classes and the id of an element say of it."""
+    if not attrs or tag in HEADINGS or tag in ("main", "body", "html"):
+        return 0
+    found = 0
+    for word in (w for m in NAMES.finditer(attrs) if m[1].lower() != "role" for w in _value(m).split()):
+        parts = {x for x in re.split(r"[_-]+", word) if x and not x.isdigit()}
+        if CUT_NAMES.isdisjoint(parts):
+            continue
+        if not parts <= CUT_NAMES | SHAPES:
+            found = found or PART
+        elif tag in BLOCK and tag not in ("p", "pre") and not COMMENT_NAMES.isdisjoint(parts):
+            return COMMENT
+        else:
+            found = FULL
+    return found
 
 
 def parse(page: str) -> Node:
@@ -120,7 +153,7 @@ def parse(page: str) -> Node:
                 node = up.parent
         if tag == "body":
             node = root
-        new = Node(tag, node, _cut(tag, attrs, any(n.tag in HOLDS for n in _path(node))))
+        new = Node(tag, node, _cut(tag, attrs, any(n.tag in HOLDS for n in _path(node))), _name(tag, attrs))
         node.items.append(new)
         if tag not in VOID and not attrs.endswith("/"):
             node = new
@@ -132,18 +165,80 @@ def _path(node: Node | None):
         node = node.parent
 
 
-def _spare(root: Node) -> None:
-    """A cut element that holds the article is not cut (a named wrapper of the whole page)."""
-    stack = [root]
+def _linked(n: Node) -> bool:
+    return n.link_chars * 2 >= n.chars
+
+
+def _cut_names(root: Node) -> None:
+    """Cut elements by class and id: junk names outside ``article`` elements; inside them, and for
+    names that only have a junk part, what is mostly links; comments everywhere.  A cut element
+    that holds the article is not cut (a named wrapper of the whole page)."""
+    named, holds = [], []
+    stack = [(root, False, False, False)]
     while stack:
-        n = stack.pop()
+        n, article, main, said = stack.pop()
+        if n.name:
+            named.append((n, article))
+        said = said or n.name == COMMENT
+        if n.tag == "article" and not article or n.tag == "main" and not main:
+            holds.append((n, said))
+        article, main = article or n.tag == "article" and not said, main or n.tag == "main"
+        stack += [(x, article, main, said) for x in n.items if isinstance(x, Node)]
+    plain = [n for n, said in holds if not said]     # a page of comments alone has none
+    _spare(plain or [n for n, _ in holds])
+    if any(n.name in (FULL, PART) for n, _ in named):
+        _count(root)
+    for n, article in named:
+        if n.cut:
+            continue
+        if n.name == COMMENT:
+            n.cut = bool(plain) or n.tag != "article"
+        elif n.tag != "article":
+            linked = _linked(n)
+            if n.name == FULL and not article and not linked:
+                n.name = ALONE
+            n.cut = linked or n.name == ALONE
+    _spare(plain or [n for n, _ in holds])
+
+
+def _spare(holds: list[Node]) -> None:
+    spared: set[int] = set()
+    for n in holds:
+        for up in _path(n.parent):
+            if id(up) in spared:
+                break
+            spared.add(id(up))
+            if up.tag not in CUT:
+                up.cut = False
+
+
+def _count(root: Node) -> None:
+    """Characters and those in links, of everything that is not cut."""
+    for n in reversed(_order(root)):
+        n.chars = n.link_chars = 0
         for x in n.items:
-            if isinstance(x, Node):
-                stack.append(x)
-        if n.tag in HOLDS:
-            for up in _path(n.parent):
-                if up.tag not in CUT:
-                    up.cut = False
+            if isinstance(x, str):
+                n.chars += len("".join(x.split()))
+            elif not x.cut:
+                n.chars += x.chars
+                n.link_chars += x.chars if x.tag == "a" else x.link_chars
+
+
+def _restore(chosen: list[Node], body: Node) -> None:
+    """Inside the article a name alone cuts nothing; of a whole page or ``main``, which hold more
+    than the article, only paragraphs and the like come back."""
+    for top in chosen:
+        whole = top is body or top.tag == "main"
+        stack = [top]
+        while stack:
+            n = stack.pop()
+            for x in n.items:
+                if not isinstance(x, Node):
+                    continue
+                if x.cut and x.name == ALONE and not (whole and x.tag in BLOCK - TEXTUAL):
+                    x.cut = False
+                if not x.cut:
+                    stack.append(x)
 
 
 def _order(root: Node) -> list[Node]:
@@ -183,7 +278,13 @@ def _measure(body: Node) -> list[Node]:
 
 def content(root: Node) -> list[Node]:
     """The article's nodes in page order."""
-    _spare(root)
+    chosen, body = _choose(root)
+    _restore(chosen, body)
+    return chosen
+
+
+def _choose(root: Node) -> tuple[list[Node], Node]:
+    _cut_names(root)
     body = next((n for n in _order(root) if n.tag == "body"), root)
     nodes = _measure(body)
     blocks = [n for n in nodes if n.tag in BLOCK or n is body]
@@ -192,10 +293,10 @@ def content(root: Node) -> list[Node]:
         best = body
     holders = [n for n in _path(best) if n.tag == "article"] or [n for n in _path(best) if n.tag == "main"]
     if holders:
-        return [holders[-1]]
+        return [holders[-1]], body
     inside = [n for n in nodes if n.tag in HOLDS and n.chars and not any(p.tag in HOLDS for p in _path(n.parent))]
     if len(inside) == 1:
-        return inside                   # a short article beside more text
+        return inside, body             # a short article beside more text
     path = []
     for n in _path(best):
         path.append(n)
@@ -212,7 +313,7 @@ def content(root: Node) -> list[Node]:
             stack += reversed(n.blocks())
         elif n.density >= threshold and n.link_chars * 2 < n.chars:
             chosen.append(n)
-    return chosen
+    return chosen, body
 
 
 def text_blocks(node: Node) -> list[str]:

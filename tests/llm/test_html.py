@@ -66,3 +66,28 @@ def test_edges(spark):
     assert one[None] == "x" and one[5] == "deep" and one[6] == "in" and got.count((7, "twice")) == 2
     assert (7, " ".join(["word"] * 200_000)) in got
     assert extract(df.where("false")).count() == 0
+
+
+def test_names_cut_no_text_of_the_article():
+    """Slugs of headings and sections, notices and the like are the article's own text."""
+    p = TEXT.strip()
+    inner = (f"<h1>Head</h1><p>{p}</p><h2 id='search-algorithms'>Search algorithms</h2><p class='notice'>{p}</p>"
+             f"<section id='related-work'><h2>Related</h2><p>{p}</p></section><h3 id=form-factors>Form</h3>"
+             f"<div class='social-history'><p>{p}</p></div><pre>x <span class='hljs comment'># why</span></pre>"
+             "<div class='share'><a href=1>Post it</a> <a href=2>Send it</a></div>")
+    want = f"Head\n{p}\nSearch algorithms\n{p}\nRelated\n{p}\nForm\n{p}\nx # why"
+    for tag in ("article", "div"):
+        page = f"<body><div class='sidebar-left'><p>{TEXT}</p></div><{tag}>{inner}</{tag}><div class=related-posts>{TEXT}</div></body>"
+        assert main_text(page) == want
+
+
+def test_reader_comments_go():
+    p = TEXT.strip()
+    remark = f"<article class='comment'><p>{TEXT}{TEXT}</p></article>"
+    for page in (f"<nav><div class=menu>Menu</div></nav><article><p>{p}</p></article>",
+                 f"<article><p>{p}</p><section class='comments'>{remark}{remark}</section></article>",
+                 f"<main><article><p>{p}</p></article><section id=comments>{remark}{remark}</section></main>",
+                 f"<div class='widget'><article><p>{p}</p></article></div><div class='comment-list'>{remark}</div>",
+                 f"<article><p>{p}</p></article>{remark}{remark}"):
+        assert main_text(f"<body>{page}</body>") == p
+    assert main_text(f"<body><div class=comments>{remark}</div></body>") == f"{p} {p}"       # nothing but comments
