@@ -1,6 +1,8 @@
 """MinHash near-duplicates with ProbMinHash: signatures, banding, verification, classes.
 
-1. A map-side pass sketches every text: digest, band buckets, signature.
+1. A map-side pass sketches every text: digest, band buckets, signature.  A text that repeats a
+   shingle has a second signature with unit weights, for the Jaccard, and its buckets too; in
+   others the two are one.
 2. Texts with equal digests are one class at once; one of them represents it from here on.
 3. In each bucket every representative is paired with the bucket's centre only - the member whose
    buckets are the fullest, which in a group of near copies is the one most others are close to -
@@ -34,7 +36,8 @@ BLOCK = 512                  # members of a block in step 4
 
 
 def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """``id, digest, n, bands, sig`` per row with an id; ``n`` is the number of shingles."""
+    """``id, digest, n, bands, sig`` per row with an id; ``n`` is the number of shingles, ``sig`` the
+    weighted signature, then the unit one if it differs, and ``bands`` the buckets of either."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -43,10 +46,17 @@ def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
             sets = [pm.shingles(x) for x in t]
             sig = pm.signatures(sets)
             digest = [xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in t]
-            bands = pa.array(pm.band_hashes(sig).ravel())
+            again = [i for i, (_, c) in enumerate(sets) if (c > 1).any()]
+            unit = sig.copy()
+            unit[again] = pm.signatures([(sets[i][0], np.ones_like(sets[i][1])) for i in again])
+            bands = np.hstack([pm.band_hashes(sig), pm.band_hashes(unit)])
+            two = np.zeros(len(t), bool)
+            two[again] = True
+            use = np.hstack([np.ones((len(t), pm.BANDS), bool), np.repeat(two[:, None], pm.BANDS, 1)])
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(digest, pa.binary()), pa.array([len(k) for k, _ in sets], pa.int64()),
-                 list_array([pm.BANDS] * len(t), bands), pa.array([s.tobytes() for s in sig], pa.binary())],
+                 list_array(use.sum(1), pa.array(bands[use])),
+                 pa.array([s.tobytes() + (u.tobytes() if x else b"") for s, u, x in zip(sig, unit, two)], pa.binary())],
                 ["id", "digest", "n", "bands", "sig"])
 
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("string").alias("_text"))
@@ -132,10 +142,11 @@ def open_links(members: DataFrame, sigs: DataFrame, sets: DataFrame, threshold:
                 return c
 
             for i in range(len(fi)):
-                eq = gs == fs[i]
-                same = eq.sum(1)
-                # Of the buckets that two texts share, the one of the first band compares them.
-                first = eq.reshape(len(gs), pm.BANDS, pm.ROWS).all(2).argmax(1) == band
+                # Registers of either kind: both weighted, both unit, and, as they share buckets, crossed.
+                eqs = [gs[:, y] == fs[i, x] for x, y in _kinds(fs[i], gs)]
+                same = np.max([e.sum(1) for e in eqs], 0)
+                # Of the buckets that two texts share, those of the first band compare them.
+                first = np.any([e.reshape(len(gs), pm.BANDS, pm.ROWS).all(2) for e in eqs], 0).argmax(1) == band
                 hit = np.flatnonzero((same >= need) & first)
                 for j in hit[np.argsort(-same[hit], kind="stable")]:
                     c, d = top(fc[i]), top(gc[j])
@@ -154,10 +165,18 @@ def open_links(members: DataFrame, sigs: DataFrame, sets: DataFrame, threshold:
     return written(found.distinct(), "open-links")
 
 
+def _kinds(one: np.ndarray, others: np.ndarray) -> tuple[tuple[int, int], ...]:
+    """Which signatures to compare: one pair if weighted and unit ones are the same on both sides."""
+    if (one[0] == one[1]).all() and (others[:, 0] == others[:, 1]).all():
+        return ((0, 0),)
+    return ((0, 0), (1, 1), (0, 1), (1, 0))
+
+
 def _side(t: pa.Table):
-    """Ids, components, signatures and shingle sets of a block."""
+    """Ids, components, signatures (weighted and unit) and shingle sets of a block."""
     ids, comps, sig, hashes, counts = (t.column(i).to_pylist() for i in range(3, 8))
-    sigs = np.frombuffer(b"".join(sig), pm.SIG_TYPE).reshape(len(ids), -1)
+    size = pm.REGISTERS * pm.SIG_TYPE.itemsize
+    sigs = np.frombuffer(b"".join(s if len(s) > size else s + s for s in sig), pm.SIG_TYPE).reshape(len(ids), 2, -1)
     return ids, comps, sigs, [_unpack(h, c) for h, c in zip(hashes, counts)]
 
 
@@ -182,7 +201,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
     copies = some.select("id", "digest").join(rep, "digest").where("id <> rep").select(
         F.col("id").alias("a"), F.col("rep").alias("b"))
     reps = rep.select(F.col("rep").alias("id")).distinct()
-    member = some.select("id", "bands").join(reps.hint("merge"), "id", "left_semi").select("id", F.posexplode("bands").alias("band", "bucket")).distinct()
+    member = some.select("id", "bands").join(reps.hint("merge"), "id", "left_semi").select("id", F.posexplode("bands").alias("band", "bucket"))
+    member = member.withColumn("band", F.col("band") % pm.BANDS).distinct()
     size = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(member.join(size, "bucket"), "buckets")
     fullness = shared.groupBy("id").agg(F.sum("n").alias("full"))

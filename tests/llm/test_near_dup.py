@@ -75,6 +75,43 @@ def test_hot_groups_and_chains(spark):
     assert got == brute_classes(texts)
 
 
+def test_heavily_repeated_passages(spark):
+    """Jaccard above 0.8, probability Jaccard about 0.5: alone with their plain text, and in groups
+    of which neither side is a bucket's centre."""
+    r = random.Random(11)
+    texts = {}
+    for i in range(0, 80, 2):
+        w, passage = words(r, 204), words(r, 36)
+        texts[i], texts[i + 1] = " ".join(w), " ".join(w + passage * 30)
+    base, passage = words(r, 300), words(r, 40)
+    for i in range(100, 160):
+        w = list(base)
+        for _ in range(r.randint(0, 8)):
+            w[r.randrange(300)] = "edit" + str(r.random())
+        texts[i] = " ".join(w + passage * r.choice((0, 0, 1, 3, 30)))
+    sets = [pm.shingles(texts[i]) for i in (0, 1)]
+    assert pm.similarity(*sets)[0] > 0.8 and pm.similarity(*sets)[1] < 0.6
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {i: x["class_id"] for i, x in by_id(N.near_duplicates(df).collect()).items()}
+    assert got == brute_classes(texts)
+
+
+def test_open_buckets_compare_unit_signatures(spark):
+    """A plain text and one with a passage said thirty times, neither of them its bucket's centre."""
+    r = random.Random(12)
+    w, passage = words(r, 204), words(r, 36)
+    texts = [(0, "a text of the largest component"), (1, " ".join(w)), (2, " ".join(w + passage * 30))]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    sk = N.sketches(docs, "text", "doc_id").collect()
+    shared = set(sk[1]["bands"]) & set(sk[2]["bands"])
+    band = min(sk[1]["bands"].index(h) % pm.BANDS for h in shared)
+    members = [(7, band, 0, 0), (7, band, 1, 1), (7, band, 2, 2), (7, band, 3, 0)]
+    got = N.open_links(spark.createDataFrame(members, "bucket bigint, band int, id bigint, comp bigint"),
+                       spark.createDataFrame([(x["id"], x["sig"]) for x in sk], "id bigint, sig binary"),
+                       N.shingle_rows(docs, spark.range(4).select("id"), "text", "doc_id"), 0.8).collect()
+    assert [(x["a"], x["b"]) for x in got] == [(2, 1)]
+
+
 def test_open_buckets_unite_what_no_centre_links(spark, monkeypatch):
     """Links between members of which neither is their bucket's centre are found, block by block,
     and only as many as unite components."""
