@@ -53,8 +53,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by rates of one or more, so that the languages' expected tokens come to
     the target weights and no document is lost."""
-    rows, _, _, _ = mixing.mix(docs, labelled(spark, sf_dir), WEIGHTS, budget="keep", keep=list(docs.columns))
-    rows = rows.withColumn("rate", F.greatest(F.col("rate"), F.lit(1.0)))
+    rows, _, _, _ = mixing.mix(docs, labelled(spark, sf_dir), WEIGHTS, budget="keep", keep=list(docs.columns), floor=1.0)
     return mixing.repeat_by_rate(rows).select(*docs.columns)
 
 

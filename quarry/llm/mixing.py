@@ -3,8 +3,10 @@
 A labelled table teaches a naive Bayes classifier over hashed words; it gives every document a
 posterior over the domains, capped in its evidence so that memberships stay soft.  A document of
 t tokens and posterior p adds t · p_d · r expected tokens to domain d when it is used at rate r.
-Projected gradient steps find rates 0 <= r <= MAX_RATE whose expected domain totals S_d are nearest to the
-targets T_d in sum over d of (S_d - T_d)² / N_d, N_d being the totals at rate 1.
+Projected gradient steps find rates floor <= r <= limit whose expected domain totals S_d are nearest to the
+targets T_d in sum over d of (S_d - T_d)² / N_d, N_d being the totals at rate 1.  The floor is 0
+unless asked for; the limit comes from the targets: the rate at which a domain's own documents,
+those that are at least half its, would meet its target alone.
 
 The step of a document is the product of its posterior and the weighted residuals (the gradient in
 r · sqrt(t)), so it depends on the D residuals alone: a round is one aggregate over the written
@@ -15,6 +17,7 @@ DataFrame expressions; only D numbers a round reach the driver."""
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +30,8 @@ MAX_LABELLED = 20_000          # labelled rows it learns from, by hash
 MAX_DOMAINS = 64
 EVIDENCE = 60.0                # words whose evidence counts in full; longer texts are averaged to it
 ROUNDS, TOLERANCE = 100, 1e-6
-MAX_RATE = 16.0                # a document is used at most so often, whatever a target asks for
+MAX_RATE = 16.0                # the limit is at least so high
+MISSED = 1e-3                  # share of a target that is missed with a warning
 
 
 def words(text: str) -> Column:
@@ -93,9 +97,9 @@ def posteriors(docs: DataFrame, model, text: str, keep: list[str]) -> DataFrame:
     return rows.select(*out, "tokens", F.transform("e", lambda x: x / norm).alias("p"))
 
 
-def fold_rates(p: Column, steps: list[list[float]], limit: float = MAX_RATE) -> Column:
+def fold_rates(p: Column, steps: list[list[float]], limit: float = MAX_RATE, floor: float = 0.0) -> Column:
     """``r, y`` after the rounds' steps, from 1: a step takes its product with ``p`` off ``y``, the
-    result is brought between 0 and ``limit``, and ``y`` runs ahead of the new ``r`` by the step's last number
+    result is brought between ``floor`` and ``limit``, and ``y`` runs ahead of the new ``r`` by the step's last number
     (the momentum of accelerated projected gradient)."""
     one = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
     if not steps:
@@ -104,36 +108,55 @@ def fold_rates(p: Column, steps: list[list[float]], limit: float = MAX_RATE) ->
 
     def step(at: Column, s: Column) -> Column:
         dot = F.aggregate(F.zip_with(p, F.slice(s, 1, d), lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-        r = F.least(F.greatest(F.lit(0.0), at["y"] - dot), F.lit(float(limit)))
+        r = F.least(F.greatest(F.lit(float(floor)), at["y"] - dot), F.lit(float(limit)))
         return F.struct(r.alias("r"), (r + F.element_at(s, -1) * (r - at["r"])).alias("y"))
 
     return F.aggregate(F.lit(steps), one, step)
 
 
-def totals(rows: DataFrame, n: int, steps: list[list[float]], limit: float) -> tuple[list[float], list[float]]:
+def totals(rows: DataFrame, n: int, steps: list[list[float]], limit: float, floor: float = 0.0) -> tuple[list[float], list[float]]:
     """Expected domain totals at the rates ``r`` and at ``y``."""
-    rows = rows.withColumn("at", fold_rates(F.col("p"), steps, limit))
+    rows = rows.withColumn("at", fold_rates(F.col("p"), steps, limit, floor))
     sums = [F.coalesce(F.sum(F.col("tokens") * F.element_at("p", i + 1) * F.col("at")[v]), F.lit(0.0)).alias(f"{v}{i}")
             for v in "ry" for i in range(n)]
     got = list(rows.agg(*sums).first()) if n else []
     return got[:n], got[n:]
 
 
+def targets(base: list[float], domains: list[str], weights: dict[str, float], budget: str | float) -> list[float]:
+    """Target totals of the domains, whose totals at rate 1 are ``base``."""
+    w = [max(0.0, weights.get(d, 0.0)) for d in domains]
+    w = [x / sum(w) for x in w] if sum(w) > 0 else [1.0 / max(1, len(w))] * len(w)
+    if budget == "keep":
+        size = max([b / x for b, x in zip(base, w) if x > 0 and b > 0], default=0.0)
+    else:
+        size = sum(base) if budget == "corpus" else float(budget)
+    return [size * x for x in w]
+
+
+def ceiling(rows: DataFrame, domains: list[str], weights: dict[str, float], budget: str | float = "corpus") -> float:
+    """The largest rate that a target can need: where a domain's own documents meet it alone.  A
+    domain of which no document is at least half has no own documents, and sets no rate."""
+    n = len(domains)
+    if not n:
+        return MAX_RATE
+    part = lambda i: F.col("tokens") * F.element_at("p", i + 1)
+    own = lambda i: F.when(F.element_at("p", i + 1) >= 0.5, part(i))
+    got = list(rows.agg(*[F.coalesce(F.sum(f(i)), F.lit(0.0)).alias(f"{k}{i}")
+                          for k, f in (("all", part), ("own", own)) for i in range(n)]).first())
+    goal = targets(got[:n], domains, weights, budget)
+    return max([MAX_RATE, *(t / o for t, o in zip(goal, got[n:]) if o > 0)])
+
+
 def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], budget: str | float = "corpus",
-              limit: float = MAX_RATE):
+              limit: float = MAX_RATE, floor: float = 0.0):
     """Steps of the rounds, targets and reached totals.  ``budget`` is the total of the targets:
     "corpus" (the tokens there are), "keep" (so many that no domain must shrink) or a number.
     Weights are scaled to sum to 1 over the domains known; one without a weight gets 0.  Targets
     that no rates within the limit can reach are approached."""
     n = len(domains)
-    base, ahead = totals(rows, n, [], limit)
-    w = [max(0.0, weights.get(d, 0.0)) for d in domains]
-    w = [x / sum(w) for x in w] if sum(w) > 0 else [1.0 / max(1, n)] * n
-    if budget == "keep":
-        size = max([b / x for b, x in zip(base, w) if x > 0 and b > 0], default=0.0)
-    else:
-        size = sum(base) if budget == "corpus" else float(budget)
-    target = [size * x for x in w]
+    base, ahead = totals(rows, n, [], limit, floor)
+    target = targets(base, domains, weights, budget)
     off = lambda x: [(g - t) / b if b > 0 else 0.0 for g, t, b in zip(x, target, base)]
     loss = lambda x: sum(m * m * b for m, b in zip(off(x), base))
     steps: list[list[float]] = []
@@ -143,7 +166,7 @@ def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], bu
             break
         faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
         steps.append([*off(ahead), (speed - 1) / faster])
-        new, ahead = totals(rows, n, steps, limit)
+        new, ahead = totals(rows, n, steps, limit, floor)
         still = max((abs(a - b) / c for a, b, c in zip(new, got, base) if c > 0), default=0.0) < TOLERANCE / 10
         speed = 1.0 if loss(new) > loss(got) else faster          # momentum that overshoots starts anew
         got = new
@@ -154,9 +177,10 @@ def fit_rates(rows: DataFrame, domains: list[str], weights: dict[str, float], bu
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: str | float = "corpus",
         text: str = "text", key: str = "doc_id", domain: str = "domain", keep: list[str] | None = None,
-        limit: float = MAX_RATE):
+        limit: float | None = None, floor: float = 0.0):
     """Rows of ``docs`` with ``keep`` (default: the key), ``tokens``, ``p`` and ``rate``; domains,
-    targets and reached totals.
+    targets and reached totals.  Without a ``limit`` the rates' is ``ceiling``'s; a target that is
+    missed is logged as a warning.
 
     A null or empty text has no tokens, the prior as its posterior and a rate like any other;
     repeated rows each have their rate; extra columns are left behind, and one of ``keep`` that is
@@ -165,8 +189,13 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget:
     keep = [c for c in (keep or [key]) if c not in ("tokens", "p", "rate")]
     model = fit_domains(labelled, text, domain, key)
     rows = written(posteriors(docs, model, text, keep), "posteriors")
-    steps, target, got = fit_rates(rows, model[0], weights, budget, limit)
-    return rows.withColumn("rate", fold_rates(F.col("p"), steps, limit)["r"]), model[0], target, got
+    if limit is None:
+        limit = ceiling(rows, model[0], weights, budget)
+    steps, target, got = fit_rates(rows, model[0], weights, budget, limit, floor)
+    for d in model[0]:
+        if abs(got[d] - target[d]) > MISSED * max(1.0, target[d]):
+            logging.getLogger(__name__).warning("domain %s: target %.1f tokens, reached %.1f", d, target[d], got[d])
+    return rows.withColumn("rate", fold_rates(F.col("p"), steps, limit, floor)["r"]), model[0], target, got
 
 
 def repeat_by_rate(rows: DataFrame, rate: str = "rate", key: str = "doc_id", salt: str = "mixing") -> DataFrame:

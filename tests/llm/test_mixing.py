@@ -94,3 +94,38 @@ def test_edges(spark, odd, empty, sf):
     assert M.mix(empty, lab, WEIGHTS)[0].count() == 0
     none = M.mix(odd, lab.where("false"), WEIGHTS)
     assert none[1] == [] and {r["rate"] for r in none[0].collect()} == {1.0}
+
+
+def test_rare_domain_meets_its_target(spark, caplog):
+    """One row in 200 is Spanish: its rate goes far beyond 16, with and without a floor of one."""
+    words = {"en": "the house and the garden", "es": "la casa del jardin grande"}
+    docs = [(i, words["es" if i % 200 == 0 else "en"]) for i in range(2000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    lab = spark.createDataFrame([(i, t, d) for i, (d, t) in enumerate(list(words.items()) * 50)], "doc_id bigint, text string, domain string")
+    w = {"en": 0.7, "es": 0.3}
+    for budget, floor in (("corpus", 0.0), ("keep", 1.0)):
+        rows, domains, target, got = M.mix(df, lab, w, budget, floor=floor)
+        assert all(abs(got[d] - target[d]) < 1e-3 * target[d] for d in domains)
+        r = rows.agg(F.min("rate"), F.max("rate"), F.sum(F.col("rate") * F.col("tokens") * F.element_at("p", 2))).first()
+        assert r[0] >= floor and r[1] > 50 and abs(r[2] - got["es"]) < 1e-6 * got["es"]
+    assert not caplog.records
+    M.mix(df, lab, w, limit=16.0)
+    assert any("domain es" in x.getMessage() for x in caplog.records)
+
+
+def test_floor_is_part_of_the_fit(spark):
+    """Rates of at least one whose totals meet the targets, though memberships are soft."""
+    r = np.random.default_rng(5)
+    t, p = r.integers(1, 200, 80).astype(float), r.dirichlet([0.6, 0.6, 0.6], 80)
+    rows = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(t, p))], "doc_id bigint, tokens bigint, p array<double>").cache()
+    w = {"a": 0.6, "b": 0.3, "c": 0.1}
+    top = M.ceiling(rows, list("abc"), w, "keep")
+    steps, target, got = M.fit_rates(rows, list("abc"), w, "keep", top, 1.0)
+    mine = np.array([x["r"] for x in rows.withColumn("r", M.fold_rates(F.col("p"), steps, top, 1.0)["r"]).orderBy("doc_id").collect()])
+    assert (mine >= 1).all() and np.allclose(list(got.values()), (mine * t) @ p)
+    want = np.ones(80)
+    goal = np.array([target[d] for d in "abc"])
+    for _ in range(20_000):
+        want = np.clip(want - 0.5 * (p @ (((want * t) @ p - goal) / (t @ p))), 1, top)
+    loss = lambda x: (((x * t) @ p - goal) ** 2 / (t @ p)).sum()
+    assert loss(mine) <= loss(want) + 2e-3 * loss(np.ones(80))
