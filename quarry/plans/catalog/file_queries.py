@@ -83,8 +83,8 @@ def q_scan_run_log(spark, sf_dir):
 @register("scan_experiment_log", sql=__import__("quarry.plans.catalog.experiment_queries",
                                                fromlist=["W"]).W + "SELECT * FROM log")
 def q_scan_experiment_log(spark, sf_dir):
-    """A14 (+ B12, B13): the stand-in logs written as one ``results.tsv`` per run (header,
-    tab-separated, in log order), read back with ``idx`` from the line position."""
+    """A14 (+ B12, B13): the stand-in logs written as a ``results.tsv`` per run (header,
+    tab-separated, in log order, a large one in several files), read back with ``idx`` from the line position."""
     from quarry.operators.experiments import normalize_log
     from quarry.plans.standins import raw_experiment_log
     from quarry.sources.tabular import LOG_COLUMNS, scan_experiment_logs
@@ -96,11 +96,10 @@ def q_scan_experiment_log(spark, sf_dir):
     header = F.lit("\t".join(LOG_COLUMNS))
     body = raw.select("run", "idx", line.alias("line"))
     heads = raw.select("run").distinct().select("run", F.lit(-1).cast("long").alias("idx"), header.alias("line"))
-    (body.unionByName(heads).repartition("run").sortWithinPartitions("run", "idx")
+    # a hot run is spread over several files of its folder, whose names ascend with idx
+    (body.unionByName(heads).repartitionByRange("run", "idx").sortWithinPartitions("run", "idx")
          .select("run", "line").write.partitionBy("run").text(root))
-    logs = scan_experiment_logs(spark, root)
-    logs = logs.withColumn("run", F.regexp_extract("run", r"run=([0-9]+)/", 1).cast("long"))
-    return normalize_log(logs)
+    return normalize_log(scan_experiment_logs(spark, root, F.regexp_extract("run", r"run=([0-9]+)/", 1).cast("long")))
 
 
 # --------------------------------------------------------------------------- mixed folders

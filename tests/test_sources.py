@@ -81,3 +81,23 @@ def test_prepare_corpus_observes_counts(spark, tmp_path):
     assert counts["n_docs"] == 150 + long_b and counts["n_val"] == 50
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == counts["n_docs"] and set(back.columns) >= {"text", "source", "split", "shard"}
+
+
+def test_results_log_in_many_files_and_splits(spark, tmp_path):
+    """One log over several files, each read in several splits, keeps its line order."""
+    from pyspark.sql import functions as F
+    from quarry.sources.tabular import scan_experiment_logs
+    want = [f"c{i:05d}" for i in range(3000)]
+    (tmp_path / "run=7").mkdir()
+    for k in range(3):
+        body = [f"{c}\t1.0\t2.0\tkeep\tnote" for c in want[k * 1000:(k + 1) * 1000]]
+        head = ["commit\tval_bpb\tmemory_gb\tstatus\tdescription"] if k == 0 else []
+        (tmp_path / "run=7" / f"part-{k:05d}.txt").write_text("\r\n".join(head + body) + "\r\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        logs = scan_experiment_logs(spark, str(tmp_path), F.regexp_extract("run", r"run=([0-9]+)/", 1).cast("long"))
+        got = logs.orderBy("idx").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [(r["run"], r["idx"], r["commit"], r["description"]) for r in got] == [(7, i, c, "note") for i, c in enumerate(want)]
