@@ -3,11 +3,14 @@
 import corpus_pipeline
 from quarry.llm import (  # noqa: F401
     q_bpe,
+    q_fim,
     q_html,
+    q_licenses,
     q_lines,
     q_mixing,
     q_near_dup,
     q_quality,
+    q_resample,
     q_secrets,
     q_tokens,
     q_topk,
