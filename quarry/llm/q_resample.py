@@ -25,7 +25,7 @@ seen AS (SELECT DISTINCT f FROM (SELECT f FROM one UNION ALL SELECT f FROM dst))
 hashed AS (
   SELECT f, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, strlen(f) + 1),
            lambda i: CAST('0x' || substr(hex(f), 2 * i - 1, 2) AS BIGINT))),
-           lambda c, x: xor(c >> 8, (SELECT t FROM crc)[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM seen),
+           lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM seen CROSS JOIN crc),
 s AS (SELECT bucket, sum(n) AS s FROM one JOIN hashed USING (f) GROUP BY bucket),
 t AS (SELECT bucket, count(*) AS t FROM dst JOIN hashed USING (f) GROUP BY bucket),
 alls AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS ss, coalesce((SELECT sum(t) FROM t), 0) AS tt),
