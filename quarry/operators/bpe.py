@@ -1,21 +1,27 @@
 """Byte-pair-encoding tokenizer as Spark jobs.
 
 Training
-    The corpus is reduced once to distinct pieces with counts (``pretoken_counts``); each
-    piece becomes a word of byte ids.  Every round counts adjacent pairs weighted by word
-    counts (partial + final aggregate), collects only the ``top_k`` best pairs, picks a batch
-    of merges that is provably identical to merging one pair at a time, and rewrites the
-    words with one native expression.  The driver holds the merge list, whose size is the
-    vocabulary size (a fixed parameter), never the data.
+    The corpus is reduced once to distinct pieces with counts (``pretoken_counts``); the pieces
+    become words of byte ids, packed by a few thousand in a row, so that a task rewrites them with
+    array operations.  A round is one job: every task merges the round's batch in its words, and
+    only the words that hold one of its pairs give changes of pair counts, which are summed in
+    Spark.  The driver keeps the ``top_k`` first pairs of the ranking with exact counts and
+    the merge list; both are bounded by parameters, the data never come there.
+
+Candidates
+    Pairs are ranked by (count desc, left, right).  Counts of old pairs only fall, and the full
+    count of a new pair is known when it arises.  So the kept pairs stay the first of the ranking
+    up to the place of the last one that was ever left out; when they run out, or fall behind
+    that place, one job counts all pairs again and brings the first ``top_k``.
 
 Exact batches
-    Pairs are ranked by (count desc, left, right).  Scanning that ranking, the next pair q
-    joins the batch when it shares no symbol with the batch, the previous pair was not of
-    the form (a, a), and q's count is strictly greater than the count of every pair outside
-    the batch that touches a batch symbol (pairs beyond the collected ``top_k`` are bounded
-    by the smallest collected count).  Merging a batch pair (a, b) only lowers counts of
-    pairs touching a or b and creates pairs (x, ab) whose count is at most that of (x, a);
-    so q is still the best pair after the batch — the sequential choice.
+    A batch is the longest beginning of the ranking in which no pair's left symbol is another
+    pair's right symbol; a pair (a, a) ends its batch.  Merging them at once is merging them one
+    at a time: a pair of the batch loses no occurrence to another, for that takes a shared
+    symbol that is right in one and left in the other.  A pair (u, v) that the batch creates occurs
+    at most as often as the old pair (last symbol of u, first symbol of v), which is not in the
+    batch, so it is ranked behind the whole batch; with equal counts (u, v) has
+    larger ids.  So after each merge the next pair of the batch is still the first of all.
 
 Encoding / decoding
     The merge ranks (bounded by the vocabulary size) are broadcast; an iterator pandas UDF
@@ -25,9 +31,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from heapq import heapify, heappop, heappush
+from heapq import heapify, heappop, heappush, nsmallest
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +45,12 @@ from quarry.operators.pretokenize import pieces_expr, pretoken_counts
 from quarry.session import cut_lineage
 
 ID_SHIFT = 1 << 31          # pair key = left * ID_SHIFT + right; ids are ints, so keys are unique
-CHECKPOINT_EVERY = 8
+CHECKPOINT_EVERY = 8        # rounds between two tables that cut the lineage
+TOP_K = 16_384              # candidate pairs of the driver
+WORDS_A_TASK = 40_000       # distinct pieces, about, below which a task is not worth its start
+LONGEST_BATCH = 2048
+CACHED_PIECES = 200_000
+PACKED_WORDS = "ends binary, symbols binary, n binary"
 
 
 # --------------------------------------------------------------------------- words
@@ -68,69 +81,182 @@ def pair_counts(words: DataFrame) -> DataFrame:
              .agg(F.sum("n").alias("n"))
 
 
-def apply_merges(words: DataFrame, batch: list[tuple[int, int, int]]) -> DataFrame:
-    """Replace every (left, right) of ``batch`` by its new id, left to right, without overlap
-    (batch pairs share no symbol, so one pass applies all of them)."""
-    return words.select(merge_expr(batch).alias("symbols"), "n").where(F.size("symbols") >= 2)
-
-
-def merge_expr(batch: list[tuple[int, int, int]]) -> Column:
-    """The merged ``symbols`` array as one native expression."""
-    kv = []
-    for left, right, new in batch:
-        kv += [F.lit(left * ID_SHIFT + right).cast("long"), F.lit(new)]
-    table = F.create_map(*kv)
-    sym = F.col("symbols")
-    init = F.struct(F.array().cast("array<int>").alias("out"), F.lit(False).alias("skip"))
-
-    def step(acc, i):
-        cur = F.get(sym, i)
-        hit = F.try_element_at(table, cur.cast("long") * F.lit(ID_SHIFT) + F.get(sym, i + 1))
-        return (F.when(acc["skip"], F.struct(acc["out"].alias("out"), F.lit(False).alias("skip")))
-                 .when(hit.isNotNull(), F.struct(F.array_append(acc["out"], hit).alias("out"),
-                                                 F.lit(True).alias("skip")))
-                 .otherwise(F.struct(F.array_append(acc["out"], cur).alias("out"),
-                                     F.lit(False).alias("skip"))))
-
-    merged = F.aggregate(F.sequence(F.lit(0), F.size(sym) - 1), init, step, lambda acc: acc["out"])
-    # a word without any batch pair's left symbol cannot change: skip the interpreted fold
-    lefts = F.array(*[F.lit(v) for v in sorted({left for left, _, _ in batch})])
-    return F.when(F.arrays_overlap(sym, lefts), merged).otherwise(sym)
-
-
-def _signed_pairs(sym: Column, sign: int) -> Column:
-    """Adjacent pairs of ``sym`` tagged ±1.  ``sequence(0, -1)`` counts down in Spark, so a
-    one-symbol array would yield a pair with a null side: those are filtered out."""
-    pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(sym) - 2, F.lit(0))),
-                        lambda i: F.struct(F.get(sym, i).alias("left"), F.get(sym, i + 1).alias("right"),
-                                           F.lit(sign).alias("sign")))
-    return F.filter(pairs, lambda p: p["right"].isNotNull())
-
-
-def select_batch(ranked: list[tuple[int, int, int]], complete: bool) -> list[tuple[int, int, int]]:
-    """The exact batch (see module doc) from pairs ranked by (count desc, left, right)."""
-    if not ranked:
-        return []
-    floor = 0 if complete else ranked[-1][2]
-    batch = [ranked[0]]
-    used = {ranked[0][0], ranked[0][1]}
-    for pos in range(1, len(ranked)):
-        left, right, c = ranked[pos]
-        last_l, last_r, _ = batch[-1]
-        if last_l == last_r or left in used or right in used:
-            break
-        bound = floor
-        for l2, r2, c2 in ranked[pos + 1:]:
-            if l2 in used or r2 in used:
-                bound = max(bound, c2)
-                break
-        if c <= bound:
+def select_batch(ranked: list[tuple[int, int, int]], complete: bool = True) -> list[tuple[int, int, int]]:
+    """The exact batch (see module doc) from pairs ``(left, right, count)``: the whole ranking or a
+    beginning of it (``complete`` false), which serves as well."""
+    batch, lefts, rights = [], set(), set()
+    for left, right, c in sorted(ranked, key=lambda p: (-p[2], p[0], p[1])):
+        if left in rights or right in lefts:
             break
         batch.append((left, right, c))
-        used.update((left, right))
+        if left == right:
+            break
+        lefts.add(left)
+        rights.add(right)
     return batch
 
 
+# --------------------------------------------------------------------------- packed words
+
+class Words:
+    """Words of a packed row: ``symbols`` one word after the other, each word's end, and its count."""
+
+    def __init__(self, ends: np.ndarray, symbols: np.ndarray, n: np.ndarray):
+        self.ends, self.symbols, self.n = ends, symbols, n
+
+    @staticmethod
+    def of(row: dict) -> Words:
+        return Words(*(np.frombuffer(row[c], t) for c, t in (("ends", "<i4"), ("symbols", "<i4"), ("n", "<i8"))))
+
+    def pack(self) -> tuple[bytes, bytes, bytes]:
+        return (self.ends.astype("<i4").tobytes(), self.symbols.astype("<i4").tobytes(), self.n.astype("<i8").tobytes())
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Key and word of each two symbols side by side, and whether both are of that word."""
+        word = np.repeat(np.arange(len(self.ends)), np.diff(self.ends, prepend=0))
+        key = self.symbols[:-1].astype(np.int64) * ID_SHIFT + self.symbols[1:]
+        return key, word[:-1], word[:-1] == word[1:]
+
+    def merge(self, keys: np.ndarray, new: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
+        """The words after the batch (``keys`` ascending, with their new ids), those of one symbol
+        left out, and the changed pairs: keys and by how much their counts rise."""
+        key, word, inside = self.pairs()
+        if not len(key):
+            return self, key, key
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        hit = np.flatnonzero(inside & (keys[at] == key))
+        if not len(hit):
+            return self, key[:0], key[:0]
+        # Hits side by side are a run of one symbol: every other one merges, from the left.
+        first = np.concatenate([[True], np.diff(hit) > 1])
+        order = np.arange(len(hit))
+        hit = hit[(order - np.maximum.accumulate(np.where(first, order, 0))) % 2 == 0]
+        changed = np.zeros(len(self.ends), bool)
+        changed[word[hit]] = True
+        symbols, keep = self.symbols.copy(), np.ones(len(self.symbols), bool)
+        symbols[hit] = new[at[hit]]
+        keep[hit + 1] = False
+        sizes = np.diff(self.ends, prepend=0) - np.bincount(word[hit], minlength=len(self.ends))
+        after = Words(np.cumsum(sizes), symbols[keep], self.n)
+        old = inside & changed[word]
+        key2, word2, inside2 = after.pairs()
+        now = inside2 & changed[word2]
+        rises = _sums(np.concatenate([key[old], key2[now]]), np.concatenate([-self.n[word[old]], self.n[word2[now]]]))
+        long_enough = sizes > 1
+        if not long_enough.all():
+            after = Words(np.cumsum(sizes[long_enough]), after.symbols[np.repeat(long_enough, sizes)], self.n[long_enough])
+        return after, *rises
+
+
+def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their numbers, without zeros."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    total = np.add.reduceat(n, first)
+    return keys[first][total != 0], total[total != 0]
+
+
+def pack_words(counts: DataFrame, piece: str = "piece", n: str = "n") -> DataFrame:
+    """Packed rows of the pieces of two bytes or more."""
+    def run(batches):
+        for b in batches:
+            raw = b.column("piece").to_pylist()
+            if raw:
+                words = Words(np.cumsum([len(r) for r in raw]), np.frombuffer(b"".join(raw), np.uint8), b.column("n").to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in words.pack()], ["ends", "symbols", "n"])
+
+    rows = counts.where(F.octet_length(piece) >= 2).select(F.encode(F.col(piece), "UTF-8").alias("piece"), F.col(n).cast("long").alias("n"))
+    return rows.mapInArrow(run, PACKED_WORDS)
+
+
+def _changes(rows: DataFrame) -> DataFrame:
+    """``left, right, n`` summed from packed rows' arrays ``keys`` and ``rises``."""
+    each = rows.selectExpr("explode(arrays_zip(keys, rises)) AS c").selectExpr("c.keys AS k", "c.rises AS n")
+    return each.groupBy("k").agg(F.sum("n").alias("n")).selectExpr(
+        "CAST(shiftright(k, 31) AS INT) AS left", f"CAST(k & {ID_SHIFT - 1} AS INT) AS right", "n")
+
+
+_ROUND_SCHEMA = PACKED_WORDS + ", keys array<bigint>, rises array<bigint>"
+
+
+def _round_rows(words: DataFrame, work) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                after, keys, rises = work(Words.of(row))
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([x], pa.binary()) for x in after.pack()),
+                     *(pa.array([x], pa.list_(pa.int64())) for x in (keys, rises))], ["ends", "symbols", "n", "keys", "rises"])
+    return words.mapInArrow(run, _ROUND_SCHEMA)
+
+
+def packed_pair_counts(words: DataFrame) -> DataFrame:
+    """``left, right, n`` of all pairs of packed words."""
+    def work(w: Words):
+        key, word, inside = w.pairs()
+        return Words(*[np.empty(0, np.int64)] * 3), *_sums(key[inside], w.n[word[inside]])
+    return _changes(_round_rows(words, work))
+
+
+def merge_round(words: DataFrame, plan: list[tuple[int, int, int]], candidates: list[tuple[int, int]]) -> DataFrame:
+    """Packed words after the batch ``plan`` of (left, right, new id), with the changes of the counts
+    of new pairs and of ``candidates``."""
+    order = sorted((left * ID_SHIFT + right, new) for left, right, new in plan)
+    keys, new = (np.array(x, np.int64) for x in zip(*order))
+    known = np.sort(np.array([left * ID_SHIFT + right for left, right in candidates], np.int64))
+    first_new = min(new)
+
+    def work(w: Words):
+        after, pairs, rises = w.merge(keys, new)
+        if len(pairs):
+            wanted = (pairs >= first_new * ID_SHIFT) | (pairs % ID_SHIFT >= first_new)
+            if len(known):
+                wanted |= known[np.minimum(np.searchsorted(known, pairs), len(known) - 1)] == pairs
+            pairs, rises = pairs[wanted], rises[wanted]
+        return after, pairs, rises
+
+    return _round_rows(words, work)
+
+
+class Ranking:
+    """The first pairs of the ranking with their counts, exact up to ``last``: the place
+    (-count, left, right) behind which pairs may be missing (None: none is)."""
+
+    def __init__(self, top_k: int):
+        self.top_k, self.counts, self.last = max(1, top_k), {}, None
+
+    def refill(self, pairs: DataFrame) -> None:
+        """The first ``top_k`` of all pairs."""
+        rows = pairs.orderBy(F.desc("n"), "left", "right").limit(self.top_k + 1).collect()
+        kept = rows[:self.top_k]
+        self.counts = {(r["left"], r["right"]): r["n"] for r in kept}
+        self.last = (-kept[-1]["n"], kept[-1]["left"], kept[-1]["right"]) if len(rows) > len(kept) else None
+
+    def least(self) -> int:
+        """A pair with a smaller count is behind ``last``."""
+        return 1 if self.last is None else -self.last[0]
+
+    def update(self, lefts: list[int], rights: list[int], rises: list[int]) -> None:
+        for left, right, n in zip(lefts, rights, rises):
+            c = self.counts.pop((left, right), 0) + n
+            if c > 0:
+                self.counts[left, right] = c
+        if len(self.counts) > 2 * self.top_k:
+            kept = self._first(self.top_k)
+            self.counts = {(left, right): -c for c, left, right in kept}
+            self.last = kept[-1] if self.last is None else min(self.last, kept[-1])
+
+    def _first(self, n: int) -> list[tuple[int, int, int]]:
+        return nsmallest(n, ((-c, left, right) for (left, right), c in self.counts.items()))
+
+    def ranked(self, n: int) -> list[tuple[int, int, int]]:
+        """At most ``n`` first pairs ``(left, right, count)`` of the whole ranking."""
+        return [(p[1], p[2], -p[0]) for p in self._first(n) if self.last is None or p <= self.last]
+
+
 # --------------------------------------------------------------------------- tokenizer
 
 @dataclass
@@ -170,69 +296,53 @@ def _word_partitions(spark: SparkSession) -> int:
 
 
 def train_bpe(spark: SparkSession, texts: DataFrame, vocab_size: int = VOCAB_SIZE,
-              text: str = "text", top_k: int = 4096, pattern: str = SPLIT_PATTERN,
+              text: str = "text", top_k: int = TOP_K, pattern: str = SPLIT_PATTERN,
               counts: DataFrame | None = None, log=None, incremental: bool = True) -> Tokenizer:
-    """H2: learn ``vocab_size - len(specials) - 256`` merges from ``texts``.
+    """H2: learn ``vocab_size - len(specials) - 256`` merges from ``texts`` (or from their piece
+    ``counts``), fewer if no pair is left.
 
-    With ``incremental`` the pair-count table is kept between rounds: each round is one
-    projection of the words (merged symbols, and whether anything merged); only the words
-    that changed contribute pair deltas (new pairs minus old pairs) to the table, instead of
-    every pair of every word being exploded again.  Each generation refers to the previous
-    one once, so plans grow linearly until the periodic checkpoint cuts them."""
+    A round is one job over the packed words; the words of a round are cached, and every
+    ``CHECKPOINT_EVERY`` rounds a written table cuts the lineage, so that lost executors cost
+    a few rounds.  Without ``incremental`` every round counts all pairs again."""
     tok = Tokenizer(pattern=pattern)
     n_merges = vocab_size - len(tok.specials) - 256
     if counts is None:
         counts = pretoken_counts(texts, text, pattern)
-    parts = _word_partitions(spark)
-    words = cut_lineage(word_table(counts).repartition(parts))
-    if words.limit(1).count() == 0 and counts.limit(1).count() == 0:
+    words = cut_lineage(pack_words(counts.repartition(_word_partitions(spark))), "bpe-words")
+    n_words = words.agg(F.sum(F.length("n") / 8)).first()[0] or 0
+    if not n_words and counts.limit(1).count() == 0:
         raise ValueError("no text to learn merges from")
-    pairs = cut_lineage(pair_counts(words)) if incremental else None
-    next_id, rounds, stale, prev_step = 256, 0, [], None
+    tasks = max(1, int(n_words / WORDS_A_TASK))
+    words = words.coalesce(tasks)
+    ranking, rounds, cached = Ranking(top_k), 0, []
+    ranking.refill(packed_pair_counts(words))
     while len(tok.merges) < n_merges:
-        table = pairs if incremental else pair_counts(words)
-        ranked_df = table.orderBy(F.desc("n"), "left", "right").limit(top_k + 1)
-        rows = [(r["left"], r["right"], r["n"]) for r in ranked_df.collect()]
-        for old in stale:                 # the current generation is materialised now
-            old.unpersist()
-        stale = []
-        if not rows:
+        batch = select_batch(ranking.ranked(LONGEST_BATCH), False)
+        if not batch and ranking.last is not None:
+            ranking.refill(packed_pair_counts(words))
+            batch = select_batch(ranking.ranked(LONGEST_BATCH), False)
+        if not batch:
             break
-        complete = len(rows) <= top_k
-        batch = select_batch(rows[:top_k], complete)[: n_merges - len(tok.merges)]
-        plan = []
-        for left, right, _ in batch:
-            plan.append((left, right, next_id))
-            tok.merges.append((left, right))
-            next_id += 1
+        first_new = 256 + len(tok.merges)
+        plan = [(left, right, first_new + i) for i, (left, right, _) in enumerate(batch[:n_merges - len(tok.merges)])]
+        tok.merges += [(left, right) for left, right, _ in plan]
+        step = merge_round(words, plan, list(ranking.counts)).persist()
+        got = _changes(step).where(f"left < {first_new} AND right < {first_new} OR n >= {ranking.least()}").toArrow()
+        ranking.update(*(got.column(c).to_pylist() for c in ("left", "right", "n")))
+        while cached:
+            cached.pop().unpersist()
+        cached.append(step)
+        words = step.select("ends", "symbols", "n")          # cached by the job above
         rounds += 1
-        checkpoint = rounds % CHECKPOINT_EVERY == 0
-        if incremental:
-            step = words.select("symbols", "n", merge_expr(plan).alias("_new"))
-            step = step.withColumn("_hit", F.size("_new") < F.size("symbols")).persist()
-            changed = step.where("_hit").select(
-                "n", F.explode(F.concat(_signed_pairs(F.col("symbols"), -1),
-                                        _signed_pairs(F.col("_new"), 1))).alias("p"))
-            delta = changed.select(F.col("p.left").alias("left"), F.col("p.right").alias("right"),
-                                   (F.col("p.sign") * F.col("n")).alias("n"))
-            new_pairs = (pairs.unionByName(delta).groupBy("left", "right")
-                              .agg(F.sum("n").alias("n")).where(F.col("n") > 0))
-            new_words = step.select(F.col("_new").alias("symbols"), "n").where(F.size("symbols") >= 2)
-            # release the previous generation after the next round has materialised this one
-            stale = [x for x in (prev_step, pairs) if x is not None]
-            if checkpoint:
-                words, pairs = cut_lineage(new_words), cut_lineage(new_pairs)
-                step.unpersist()
-                prev_step = None
-            else:
-                words, pairs = new_words, new_pairs.persist()
-                prev_step = step
-        else:
-            stale = [words]
-            merged = apply_merges(words, plan)
-            words = cut_lineage(merged) if checkpoint else merged.persist()
+        if rounds % CHECKPOINT_EVERY == 0:
+            words = cut_lineage(words, "bpe-words").coalesce(tasks)
+            cached.pop().unpersist()
+        if not incremental:
+            ranking.refill(packed_pair_counts(words))
         if log:
             log(rounds, len(tok.merges), batch)
+    while cached:
+        cached.pop().unpersist()
     return tok
 
 
@@ -313,8 +423,9 @@ def _encoder(bc, prepend: int | None):
                     got = cache.get(p)
                     if got is None:
                         got = encode_piece(p.encode("utf-8"), ranks)
-                        if len(cache) < 200_000:
-                            cache[p] = got
+                        if len(cache) >= CACHED_PIECES:
+                            cache.clear()
+                        cache[p] = got
                     ids.extend(got)
                 out.append(ids)
             yield pd.Series(out)

@@ -8,7 +8,7 @@ from quarry.functions.text import normalize_ws
 from quarry.operators.pretokenize import pretoken_counts
 from quarry.plans import sqltext as S
 from quarry.plans.registry import register
-from quarry.session import cut_lineage, read_table, spread
+from quarry.session import cut_lineage, read_table, spread, table_path
 
 
 @register("pretoken_counts", sql=f"""
@@ -32,10 +32,10 @@ def q_pretoken_counts_raw(spark, sf_dir):
 # --------------------------------------------------------------------------- tokenizer
 import math  # noqa: E402
 
-from quarry.constants import BOS_TOKEN, EVAL_TOKENS, MAX_SEQ_LEN  # noqa: E402
+from quarry.constants import BOS_TOKEN, EVAL_TOKENS, MAX_SEQ_LEN, VOCAB_SIZE  # noqa: E402
 from quarry.operators import bpe, metrics, packing  # noqa: E402
 
-QUERY_VOCAB = 384          # 256 bytes + 124 merges + 4 specials (full 8192 via parameter)
+QUERY_VOCAB = VOCAB_SIZE   # 256 bytes + 7,932 merges + 4 specials
 PACK_T = MAX_SEQ_LEN       # rows of T + 1 = 2049 ids, as the reference packs
 PACK_BUFFER_DOCS = 1000
 BATCH = 16                 # the reference's device batch
@@ -49,12 +49,21 @@ def train_split(spark, sf_dir):
     return a.where(F.col("split") == "train"), a.where(F.col("split") == "val")
 
 
+def table_version(spark, path: str) -> tuple:
+    """Names, sizes and times of a table's files: what changes when the table does."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [fs.getFileStatus(at)]
+    if found[0].isDirectory():
+        found = fs.listStatus(at)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 def tokenizer(spark, sf_dir, vocab: int = QUERY_VOCAB) -> bpe.Tokenizer:
-    """H2 on the training split (whole texts), trained once per session and state of the table;
+    """H2 on the training split (whole texts), trained once per session and version of the table;
     the merge list is bounded by the vocabulary size.  An empty split stops the job."""
-    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    state = docs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("doc_id", "text").cast("decimal(20,0)"))).first()
-    key = (spark.sparkContext.applicationId, sf_dir, vocab, tuple(state))
+    key = (spark.sparkContext.applicationId, vocab, table_version(spark, table_path(sf_dir, "documents")))
     if key not in _TOKENIZERS:
         train, _ = train_split(spark, sf_dir)
         if train.limit(1).count() == 0:
@@ -247,7 +256,7 @@ def q_bits_per_byte(spark, sf_dir):
 
 def _raw_bytes(tok: bpe.Tokenizer):
     """Bytes of the ids in ``ids``; specials have none (a literal of one number per vocabulary entry)."""
-    sizes = F.array(*[F.lit(len(b)) for b in tok.token_bytes()], *[F.lit(0) for _ in tok.specials])
+    sizes = F.expr(f"array({','.join(str(len(b)) for b in tok.token_bytes())}{',0' * len(tok.specials)})")
     return F.aggregate("ids", F.lit(0).cast("long"), lambda a, i: a + F.element_at(sizes, i + 1))
 
 

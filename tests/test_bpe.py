@@ -70,6 +70,48 @@ def test_select_batch_rules():
     assert bpe.select_batch([(1, 1, 10), (3, 4, 9)], True) == [(1, 1, 10)]
 
 
+def test_wide_batches_equal_sequential_on_real_text(spark):
+    """Many merges a round on documents, with few candidates so that the ranking is refilled often."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(40)
+    counts = pretoken_counts(docs).persist()
+    words = {tuple(r["piece"].encode()): r["n"] for r in counts.collect()}
+    expect, sizes = sequential_bpe(words, 220), []
+    for top_k in (40, 100_000):
+        tok = bpe.train_bpe(spark, None, vocab_size=256 + 4 + 220, counts=counts, top_k=top_k,
+                            log=lambda r, m, b: sizes.append(len(b)))
+        assert tok.merges == expect
+    assert max(sizes) > 5 and len(sizes) < 220                # rounds merge several pairs
+
+
+def test_runs_of_one_symbol(spark):
+    corpus = [("a" * n, n) for n in range(1, 40)] + [("ab" * 7, 3), ("aab" * 5, 2), ("é" * 9, 4)]
+    counts = spark.createDataFrame(corpus, "piece string, n long")
+    expect = sequential_bpe({tuple(w.encode()): n for w, n in corpus}, 60)
+    assert bpe.train_bpe(spark, None, vocab_size=256 + 4 + 60, counts=counts).merges == expect
+
+
+def test_words_run_out(spark):
+    """Fewer merges than asked for, when every word is one symbol in the end."""
+    counts = spark.createDataFrame([("ab", 2), ("c", 5), ("", 1)], "piece string, n long")
+    assert bpe.train_bpe(spark, None, counts=counts).merges == [(97, 98)]
+    with pytest.raises(ValueError):
+        bpe.train_bpe(spark, None, counts=counts.where("false"))
+
+
+def test_ids_equal_tiktoken_on_a_whole_table(spark):
+    """H5 and H6 by value: every document of the table, special strings as ordinary text."""
+    tiktoken = pytest.importorskip("tiktoken")
+    from quarry.constants import BOS_TOKEN, SPECIAL_TOKENS, SPLIT_PATTERN
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    docs = docs.unionByName(spark.createDataFrame([(f"a {BOS_TOKEN} b{t}",) for t in SPECIAL_TOKENS] + [("",), (" \u3000\n",)], "text string"))
+    tok = bpe.train_bpe(spark, docs.limit(300), vocab_size=600)
+    enc = tiktoken.Encoding(name="t", pat_str=SPLIT_PATTERN, mergeable_ranks=tok.ranks(), special_tokens={})
+    rows = bpe.encode(bpe.encode(docs, tok), tok, out="with_bos", prepend_bos=True).collect()
+    assert len(rows) == 1006
+    for r in rows:
+        assert r["ids"] == enc.encode_ordinary(r["text"]) and r["with_bos"] == [tok.bos_id, *r["ids"]]
+
+
 def test_bytes_of_and_roundtrip(spark):
     from quarry.constants import ROUNDTRIP_SAMPLE
     df = spark.createDataFrame([(ROUNDTRIP_SAMPLE,), ("naïve café 123456",), ("\t tab\r\n",)], "text string")
