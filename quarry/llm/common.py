@@ -26,6 +26,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a table that no frame will read again."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage is cut and a
     lost executor costs nothing that was written."""

@@ -21,8 +21,10 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op2_mixing")
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens, posteriors and rate of every document."""
+    """Tokens, posteriors and rate of every document; target and reached total of each domain, the same
+    in every row, so that a miss can be seen."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    rows, domains, _, _ = mixing.mix(docs, labelled(spark, sf_dir), WEIGHTS)
+    rows, domains, target, got = mixing.mix(docs, labelled(spark, sf_dir), WEIGHTS)
     p = [F.element_at("p", i + 1).alias(f"p_{d}") for i, d in enumerate(domains)]
-    return rows.select("doc_id", "tokens", *p, "rate")
+    fit = [F.lit(float(x[d])).alias(f"{name}_{d}") for name, x in (("target", target), ("reached", got)) for d in domains]
+    return rows.select("doc_id", "tokens", *p, "rate", *fit)

@@ -24,9 +24,13 @@ def plain_rates(p, t, w, budget, limit, rounds=20_000):
 def test_query_meets_the_targets(spark):
     sf = "/root/testdata/sf0.01"
     rows = op2_mixing(spark, sf)
-    assert rows.columns == ["doc_id", "tokens", "p_de", "p_en", "p_es", "p_fr", "rate"]
+    assert rows.columns[:7] == ["doc_id", "tokens", "p_de", "p_en", "p_es", "p_fr", "rate"]
+    assert rows.columns[7:] == [f"{x}_{d}" for x in ("target", "reached") for d in ("de", "en", "es", "fr")]
     r = rows.toPandas()
     total = r["tokens"].sum()
+    for d, w in WEIGHTS.items():
+        assert np.allclose(r[f"target_{d}"], w * total)
+        assert np.allclose(r[f"reached_{d}"], (r["tokens"] * r["rate"] * r[f"p_{d}"]).sum())
     for d, w in WEIGHTS.items():
         assert abs((r["tokens"] * r["rate"] * r[f"p_{d}"]).sum() - w * total) < 1e-4 * total
     assert (r["rate"] >= 0).all() and np.allclose(r[[f"p_{d}" for d in WEIGHTS]].sum(1), 1)
@@ -41,7 +45,7 @@ def test_rates_against_plain_gradient(spark, weights, limit):
     r = np.random.default_rng(0)
     t = r.integers(1, 200, 60).astype(float)
     p = r.dirichlet([0.4, 0.4, 0.4], 60)
-    rows = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(t, p))], "doc_id bigint, tokens bigint, p array<double>").cache()
+    rows = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(t, p))], "doc_id bigint, tokens bigint, p array<double>").coalesce(1).cache()
     w = dict(zip("abc", weights))
     steps, target, got = M.fit_rates(rows, list("abc"), w, limit=limit)
     mine = np.array([x["r"] for x in rows.withColumn("r", M.fold_rates(F.col("p"), steps, limit)["r"]).orderBy("doc_id").collect()])
@@ -91,7 +95,11 @@ def test_edges(spark, odd, empty, sf):
     assert one[0]["tokens"] == one[1]["tokens"] == 0 and one[7]["tokens"] == 80_000
     assert one[0]["p"] == one[1]["p"] and one[4]["rate"] == one[5]["rate"] and one[3]["row"] == "extra"
     assert all(r["rate"] >= 0 and abs(sum(r["p"]) - 1) < 1e-9 for r in got)
+    assert one[0]["rate"] == one[1]["rate"] == one[2]["rate"] == 1.0          # no tokens
     assert M.mix(empty, lab, WEIGHTS)[0].count() == 0
+    bounded, _, target, reached = M.mix(odd, lab, WEIGHTS, "keep", keep=odd.columns, floor=1.0, limit=M.MAX_RATE)
+    assert bounded.agg(F.max("rate")).first()[0] <= M.MAX_RATE and reached["es"] < target["es"] / 2   # told, not hidden
+    assert M.repeat_by_rate(bounded).where(F.length("text") > 10_000).count() <= 2 * M.MAX_RATE
     none = M.mix(odd, lab.where("false"), WEIGHTS)
     assert none[1] == [] and {r["rate"] for r in none[0].collect()} == {1.0}
 
@@ -113,13 +121,30 @@ def test_rare_domain_meets_its_target(spark, caplog):
     assert any("domain es" in x.getMessage() for x in caplog.records)
 
 
+def test_work_of_a_round_does_not_grow(spark):
+    """Whatever the round, it folds a few steps over one scan of the state; old states are deleted."""
+    import os
+    r = np.random.default_rng(1)
+    t, p = r.integers(1, 99, 50), r.dirichlet([1, 1], 50)
+    rows = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(t, p)], "tokens bigint, p array<double>")
+    state, paths = M.State(rows, 2, M.NO_LIMIT, 0.0), set()
+    steps = [[0.1 / k, -0.05, 0.5] for k in range(1, 2 * M.FOLDED + 3)]
+    for s in steps:
+        state.step(s[:2], s[2])
+        paths.add(state.path)
+        assert len(state.pending) <= M.FOLDED
+    assert len(paths) == 3 and [os.path.exists(x.removeprefix("file:")) for x in sorted(paths)].count(True) == 1
+    whole = rows.select(F.sum(F.col("tokens") * F.element_at("p", 1) * M.fold_rates(F.col("p"), steps)["r"])).first()[0]
+    assert np.isclose(whole, state.totals[0])
+
+
 def test_floor_is_part_of_the_fit(spark):
     """Rates of at least one whose totals meet the targets, though memberships are soft."""
     r = np.random.default_rng(5)
     t, p = r.integers(1, 200, 80).astype(float), r.dirichlet([0.6, 0.6, 0.6], 80)
-    rows = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(t, p))], "doc_id bigint, tokens bigint, p array<double>").cache()
+    rows = spark.createDataFrame([(i, int(a), b.tolist()) for i, (a, b) in enumerate(zip(t, p))], "doc_id bigint, tokens bigint, p array<double>").coalesce(1).cache()
     w = {"a": 0.6, "b": 0.3, "c": 0.1}
-    top = M.ceiling(rows, list("abc"), w, "keep")
+    top = M.MAX_RATE
     steps, target, got = M.fit_rates(rows, list("abc"), w, "keep", top, 1.0)
     mine = np.array([x["r"] for x in rows.withColumn("r", M.fold_rates(F.col("p"), steps, top, 1.0)["r"]).orderBy("doc_id").collect()])
     assert (mine >= 1).all() and np.allclose(list(got.values()), (mine * t) @ p)
