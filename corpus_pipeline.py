@@ -51,9 +51,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated by rates of one or more, so that the languages' expected tokens come to
-    the target weights and no document is lost."""
-    rows, _, _, _ = mixing.mix(docs, labelled(spark, sf_dir), WEIGHTS, budget="keep", keep=list(docs.columns), floor=1.0)
+    """Documents repeated by rates from one to ``mixing.MAX_RATE``, so that the languages' expected
+    tokens come to the target weights and no document is lost; a language that would need more copies
+    stays short of its weight, which is logged."""
+    rows, _, _, _ = mixing.mix(docs, labelled(spark, sf_dir), WEIGHTS, budget="keep", keep=list(docs.columns), floor=1.0,
+                               limit=mixing.MAX_RATE)
     return mixing.repeat_by_rate(rows).select(*docs.columns)
 
 
