@@ -8,7 +8,8 @@ group into one task, as a window ``partitionBy(group)`` would.  Instead:
   partition and position, writes them (so the tags are stable and survive executor loss),
   and adds to each row the count of its group's rows in earlier partitions.  Only one
   small table (one row per partition and group) is windowed.
-* ``global_index`` does the same for a whole frame, on its key columns alone.
+* ``global_index`` does the same for a whole frame, on its distinct keys alone; the rows of a repeated
+  key share the range that their count takes.
 * ``prefix_scan`` computes running min / max / sum / count / last over a dense index: one summary
   row per (group, chunk of ``chunk`` rows), a running carry over the summaries in two levels
   (chunks within a block of chunks, then blocks), and a local running value inside each chunk.
@@ -72,22 +73,37 @@ def dense_index(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
 def global_index(df: DataFrame, order: Sequence[str | Column], out: str = "idx",
                  num_partitions: int | None = None) -> tuple[DataFrame, int]:
-    """A dense 0-based index over the whole frame in ``order`` (unique), and the row count.
+    """A dense 0-based index over the whole frame in ``order``, and the row count.
 
-    Only the order columns are sorted and written, never the rest of a row.  Partition offsets
-    are a table of one row a partition, and the index joins the rows on the order columns, so a
-    caller that needs no text moves none."""
+    Only the order columns are counted, sorted and written, never the rest of a row; the distinct
+    keys' places meet the rows in one join, so a caller that needs no text moves none.  Rows
+    with equal order columns share a range of the index and get its numbers in no certain order,
+    each its own: ``dense_index`` deals them out, so that a key may hold any share of the rows."""
     cols = _columns(order)
     named = [c.alias(f"_o{i}") for i, c in enumerate(cols)]
     names = [f"_o{i}" for i in range(len(cols))]
-    tagged = _tagged(df.select(*named), [F.col(n) for n in names], num_partitions)
-    per = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0"))
+    keys = df.select(*named).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    tagged = _tagged(keys, [F.col(n) for n in names], num_partitions)
+    per = tagged.groupBy("_pid").agg(F.sum("_n").alias("_rows"), F.min("_pos").alias("_p0"), F.max("_n").alias("_most"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)        # one row a partition
-    per = per.withColumn("_base", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    total = per.agg(F.sum("_n").alias("n")).first()["n"] or 0
-    index = (tagged.join(F.broadcast(per.select("_pid", "_p0", "_base")), "_pid")
-             .select(F.struct(*names).alias("_order"), (F.col("_base") + F.col("_pos") - F.col("_p0")).cast("long").alias(out)))
-    return df.withColumn("_order", F.struct(*named)).join(index, "_order").drop("_order"), int(total)
+    per = per.withColumn("_base", F.coalesce(F.sum("_rows").over(w), F.lit(0)))
+    total, most = per.agg(F.sum("_rows"), F.max("_most")).first()
+    place = tagged.join(F.broadcast(per.select("_pid", "_p0", "_base")), "_pid")
+    if (most or 0) <= 1:
+        start = F.col("_base") + F.col("_pos") - F.col("_p0")
+    else:
+        earlier = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+        start = F.col("_base") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    index = place.select(F.struct(*names).alias("_order"), start.cast("long").alias("_start"), "_n")
+    rows = df.withColumn("_order", F.struct(*named)).join(index, "_order")
+    single = rows.where("_n = 1") if (most or 0) > 1 else rows
+    single = single.withColumn(out, F.col("_start")).drop("_order", "_start", "_n")
+    if (most or 0) <= 1:
+        return single, int(total or 0)
+    # Random numbers cut a hot key's rows into many range partitions; they are fixed once written.
+    several = dense_index(rows.where("_n > 1").withColumn("_salt", F.rand(0)), ["_order"], ["_salt"], "_number", num_partitions)
+    several = several.withColumn(out, F.col("_start") + F.col("_number")).drop("_order", "_start", "_n", "_salt", "_number")
+    return single.unionByName(several), int(total or 0)
 
 
 _RUNNING = {"min": F.min, "max": F.max, "sum": F.sum, "count": F.sum, "last": F.last}

@@ -60,3 +60,26 @@ def test_top_k_and_shift(spark):
     sh = shift_by_index(idx, ["k"], "idx", ["o"]).toPandas().sort_values(["k", "o"])
     exp = pdf.sort_values(["k", "o"]).groupby("k")["o"].shift(1)
     assert [None if pd.isna(x) else int(x) for x in sh["prev_o"]] == [None if pd.isna(x) else int(x) for x in exp]
+
+
+def test_global_index_with_repeated_and_null_keys(spark):
+    """As many rows out as in, whatever the keys: a third of all rows with one id, null ids, copies."""
+    rows = [(7, f"t{i}") for i in range(300)] + [(None, "n")] * 40 + [(i, "x") for i in range(100, 600)] + [(3, "same")] * 10
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out, n = global_index(df, ["doc_id"], "idx")
+    got = out.collect()
+    assert n == len(rows) == len(got) and sorted(r["idx"] for r in got) == list(range(len(rows)))
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(a), b) for a, b in rows)
+    by_idx = [r["doc_id"] for r in sorted(got, key=lambda r: r["idx"])]
+    assert by_idx == sorted((a for a, _ in rows), key=lambda a: (a is not None, a or 0))
+    assert out.columns == ["doc_id", "text", "idx"]
+
+
+def test_shard_assignment_keeps_every_row(spark):
+    from quarry.operators.corpus import shard_assignment
+    rows = [(i, f"t{i}") for i in range(190)] + [(5, f"again {i}") for i in range(9)] + [(None, "no id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = shard_assignment(df, docs_per_shard=20).collect()
+    assert sorted(r["text"] for r in out) == sorted(t for _, t in rows)
+    assert sorted(r["idx"] for r in out) == list(range(200)) and sum(r["split"] == "val" for r in out) == 50
+    assert shard_assignment(df.where("false")).count() == 0
