@@ -9,16 +9,15 @@ from quarry.session import read_table
 
 SQL = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.r AS r, q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.r <> q.r AND len(c.v) = len(q.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
