@@ -16,6 +16,7 @@ bytes and a lost one leaves nothing under the final name."""
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -43,9 +44,9 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-# A letter or digit that no normal form takes apart, a stop, white space: pre-tokens end between
-# them.
-STOP = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])(?=[ \n])")
+# Between a stop and a letter or digit before it that no normal form takes apart, pre-tokens end.
+STOPS = frozenset(".,;:!?")
+PLAIN = frozenset(c for c in map(chr, range(256)) if c in "0123456789" or c.isalpha() and (c.isascii() or c >= "À"))
 SPLIT_MARK = "\0"                      # encodes to one id that no other chunk can give
 JOINED = 64
 
@@ -53,19 +54,44 @@ JOINED = 64
 class WordEncoder(dict):
     """White-space-free chunk → ids as little-endian int bytes, with a bounded cache.
 
+    A special string of the vocabulary, as it is written there, is its one id wherever it stands in a
+    text, as in the library; texts are cut at such strings before anything else.
+
     The tokenizer drops white space and its splits, merges and normal forms never cross a space
-    or a line end, so the chunks between these encode on their own; a stop that ends a word is a
-    chunk too.  New chunks are encoded many at a time, parted by a mark of one id."""
+    or a line end, so the chunks between these encode on their own.  A new chunk that is a known word
+    and a stop has the ids of both; others are encoded many at a time, parted by a mark of one id."""
 
     def __init__(self, spec: str, width: str):
         from tokenizers import Tokenizer
-        super().__init__({"": b""})
+        super().__init__()
         self.t = Tokenizer.from_str(spec)
-        self.t.encode_special_tokens = True   # their strings in a text are ordinary text
         self.width, self.size = width, np.dtype(width).itemsize
+        specials = {t.content: i for i, t in self.t.get_added_tokens_decoder().items() if t.special and not t.normalized}
+        # A chunk has no space in it, so these keys are nobody else's.
+        self.special = {f" {c}": np.array([i], width).tobytes() for c, i in specials.items()}
+        self.hint = os.path.commonprefix(list(specials))
+        self.cut = re.compile("|".join(map(re.escape, sorted(specials, key=len, reverse=True))) or r"(?!)")
+        self.t.encode_special_tokens = True   # what is left of a text, and its lower case, is ordinary
+        self._forget()
         self.mark = self.t.encode(SPLIT_MARK, add_special_tokens=False).ids
         assert len(self.mark) == 1
 
+    def _forget(self) -> None:
+        self.clear()
+        self.update(self.special | {"": b""})
+
+    def _chunks(self, text: str) -> list[str]:
+        return (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
+
+    def _parts(self, text: str) -> list[str]:
+        """Chunks of a text; special strings are the keys of ``special``."""
+        out, at = [], 0
+        for m in self.cut.finditer(text):
+            out += self._chunks(text[at:m.start()])
+            out.append(f" {m[0]}")
+            at = m.end()
+        return out + self._chunks(text[at:])
+
     def _learn(self, chunks: list[str]) -> None:
         odd = [c for c in chunks if SPLIT_MARK in c]
         for c, e in zip(odd, self.t.encode_batch_fast(odd, add_special_tokens=False)):
@@ -82,17 +108,21 @@ class WordEncoder(dict):
 
     def encode(self, docs: list[str]) -> list[bytes]:
         if len(self) > CACHE_ENTRIES:
-            self.clear()
-            self[""] = b""
-        parts = [STOP.sub(r" \1", d.lower() if d.isascii() else d).replace("\n", " ").split(" ") for d in docs]
+            self._forget()
+        parts = [self._parts(d) if self.hint in d else self._chunks(d) for d in docs]
         known = [list(map(self.get, p)) for p in parts]
         gaps = [i for i, k in enumerate(known) if None in k]
-        missing = list({c for i in gaps for c, b in zip(parts[i], known[i]) if b is None})
-        self._learn(missing)
+        missing = {c for i in gaps for c, b in zip(parts[i], known[i]) if b is None}
+        stopped = [c for c in missing if c[-1] in STOPS and len(c) > 1 and c[-2] in PLAIN]
+        need = missing.difference(stopped)
+        need.update(c for s in stopped for c in (s[:-1], s[-1]) if c not in self)
+        self._learn(list(need))
+        for c in stopped:
+            self[c] = self[c[:-1]] + self[c[-1]]
         for i in gaps:
             known[i] = [self[c] if b is None else b for c, b in zip(parts[i], known[i])]
         out = list(map(b"".join, known))
-        for c in missing:
+        for c in missing | need:
             if len(c) > CACHED_CHARS:
                 del self[c]
         return out
@@ -104,7 +134,6 @@ _ENCODERS: dict[int, WordEncoder] = {}
 def word_encoder(spec: Broadcast, width: str) -> WordEncoder:
     at = hash((spec.value, width))
     if at not in _ENCODERS:
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _ENCODERS[at] = WordEncoder(spec.value, width)
     return _ENCODERS[at]

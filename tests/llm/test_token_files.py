@@ -17,8 +17,7 @@ from .conftest import ODD_TEXTS
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(P.path(TOKENIZER))
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(P.path(TOKENIZER))            # as it is
     return lambda s: t.encode(s or "", add_special_tokens=False).ids
 
 
@@ -74,3 +73,16 @@ def test_empty(spark, empty, spec):
     folder = tf.new_folder(spark)
     manifest = tf.write_tokens(empty, folder, spec, END_ID)
     assert tf.with_global_start(tf.read_documents(spark, folder, manifest), manifest).count() == 0
+
+
+def test_special_strings_are_one_id(library):
+    enc = tf.WordEncoder(open(P.path(TOKENIZER), encoding="utf-8").read(), "<u2")
+    a, b = "<|startoftext|>", "<|endoftext|>"
+    texts = [a, f"x{a}y", f"it{a}'s  {b}{b}\n{a} end.{b}.", "<|EndOfText|> <|endoftext", f"İ{b}e\u0301 {b.upper()}", f"<{b}>", f"<|{b}|>",
+             f"don{b}'t 12{a}34", f"{a.replace('|', '')} {b[:-1]} {b[1:]}", f" {b} ", f"a\0{b}\0b"] + [b.join(["w."] * 300)]
+    r = random.Random(3)
+    pieces = [a, b, " ", "\n", "ab", "Cd.", "'s", "é", "1", "<|", "|>", "\0"]
+    texts += ["".join(r.choice(pieces) for _ in range(r.randrange(12))) for _ in range(300)]
+    for _ in range(2):                                         # the second time from the cache
+        for t, ids in zip(texts, enc.encode(texts)):
+            assert np.frombuffer(ids, "<u2").tolist() == library(t)
