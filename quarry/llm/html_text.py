@@ -6,15 +6,18 @@ sum adds the densities of its children.  The subtree with the largest density su
 the least density on the path from it to the body is the threshold that further subtrees, off
 that path, must reach.  Menus, footers, forms, adverts and the like, which their element or
 class names, are cut before.  A class or id alone cuts nothing in an ``article`` element or in
-the chosen subtree but comments and what is mostly links, and never a heading.  If the article
-lies in an ``article`` or ``main`` element, that whole element is taken, so its short paragraphs
-stay; so is a page's only such element, wherever density lands."""
+the chosen subtree but comments and what is mostly links, and never a heading.  If density lands in
+an ``article`` or ``main`` element, that whole element is taken, so its short paragraphs stay.
+
+Parsing takes time in proportion to the page, however broken it is: open tags are counted, so that no
+end tag looks for a start that is not there, and a tag's end is looked for once from any place."""
 
 from __future__ import annotations
 
 import html
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,10 +25,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import map_arrow, slices, texts
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+|[^>]*)>", re.S)
+TOKEN = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|/([a-zA-Z][^\s/>]*)|([a-zA-Z][^\s/>]*))")
+OUTSIDE = re.compile("[^'\">]*")
 NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
@@ -38,7 +39,7 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center
 CLOSES_P = BLOCK - {"caption", "td", "th", "tr", "tbody", "thead", "tfoot"}
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
              "th": ("td", "th"), "option": ("option",)}
-SCOPE = {"ul", "ol", "menu", "dl", "table", "select"}
+BARRIERS = {"ul", "ol", "menu", "dl", "table", "select", "body", "button"}     # implied ends reach no further
 CUT = {"aside", "audio", "button", "canvas", "datalist", "dialog", "footer", "form", "head", "iframe", "map", "menu",
        "nav", "noscript", "object", "search", "select", "svg", "template", "video"}
 CUT_NAMES = {"ad", "ads", "advert", "advertisement", "adverts", "advertising", "banner", "breadcrumb", "breadcrumbs",
@@ -111,52 +112,116 @@ def _name(tag: str, attrs: str) -> int:
     return found
 
 
+class Open:
+    """The path of open elements: how often a tag is on it, and on its part below the last element
+    that ends the reach of implied end tags."""
+
+    def __init__(self, root: Node):
+        self.node, self.tags, self.reach = root, Counter(), [Counter()]
+
+    def push(self, node: Node) -> None:
+        self.node = node
+        self.tags[node.tag] += 1
+        self.reach[-1][node.tag] += 1
+        if node.tag in BARRIERS:
+            self.reach.append(Counter())
+
+    def pop_to(self, node: Node) -> None:
+        while self.node is not node:
+            if self.node.tag in BARRIERS:
+                self.reach.pop()
+            self.tags[self.node.tag] -= 1
+            self.reach[-1][self.node.tag] -= 1
+            self.node = self.node.parent
+
+    def close(self, tag: str) -> None:
+        """Close the innermost element of that tag, which is open, and all in it."""
+        up = self.node
+        while up.tag != tag:
+            up = up.parent
+        self.pop_to(up.parent)
+
+
+class Ends:
+    """Where tags end: at a ``>`` outside quotes, or else at the next one.  Places outside quotes from
+    which the former is not to be found are remembered, so that no part is searched twice in vain."""
+
+    def __init__(self, page: str):
+        self.page, self.failed = page, set()
+        self.last = {c: page.rfind(c) for c in "'\">"}
+
+    def of(self, start: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``start``; -1 if none follows."""
+        if start > self.last[">"]:
+            return -1
+        page, at, seen = self.page, start, []
+        while at not in self.failed:
+            seen.append(at)
+            at = OUTSIDE.match(page, at).end()
+            if at == len(page):
+                break
+            if page[at] == ">":
+                return at
+            if at >= self.last[page[at]]:
+                break                                       # a quote that is not closed
+            at = page.index(page[at], at + 1) + 1
+        self.failed.update(seen[1:])
+        return page.index(">", start)
+
+
 def parse(page: str) -> Node:
     """A tolerant tree of a page: unclosed and stray tags are closed or passed over."""
-    root = node = Node("html", None)
-    at = 0
-    low = None
-    while True:
-        m = TOKEN.search(page, at)
-        if m is None or m.start() > at:
-            node.items.append(page[at:m.start() if m else len(page)])
-        if m is None:
-            return root
-        at = m.end()
-        if m[1]:
-            tag = m[1].lower()
-            up = node
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+    root = Node("html", None)
+    path, ends = Open(root), Ends(page)
+    at = text = 0
+    while m := TOKEN.search(page, at):
+        if m[4] or m[5]:
+            stop = ends.of(m.end())
+            if stop < 0:                                    # a tag that never ends is text
+                at = m.end()
+                continue
+        else:
+            mark = "-->" if m[1] else "]]>" if m[2] else ">"
+            stop = page.find(mark, m.end())
+            stop = len(page) if stop < 0 else stop + len(mark) - 1
+        if m.start() > text:
+            path.node.items.append(page[text:m.start()])
+        at = text = stop + 1
+        if m[4]:
+            tag = m[4].lower()
+            if tag != "html" and path.tags[tag]:
+                path.close(tag)
             elif tag == "p":
-                node.items.append(Node("p", node))
+                path.node.items.append(Node("p", path.node))
             continue
-        if not m[2]:
+        if not m[5]:
             continue
-        tag, attrs = m[2].lower(), m[3] or ""
+        tag, attrs = m[5].lower(), page[m.end():stop]
         if tag in RAW:
-            low = page.lower() if low is None else low
-            end = low.find("</" + tag, at)
-            at = len(page) if end < 0 else end
-            node.items.append(Node(tag, node, True))
-            node = node.items[-1]
+            new = Node(tag, path.node, True)
+            path.node.items.append(new)
+            path.push(new)
+            end = re.compile(f"</{re.escape(tag)}", re.I | re.A).search(page, at)
+            at = end.start() if end else len(page)
+            if at > text:
+                new.items.append(page[text:at])
+            text = at
             continue
-        if tag in ("html", "body") and (tag == "html" or any(n.tag == "body" for n in _path(node))):
+        if tag == "html" or tag == "body" and path.tags["body"]:
             continue
         for shut in (("p",) if tag in CLOSES_P else ()) + CLOSED_BY.get(tag, ()):
-            up = node
-            while up is not None and up.tag != shut and up.tag not in SCOPE and up.tag not in ("body", "button"):
-                up = up.parent
-            if up is not None and up.tag == shut:
-                node = up.parent
+            if path.reach[-1][shut]:
+                path.close(shut)
         if tag == "body":
-            node = root
-        new = Node(tag, node, _cut(tag, attrs, any(n.tag in HOLDS for n in _path(node))), _name(tag, attrs))
-        node.items.append(new)
+            path.pop_to(root)
+        inside = bool(path.tags["article"] or path.tags["main"])
+        new = Node(tag, path.node, _cut(tag, attrs, inside), _name(tag, attrs))
+        path.node.items.append(new)
         if tag not in VOID and not attrs.endswith("/"):
-            node = new
+            path.push(new)
+    if text < len(page):
+        path.node.items.append(page[text:])
+    return root
 
 
 def _path(node: Node | None):
@@ -294,9 +359,6 @@ def _choose(root: Node) -> tuple[list[Node], Node]:
     holders = [n for n in _path(best) if n.tag == "article"] or [n for n in _path(best) if n.tag == "main"]
     if holders:
         return [holders[-1]], body
-    inside = [n for n in nodes if n.tag in HOLDS and n.chars and not any(p.tag in HOLDS for p in _path(n.parent))]
-    if len(inside) == 1:
-        return inside, body             # a short article beside more text
     path = []
     for n in _path(best):
         path.append(n)

@@ -1,8 +1,12 @@
 """op8: pages with known articles, edge cases."""
 
 import html
+import math
+import random
 import re
+import time
 
+from quarry.llm import html_text as H
 from quarry.llm.html_text import extract, main_text
 from quarry.llm.q_html import op8_html_text
 from quarry.session import read_table
@@ -43,8 +47,77 @@ def test_junk_inside_and_around():
 
 
 def test_short_article_beside_long_text():
+    """Density decides: the only article element is a teaser."""
+    p = TEXT.strip()
     page = f"<body><div><p>{TEXT}</p><p>{TEXT}</p></div><article><p>Tiny.</p></article></body>"
-    assert main_text(page) == "Tiny."
+    assert main_text(page) == f"{p}\n{p}"
+    six = "".join(f"<p>{TEXT}</p>" for _ in range(6))
+    assert main_text(f"<body><div class=x>{six}</div><article><h2>More</h2><p>Read more soon.</p></article></body>") == "\n".join([p] * 6)
+
+
+def composite(tree, whole):
+    """Density of (tag, children) by the published formula, written from its definition."""
+    def counts(x):
+        if isinstance(x, str):
+            return len("".join(x.split())), 0, 0, 0
+        c = lc = t = lt = 0
+        for y in x[1]:
+            a, b, d, e = counts(y)
+            link = not isinstance(y, str) and y[0] == "a"
+            c, lc, t, lt = c + a, lc + (a if link else b), t + d + (not isinstance(y, str)), lt + e + link
+        return c, lc, t, lt
+
+    c, lc, t, lt = counts(tree)
+    if not c:
+        return 0.0
+    all_c, all_lc = counts(whole)[:2]
+    lc, lt, t = max(lc, 1), max(lt, 1), max(t, 1)
+    base = math.log(c / max(1, c - counts(tree)[1]) * lc + max(1, all_lc) / max(1, all_c) * c + math.e)
+    return max(0.0, c / t * (math.log(c * t / (lc * lt)) / math.log(base)))
+
+
+def test_densities_and_choice_against_the_formula():
+    r = random.Random(8)
+    word = lambda: " ".join(r.choice(["one", "three", "a", "sentence"]) for _ in range(r.randrange(1, 30)))
+
+    def tree(depth):
+        kids = [tree(depth - 1) if depth and r.random() < 0.7 else r.choice([("p", [word()]), ("p", [word(), ("a", [word()])]), ("a", [word()])])
+                for _ in range(r.randrange(1, 5))]
+        return "div", kids
+
+    show = lambda x: x if isinstance(x, str) else f"<{x[0]}>{''.join(map(show, x[1]))}</{x[0]}>"
+    for _ in range(60):
+        body = ("body", [tree(3), tree(2)])
+        blocks, stack = [], [body]
+        while stack:
+            x = stack.pop()
+            if not isinstance(x, str):
+                blocks += [x] * (x[0] != "a")
+                stack += x[1]
+        sums = {id(x): sum(composite(y, body) for y in x[1] if not isinstance(y, str) and y[0] != "a") for x in blocks}
+        root = H.parse(show(body))
+        mine = [n for n in H._measure(next(n for n in H._order(root) if n.tag == "body")) if n.tag in H.BLOCK]
+        key = lambda rows: sorted((round(a, 6), round(b, 6)) for a, b in rows)
+        assert key((n.density, n.sum) for n in mine) == key((composite(x, body), sums[id(x)]) for x in blocks)
+        best = max(sums.values())
+        nodes, _ = H._choose(H.parse(show(body)))
+        assert any(abs(n.sum - best) < 1e-9 for n in nodes) or best == 0
+
+
+def test_broken_pages_take_linear_time():
+    """Twice the page, about twice the time; 100,000 broken tags in a second or so."""
+    for one in ("<div>", "<p><div>", "<a ", "</b>", "<a '", "<a \"'>", "<p><ul><div>", "<li>", "</p>", "<!", "<b x='", "<table><td>", "<a =\">=\"",
+                "<script>", "<article><div>", "</div", "<body>", "<option><button>"):
+        took = []
+        for n in (12_500, 100_000):
+            at = time.process_time()
+            main_text(one * n + "text")
+            took.append(time.process_time() - at)
+        assert took[1] < 20 * max(took[0], 0.1), (one, took)
+
+
+def test_case_changes_of_other_lengths_do_not_shift_raw_text():
+    assert main_text("<article>" + "İ" * 50 + "<SCRIPT>x</p></Script><p>after</p></article>").endswith("\nafter")
 
 
 def test_references_white_space_and_broken_markup():
