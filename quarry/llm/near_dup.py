@@ -3,7 +3,8 @@
 1. A map-side pass sketches every text: digest, band buckets, signature.  A text that repeats a
    shingle has a second signature with unit weights, for the Jaccard, and its buckets too; in
    others the two are one.
-2. Texts with equal digests are one class at once; one of them represents it from here on.
+2. Equal texts are one node at once, known by a digest of the text and not by an id, so rows of one
+   id with different texts are different nodes; one row represents a node from here on.
 3. In each bucket every representative is paired with the bucket's centre only - the member whose
    buckets are the fullest, which in a group of near copies is the one most others are close to -
    and the pairs are verified exactly on their shingles.  Links give components.
@@ -12,7 +13,8 @@
    compared with all others of the bucket, block by block: pairs of different components whose
    signatures could reach the threshold are verified exactly in the task, which unites what it
    links and so emits at most one link for each union, never the pairs of a group.
-5. Components of all verified links, with the copies, are the classes.
+5. Components of all verified links are the classes of texts; where classes of ids are asked for,
+   the texts of one id are linked too.
 
 Shingles are compared by 32 bits of their hashes: two texts of 20,000 words share one by chance
 once in ten times.  No bucket is gathered in one task, and nothing but counters reaches the
@@ -23,11 +25,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import probminhash as pm
-from quarry.llm.common import list_array, map_arrow, slices, texts, written
+from quarry.llm.common import fresh, list_array, map_arrow, slices, texts, written
 from quarry.llm.components import components
 
 THRESHOLD = 0.8
@@ -35,8 +37,8 @@ MARGIN = 0.12                # four standard errors of the signature's estimate
 BLOCK = 512                  # members of a block in step 4
 
 
-def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """``id, digest, n, bands, sig`` per row with an id; ``n`` is the number of shingles, ``sig`` the
+def sketches(docs: DataFrame, text: str, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id, digest, n, bands, sig`` and the columns ``keep`` per row with an id; ``n`` is the number of shingles, ``sig`` the
     weighted signature, then the unit one if it differs, and ``bands`` the buckets of either."""
     kind = docs.schema[key].dataType.simpleString()
 
@@ -56,12 +58,13 @@ def sketches(docs: DataFrame, text: str, key: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(digest, pa.binary()), pa.array([len(k) for k, _ in sets], pa.int64()),
                  list_array(use.sum(1), pa.array(bands[use])),
-                 pa.array([s.tobytes() + (u.tobytes() if x else b"") for s, u, x in zip(sig, unit, two)], pa.binary())],
-                ["id", "digest", "n", "bands", "sig"])
+                 pa.array([s.tobytes() + (u.tobytes() if x else b"") for s, u, x in zip(sig, unit, two)], pa.binary()),
+                 *(b.column(c) for c in keep)], ["id", "digest", "n", "bands", "sig", *keep])
 
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("string").alias("_text"))
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("string").alias("_text"), *keep)
+    more = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return map_arrow(
-        rows.select("_text", "id"), run, f"id {kind}, digest binary, n bigint, bands array<bigint>, sig binary")
+        rows.select("_text", "id", *keep), run, f"id {kind}, digest binary, n bigint, bands array<bigint>, sig binary{more}")
 
 
 def _set(text: str) -> tuple[bytes, bytes]:
@@ -77,8 +80,9 @@ def _unpack(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return k, np.frombuffer(counts, "<u4") if counts else np.ones(len(k), "<u4")
 
 
-def shingle_rows(docs: DataFrame, ids: DataFrame, text: str, key: str) -> DataFrame:
-    """``id, hashes, counts`` of the documents in ``ids``, for exact similarities."""
+def shingle_rows(docs: DataFrame, ids: DataFrame, text: str, key: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """``id, hashes, counts`` of the documents in ``ids`` (by ``id`` and the columns ``also``), for exact
+    similarities."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -88,7 +92,8 @@ def shingle_rows(docs: DataFrame, ids: DataFrame, text: str, key: str) -> DataFr
                 [b.column("id"), *(pa.array(x, pa.binary()) for x in (zip(*sets) if sets else ((), ())))], ["id", "hashes", "counts"])
 
     # Candidates grow with the corpus: a plan that broadcasts them at a small size is no plan.
-    rows = docs.select(F.col(text).cast("string").alias("_text"), F.col(key).alias("id")).join(ids.hint("merge"), "id", "left_semi")
+    rows = docs.select(F.col(text).cast("string").alias("_text"), F.col(key).alias("id"), *also)
+    rows = rows.join(ids.hint("merge"), ["id", *also], "left_semi")
     return map_arrow(rows.select("_text", "id"), run, f"id {kind}, hashes binary, counts binary").dropDuplicates(["id"])
 
 
@@ -186,22 +191,21 @@ def with_components(rows: DataFrame, links: DataFrame) -> DataFrame:
             .withColumn("comp", F.coalesce("label", "id")).drop("label"))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """``key, class_id, n_shingles`` per row with an id: documents of one class are linked by exact
-    copies or by similarities of at least ``threshold``; ``class_id`` is the smallest id.
+def text_digest(text: str) -> Column:
+    """What a text is known by; null is the empty text."""
+    return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
 
-    Shingles are five words; a shorter text is one shingle, a null or empty text has none and is
-    a class of its own.  Repeated rows of an id share its class; rows of one id with different
-    texts are linked through each.  A null id has no class (its rows come out with null).  Very
-    long texts are sketched whole; an empty table gives no rows; other columns are left behind."""
-    docs = docs.select(key, text)
-    sk = written(sketches(docs, text, key), "sketches")
+
+def text_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Rows ``_id, id, n`` of every row with a key (``id`` is its text's digest, ``n`` its shingles), and the
+    ``node, label`` of all texts that are linked to another: texts of one label are one class."""
+    docs = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
+    docs = docs.where(F.col("_id").isNotNull()).withColumn("_node", text_digest("_text"))
+    sk = written(sketches(docs, "_text", "_node", ("_id",)), "sketches")
     some = sk.where("n > 0")
-    rep = some.groupBy("digest").agg(F.min("id").alias("rep"))
-    copies = some.select("id", "digest").join(rep, "digest").where("id <> rep").select(
-        F.col("id").alias("a"), F.col("rep").alias("b"))
-    reps = rep.select(F.col("rep").alias("id")).distinct()
-    member = some.select("id", "bands").join(reps.hint("merge"), "id", "left_semi").select("id", F.posexplode("bands").alias("band", "bucket"))
+    rep = some.groupBy("id").agg(F.min("_id").alias("_id"))
+    own = some.join(rep.hint("merge"), ["id", "_id"], "left_semi")
+    member = own.select("id", "_id", F.posexplode("bands").alias("band", "bucket"))
     member = member.withColumn("band", F.col("band") % pm.BANDS).distinct()
     size = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(member.join(size, "bucket"), "buckets")
@@ -210,11 +214,47 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", th
               .agg(F.max_by("id", F.struct("full", F.xxhash64("id"))).alias("c")))
     star = (shared.join(centre, "bucket").where("id <> c")
             .select(F.greatest("id", "c").alias("a"), F.least("id", "c").alias("b")).distinct())
-    sets = written(shingle_rows(docs, shared.select("id").distinct(), text, key), "shingles")
+    sets = written(shingle_rows(docs, shared.select("id", "_id").distinct(), "_text", "_node", ("_id",)), "shingles")
     links = verify(star, sets, threshold)
-    sigs = some.select("id", "sig").dropDuplicates(["id"])
+    sigs = own.select("id", "sig").dropDuplicates(["id"])
     links = links.unionByName(open_links(with_components(shared.select("bucket", "band", "id"), links), sigs, sets, threshold))
-    label = components(links.unionByName(copies), "a", "b").withColumnRenamed("node", "id")
-    known = (sk.groupBy("id").agg(F.max("n").alias("n_shingles")).join(label, "id", "left")
-             .select(F.col("id").alias("_id"), F.coalesce("label", "id").alias("class_id"), "n_shingles"))
+    return sk.select("_id", "id", "n"), components(links, "a", "b")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """``key, class_id, n_shingles`` per row with an id: documents of one class are linked by exact
+    copies or by similarities of at least ``threshold``; ``class_id`` is the smallest id.
+
+    Shingles are five words; a shorter text is one shingle, a null or empty text has none and is
+    a class of its own.  Repeated rows of an id share its class; rows of one id with different
+    texts are linked through each, and ``n_shingles`` is their largest.  A null id has no class (its rows
+    come out with null).  Very long texts are sketched whole; an empty table gives no rows; other
+    columns are left behind."""
+    docs = docs.select(key, text)
+    rows, label = text_classes(docs, text, key, threshold)
+    rows = rows.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("label", "id"))
+    some = rows.where("n > 0")
+    several = some.groupBy("_id").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    same_id = components(some.join(several, "_id").where("comp <> low").select(F.col("comp").alias("a"), F.col("low").alias("b")), "a", "b")
+    some = (some.join(same_id.select(F.col("node").alias("comp"), F.col("label").alias("one")), "comp", "left")
+            .withColumn("comp", F.coalesce("one", "comp")))
+    least = some.groupBy("comp").agg(F.min("_id").alias("class_id"))
+    known = some.select("_id", "comp").distinct().join(least, "comp").groupBy("_id").agg(F.min("class_id").alias("class_id"))
+    known = rows.groupBy("_id").agg(F.max("n").alias("n_shingles")).join(known, "_id", "left")
+    known = known.select("_id", F.coalesce("class_id", "_id").alias("class_id"), "n_shingles")
     return docs.select(key).join(known, F.col(key) == F.col("_id"), "left").drop("_id")
+
+
+def one_of_each_class(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each class of texts the row with the smallest id,
+    once.  Rows of one id with unrelated texts stay, each text once; so do rows without an id, as they
+    are.  Texts without words stay once an id.  All columns are kept."""
+    rows, label = text_classes(docs, text, key, threshold)
+    some = rows.where("n > 0").join(label.withColumnRenamed("node", "id"), "id", "left")
+    first = some.groupBy(F.coalesce("label", "id").alias("comp")).agg(F.min(F.struct("_id", "id")).alias("k")).select("k.*")
+    keep = first.unionByName(rows.where("n = 0").select("_id", "id").distinct())
+    at = fresh(docs, "digest")
+    one = docs.withColumn(at, text_digest(text))
+    same = (one[key] == keep["_id"]) & (one[at] == keep["id"])
+    one = one.join(keep.hint("merge"), same, "left_semi").dropDuplicates([key, at]).drop(at)
+    return one.unionByName(docs.where(F.col(key).isNull()))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import near_dup as N
 from quarry.llm import probminhash as pm
@@ -218,3 +219,16 @@ def test_edges(spark, odd, empty):
     assert N.near_duplicates(empty).count() == 0
     both = spark.createDataFrame([(1, "a b c d e f"), (1, "u v w x y z"), (2, "u v w x y z"), (3, "a b c d e f")], "doc_id bigint, text string")
     assert {r["class_id"] for r in N.near_duplicates(both).collect()} == {1}
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    r = random.Random(12)
+    a, b, c = (" ".join(words(r, 60)) for _ in range(3))
+    near = lambda t: f"{t} tail"
+    rows = [(1, a), (1, b), (2, near(a)), (3, near(b)), (4, c), (4, c), (None, a), (5, None), (5, c), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("digest", F.lit("extra"))
+    got = sorted(((x["doc_id"], x["class_id"]) for x in N.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (None, None), (5, 4), (5, 4), (6, 6)], key=str)
+    kept = sorted(((x["doc_id"], x["text"]) for x in N.one_of_each_class(df).collect()), key=str)
+    assert kept == sorted([(1, a), (1, b), (4, c), (None, a), (5, None), (6, "")], key=str)
+    assert N.one_of_each_class(df).columns == df.columns
