@@ -43,11 +43,9 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class, once; documents without an id stay."""
-    classes = near_dup.near_duplicates(docs)
-    keep = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    one = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    """The document with the smallest id of each class of texts, once; rows of one id with unrelated
+    texts and documents without an id stay."""
+    return near_dup.one_of_each_class(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
