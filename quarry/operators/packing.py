@@ -1,25 +1,34 @@
 """Sequence packing.
 
-Best-fit packing is sequential inside one buffer, so it runs per *pack*: documents are
-spread over packs by a hash of their key, each pack is packed greedily and exactly as one
-loader would, and packs run in parallel.  The number of packs follows the documents of one epoch
-(about ``docs_per_pack`` each), so a task holds one bounded pack, never a whole split.  All epochs
-of a pack run through one buffer, so a pack has one short row at most, however many epochs."""
+Best-fit packing is sequential inside one buffer, so it runs per *pack*: documents in their order are
+cut into packs by the running sum of their ids, each pack is packed greedily and exactly as one
+loader would, and packs run in parallel.  No pack has more than ``ids_per_pack`` ids and one
+document, however long or many the documents are.  What is left of the packs, a short row each, is
+packed again in the same way until one short row remains in the whole split.
+
+Epochs are replayed inside a pack: its documents come to the task once, and the packer goes through
+them as often as is wanted, through one buffer."""
 
 from __future__ import annotations
 
 import math
 from bisect import bisect_left, bisect_right
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.constants import EVAL_TOKENS, MAX_SEQ_LEN, PACK_BUFFER
 from quarry.operators.scan import global_index
+from quarry.session import cut_lineage
 
 REFILL_BATCH = 128          # documents added per refill (the tokenizer batch)
+IDS_PER_PACK = 1 << 21      # 8 MB of ids a task
+ENDLESS = 1 << 40
+PACK_BITS, LEVEL_BITS = 20, 44          # of a pack id: pack in its partition, partition, pass over remainders
 PACKED_SCHEMA = ("pack_id long, epoch int, row long, tokens array<int>, cropped long, "
                  "complete boolean, pack_input long, pack_skipped long")
 
@@ -34,20 +43,34 @@ def assign_packs(df: DataFrame, n_packs: int, key: str = "doc_id") -> DataFrame:
     return df.withColumn("pack_id", F.pmod(F.xxhash64(key), F.lit(n_packs)))
 
 
-def pack_rows(docs: list[np.ndarray], capacity: int, buffer_size: int,
-              refill: int = REFILL_BATCH) -> tuple[list[np.ndarray], list[int], list[bool], list[int]]:
+class Replay(Sequence):
+    """The documents of a pack, ``epochs`` times one after the other."""
+
+    def __init__(self, docs: list[np.ndarray], epochs: int):
+        self.docs, self.n = docs, len(docs) * epochs
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.docs[i % len(self.docs)]
+
+
+def pack_rows(docs: Sequence[np.ndarray], capacity: int, buffer_size: int,
+              refill: int = REFILL_BATCH, most: int | None = None) -> tuple[list[np.ndarray], list[int], list[bool], list[int]]:
     """Best fit into rows of ``capacity`` ids.  Before every placement the buffer is filled
     to ``buffer_size`` documents (in batches of ``refill``) while input remains; the longest
     document that fits is placed (first on a tie); if none fits, the shortest (first on a
     tie) is cropped to the space left and its rest discarded.  When input and buffer run
-    out, the last row is returned incomplete.  Returns rows, cropped ids per row, completeness
-    and the document that starts each row.  Documents must not be empty.
+    out, the last row is returned incomplete; with ``most`` complete rows it stops.  Returns rows,
+    cropped ids per row, completeness and the document that starts each row.  Documents must not be
+    empty.
 
     The buffer is a list of (length, arrival) in order, so a placement is a binary search."""
     nxt, buf = 0, []
     rows, cropped, complete, starts = [], [], [], []
     row, pos, row_crop, start = np.empty(capacity, dtype=np.int32), 0, 0, 0
-    while True:
+    while most is None or len(rows) < most:
         while len(buf) < buffer_size and nxt < len(docs):
             stop = min(nxt + refill, len(docs))
             buf += [(len(docs[i]), i) for i in range(nxt, stop)]
@@ -80,16 +103,35 @@ def pack_rows(docs: list[np.ndarray], capacity: int, buffer_size: int,
     return rows, cropped, complete, starts
 
 
-def _packer(capacity: int, buffer_size: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["epoch", "order_key"], kind="stable")
-        full = [(e, np.asarray(a, dtype=np.int32)) for e, a in zip(pdf["epoch"], pdf["ids"]) if a is not None and len(a)]
-        rows, cropped, complete, starts = pack_rows([a for _, a in full], capacity, buffer_size)
-        once = lambda n: [n] + [0] * (len(rows) - 1) if rows else []
-        return pd.DataFrame({"pack_id": int(pdf["pack_id"].iloc[0]), "epoch": [full[i][0] for i in starts],
-                             "row": np.arange(len(rows), dtype=np.int64), "tokens": [r.tolist() for r in rows],
-                             "cropped": np.asarray(cropped, dtype=np.int64), "complete": complete,
-                             "pack_input": once(sum(len(a) for _, a in full)), "pack_skipped": once(len(pdf) - len(full))})
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The values of a list column; null is empty."""
+    out = []
+    for c in column.chunks:
+        values, ends = c.values.to_numpy(zero_copy_only=False), c.offsets.to_numpy()
+        known = c.is_valid().to_numpy(zero_copy_only=False)
+        out += [values[s:e] if k else values[:0] for s, e, k in zip(ends[:-1], ends[1:], known)]
+    return out
+
+
+def _packer(capacity: int, buffer_size: int, epochs: int = 1, most: int | None = None):
+    """Packs the rows ``pack_id, ids, epoch, order_key, n_input, n_skipped`` of a pack."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("epoch", "ascending"), ("order_key", "ascending")])
+        lists, epoch = _lists(table.column("ids")), table.column("epoch").to_pylist()
+        full = [i for i, a in enumerate(lists) if len(a)]
+        docs = Replay([lists[i] for i in full], epochs)
+        rows, cropped, complete, starts = pack_rows(docs, capacity, buffer_size, most=most)
+        # What the pack got is told by its first row; with a limit, what was placed and cropped.
+        given = sum(table.column("n_input").to_pylist()) * epochs if most is None else sum(map(len, rows)) + sum(cropped)
+        once = lambda n: pa.array([n] + [0] * (len(rows) - 1) if rows else [], pa.int64())
+        first = [epoch[full[i % len(full)]] + i // len(full) for i in starts]
+        ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+        values = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32))
+        return pa.table({
+            "pack_id": pa.array([table.column("pack_id")[0].as_py()] * len(rows), pa.int64()), "epoch": pa.array(first, pa.int32()),
+            "row": pa.array(np.arange(len(rows), dtype=np.int64)), "tokens": pa.ListArray.from_arrays(pa.array(ends), values),
+            "cropped": pa.array(cropped, pa.int64()), "complete": pa.array(complete, pa.bool_()),
+            "pack_input": once(given), "pack_skipped": once(sum(table.column("n_skipped").to_pylist()) * epochs)})
     return run
 
 
@@ -97,19 +139,80 @@ def n_packs_for(n_docs: int, docs_per_pack: int) -> int:
     return max(1, math.ceil(n_docs / max(1, docs_per_pack)))
 
 
+def packs_by_ids(rows: DataFrame, ids_per_pack: int = IDS_PER_PACK, level: int = 0) -> DataFrame:
+    """``pack_id`` of written rows with ``ids, epoch, order_key``: in the order of ``order_key``, in range
+    partitions, a new pack begins where the ids before reach a multiple of ``ids_per_pack``."""
+    total = rows.agg(F.sum(F.greatest(F.size("ids"), F.lit(0)))).first()[0] or 0
+    ranged = rows.repartitionByRange(max(1, math.ceil(total / ids_per_pack)), "order_key").sortWithinPartitions("order_key", "epoch")
+    names, at = [*rows.columns, "pack_id"], rows.columns.index("ids")
+
+    def run(batches):
+        first = (level << LEVEL_BITS) + (TaskContext.get().partitionId() << PACK_BITS)
+        before = 0
+        for b in batches:
+            n = np.diff(b.column(at).offsets.to_numpy()) if b.num_rows else np.empty(0, np.int64)
+            sums = before + np.cumsum(n, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first + (sums - n) // ids_per_pack)], names)
+            before = int(sums[-1]) if len(sums) else before
+
+    return ranged.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "pack_id bigint"]))
+
+
 def pack_best_fit(encoded: DataFrame, seq_len: int = MAX_SEQ_LEN, buffer_size: int = PACK_BUFFER,
                   docs_per_pack: int | None = None, key: str = "doc_id", order: str | None = None,
-                  ids: str = "ids") -> DataFrame:
+                  ids: str = "ids", ids_per_pack: int = IDS_PER_PACK, epochs: int = 1,
+                  rows_wanted: int | None = None) -> DataFrame:
     """Rows of ``seq_len + 1`` ids (every row starts with a document, so with BOS when
-    documents carry one).  ``order`` is the document order inside a pack and epoch (default
-    ``key``); a row's ``epoch`` is that of its first document.  Documents with null or empty ids
-    are skipped.  A pack's first row tells how many ids and skipped documents it got."""
-    docs_per_pack = docs_per_pack or 5 * buffer_size
+    documents carry one).  ``order`` is the document order inside an epoch (default ``key``); a row's
+    ``epoch`` is that of its first document.  Documents with null or empty ids are skipped.  A pack's
+    first row tells how many ids and skipped documents it got.
+
+    Packs are cut by ids and their short rows packed again, so that one short row remains; with
+    ``docs_per_pack`` they are cut by a hash of the key instead, and each keeps its short row.
+    ``epochs`` replays every pack so often.  With ``rows_wanted`` the packs go on, replaying, until they
+    have that many complete rows together, shared out evenly, and no short row is returned."""
     epoch = F.col("epoch") if "epoch" in encoded.columns else F.lit(1)
-    n_docs = (encoded.groupBy(epoch.alias("epoch")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]) or 0
-    d = encoded.select(key, F.col(ids).alias("ids"), epoch.cast("int").alias("epoch"), F.col(order or key).alias("order_key"))
-    d = assign_packs(d, n_packs_for(n_docs, docs_per_pack), key)
-    return d.groupBy("pack_id").applyInPandas(_packer(seq_len + 1, buffer_size), PACKED_SCHEMA)
+    size = F.greatest(F.size(ids), F.lit(0)).cast("long")                     # null has size -1 or null
+    size = F.coalesce(size, F.lit(0).cast("long"))
+    d = encoded.select(F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"), epoch.cast("int").alias("epoch"),
+                       F.col(order or key).alias("order_key"), size.alias("n_input"), (size == 0).cast("long").alias("n_skipped"),
+                       F.col(key).alias("_key"))
+    if docs_per_pack:
+        n_docs = d.groupBy("epoch").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        packs = assign_packs(d, n_packs_for(n_docs, docs_per_pack), "_key").drop("_key")
+        return packs.groupBy("pack_id").applyInArrow(_packer(seq_len + 1, buffer_size, epochs), PACKED_SCHEMA)
+    ids_per_pack = max(ids_per_pack, 2 * (seq_len + 1))
+    packs = packs_by_ids(cut_lineage(d.drop("_key"), "pack-input"), ids_per_pack)
+    if rows_wanted is not None:
+        packs = cut_lineage(packs.where("n_input > 0"), "packs")
+        n_packs = packs.select("pack_id").distinct().count()
+        share = math.ceil(rows_wanted / max(1, n_packs))
+        rows = packs.groupBy("pack_id").applyInArrow(_packer(seq_len + 1, buffer_size, ENDLESS, share), PACKED_SCHEMA)
+        return rows.where("complete")
+    return _pack_remainders(packs.groupBy("pack_id").applyInArrow(_packer(seq_len + 1, buffer_size, epochs), PACKED_SCHEMA),
+                            seq_len + 1, buffer_size, ids_per_pack)
+
+
+def _pack_remainders(packed: DataFrame, capacity: int, buffer_size: int, ids_per_pack: int) -> DataFrame:
+    """``packed`` with its short rows packed as documents, in passes; a pass joins two or more into one."""
+    rows, done, level = cut_lineage(packed, "packed"), [], 0
+    while True:
+        short = rows.where("NOT complete")
+        if short.limit(2).count() < 2:
+            return _union([*done, rows])
+        done.append(rows.where("complete"))
+        level += 1
+        again = short.select(F.col("tokens").alias("ids"), "epoch", F.col("pack_id").alias("order_key"),
+                             F.col("pack_input").alias("n_input"), F.col("pack_skipped").alias("n_skipped"))
+        packs = packs_by_ids(again, ids_per_pack, level)
+        rows = cut_lineage(packs.groupBy("pack_id").applyInArrow(_packer(capacity, buffer_size), PACKED_SCHEMA), "packed")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def shift_targets(packed: DataFrame, seq_len: int = MAX_SEQ_LEN) -> DataFrame:

@@ -30,8 +30,6 @@ def q_pretoken_counts_raw(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- tokenizer
-import math  # noqa: E402
-
 from quarry.constants import BOS_TOKEN, EVAL_TOKENS, MAX_SEQ_LEN, VOCAB_SIZE  # noqa: E402
 from quarry.operators import bpe, metrics, packing  # noqa: E402
 
@@ -150,11 +148,8 @@ def q_roundtrip(spark, sf_dir):
               .groupBy("roundtrip_ok").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def packed(spark, sf_dir, split: str = "train", epochs: int | None = None, encoded=None):
-    e = encoded if encoded is not None else encoded_docs(spark, sf_dir, split, bos=True)
-    if epochs:
-        e = packing.repeat_epochs(e, epochs)
-    return packing.pack_best_fit(e, PACK_T, PACK_BUFFER_DOCS, order="idx")
+def packed(spark, sf_dir, split: str = "train", epochs: int = 1):
+    return packing.pack_best_fit(encoded_docs(spark, sf_dir, split, bos=True), PACK_T, PACK_BUFFER_DOCS, order="idx", epochs=epochs)
 
 
 @register("pack_best_fit")
@@ -194,17 +189,10 @@ SELECT CAST(range AS BIGINT) AS eval_row, CAST(range // {BATCH} AS BIGINT) AS st
 FROM range({EVAL_TOKENS // (BATCH * PACK_T) * BATCH})""")
 def q_eval_steps(spark, sf_dir):
     """The validation rows one evaluation reads — EVAL_TOKENS // (B·T) = 640 batches of
-    16 rows — wrapping round the validation split in as many epochs as that takes."""
+    16 rows — wrapping round the validation split as often as that takes, each pack replayed in place."""
     need = EVAL_TOKENS // (BATCH * PACK_T) * BATCH
-    val = cut_lineage(encoded_docs(spark, sf_dir, "val", bos=True).select("doc_id", "idx", "ids"))
-    epochs = 1
-    while True:                          # a pass of the packer on ids that are encoded once
-        rows = cut_lineage(packed(spark, sf_dir, "val", epochs=epochs, encoded=val))
-        have = rows.where("complete").count()
-        if have >= need or have == 0:
-            break
-        epochs = max(epochs + 1, math.ceil(1.02 * need * epochs / have))
-    rows = packing.eval_rows(rows, BATCH, PACK_T, EVAL_TOKENS)
+    rows = packing.pack_best_fit(encoded_docs(spark, sf_dir, "val", bos=True), PACK_T, PACK_BUFFER_DOCS, order="idx", rows_wanted=need)
+    rows = packing.eval_rows(cut_lineage(rows, "eval-rows"), BATCH, PACK_T, EVAL_TOKENS)
     bos = tokenizer(spark, sf_dir).bos_id
     return rows.select("eval_row", "step", F.size("tokens").alias("n_ids"), (F.get("tokens", F.lit(0)) == bos).alias("bos_first"))
 
@@ -313,16 +301,14 @@ def q_encode_conservation(spark, sf_dir):
 
 
 def _pack_checks(rows, bos: int):
-    """What must hold of packed rows: full ones have T + 1 ids, every row starts with BOS, a pack has
+    """What must hold of packed rows: full ones have T + 1 ids, every row starts with BOS, the split has
     one short row at most, all ids are placed or cropped; and the documents that came in."""
-    per = rows.groupBy("pack_id").agg(
-        F.min(F.col("complete") == (F.size("tokens") == PACK_T + 1)).alias("full"),
-        F.min(F.get("tokens", F.lit(0)) == bos).alias("bos_first"),
-        F.count_if(~F.col("complete")).alias("short"),
-        (F.sum(F.size("tokens")) + F.sum("cropped") == F.sum("pack_input")).alias("conserved"),
-        F.sum(F.size(F.filter("tokens", lambda i: i == bos))).alias("docs"))
-    return per.agg(F.min("full").alias("full"), F.min("bos_first").alias("bos_first"), (F.max("short") <= 1).alias("one_short"),
-                   F.min("conserved").alias("conserved"), F.sum("docs").cast("long").alias("n_docs"))
+    docs = F.sum(F.size(F.filter("tokens", lambda i: i == bos)))
+    return rows.agg(F.min(F.col("complete") == (F.size("tokens") == PACK_T + 1)).alias("full"),
+                    F.min(F.get("tokens", F.lit(0)) == bos).alias("bos_first"),
+                    (F.count_if(~F.col("complete")) <= 1).alias("one_short"),
+                    (F.sum(F.size("tokens")) + F.sum("cropped") == F.sum("pack_input")).alias("conserved"),
+                    docs.cast("long").alias("n_docs"))
 
 
 def _pack_sql(split: str, times: int, more: str = "") -> str:
@@ -345,8 +331,8 @@ def q_pack_conservation(spark, sf_dir):
 
 @register("epochs_conservation", sql=_pack_sql("val", 3))
 def q_epochs_conservation(spark, sf_dir):
-    """I2 + I3: three epochs of the validation split through one buffer a pack: every document comes
-    in three times and a pack still has one short row at most."""
+    """I2 + I3: three epochs of the validation split, replayed in each pack: every document comes in
+    three times and the split still has one short row at most."""
     return _pack_checks(cut_lineage(packed(spark, sf_dir, "val", epochs=3)), tokenizer(spark, sf_dir).bos_id)
 
 

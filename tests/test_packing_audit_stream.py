@@ -63,3 +63,42 @@ def test_stream_ingest_equals_batch(spark, tmp_path):
     got = sorted((r["doc_id"], r["split"]) for r in spark.read.parquet(out).collect())
     exp = sorted((r["doc_id"], r["split"]) for r in jobs.ingest_transform(d).collect())
     assert got == exp and len(got) > 0
+
+
+def encoded(spark, n=400, seed=1):
+    r = np.random.default_rng(seed)
+    rows = [(i, [7] + [int(x) for x in r.integers(8, 99, r.integers(0, 150))]) for i in range(n)] + [(n, None), (n + 1, [])]
+    return spark.createDataFrame(rows, "doc_id long, ids array<int>"), [a for _, a in rows if a]
+
+
+def test_packs_are_cut_by_ids_and_one_short_row_remains(spark):
+    df, docs = encoded(spark)
+    total = sum(map(len, docs))
+    placed = P.packs_by_ids(df.selectExpr("coalesce(ids, array()) AS ids", "1 AS epoch", "doc_id AS order_key"), 2000)
+    sizes = [r["n"] for r in placed.groupBy("pack_id").agg(F.sum(F.size("ids")).alias("n")).collect()]
+    assert max(sizes) <= 2000 + 150 and total / 2150 <= len(sizes) <= 2 * total / 2000 + 1
+    got = P.pack_best_fit(df, seq_len=64, buffer_size=20, ids_per_pack=2000).collect()
+    assert sum(not r["complete"] for r in got) <= 1
+    assert all(len(r["tokens"]) == 65 for r in got if r["complete"]) and all(r["tokens"][0] == 7 for r in got)
+    assert sum(len(r["tokens"]) + r["cropped"] for r in got) == total == sum(r["pack_input"] for r in got)
+    assert sum(r["pack_skipped"] for r in got) == 2 and len({(r["pack_id"], r["row"]) for r in got}) == len(got)
+    one = P.pack_best_fit(df, seq_len=64, buffer_size=20, ids_per_pack=10**9).collect()
+    rows, *_ = P.pack_rows([np.array(d, np.int32) for d in docs], 65, 20)
+    assert [r["tokens"] for r in sorted(one, key=lambda r: r["row"])] == [r.tolist() for r in rows]
+    assert P.pack_best_fit(df.where("false")).count() == 0
+
+
+def test_epochs_are_replayed_in_place(spark):
+    df, docs = encoded(spark, 60)
+    total = sum(map(len, docs))
+    got = P.pack_best_fit(df, seq_len=64, buffer_size=20, ids_per_pack=10**9, epochs=3).collect()
+    rows, *_ = P.pack_rows([np.array(d, np.int32) for d in docs] * 3, 65, 20)
+    got.sort(key=lambda r: r["row"])
+    assert [r["tokens"] for r in got] == [r.tolist() for r in rows]
+    assert sum(r["pack_input"] for r in got) == 3 * total
+    assert {r["epoch"] for r in got} == {1, 2, 3}
+    wanted = P.pack_best_fit(df, seq_len=64, buffer_size=20, ids_per_pack=1000, rows_wanted=500)
+    rows = wanted.collect()
+    assert 500 <= len(rows) < 520 and all(len(r["tokens"]) == 65 for r in rows)
+    assert P.eval_rows(wanted, 10, 64, 500 * 64).count() == 500
+    assert P.pack_best_fit(df.where("ids IS NULL"), seq_len=64, rows_wanted=5).count() == 0
