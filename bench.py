@@ -21,13 +21,13 @@ HEADLINE = [
     "shard_stats",            # C2 (flagship)
     "filter_keywords_any",    # B9
     "bpe_pair_counts",        # C9
-    "train_bpe",              # H2: exact batched merges (vocab 384)
+    "train_bpe",              # H2: exact batched merges, all 8,192 entries
     "encode",                 # H5: Arrow-batched BPE encode with broadcast ranks
     "pack_best_fit",          # I3: best-fit packing per pack (applyInPandas)
     "bits_per_byte",          # C10
     "keep_decision",          # D7: skew-safe chunked prefix scan
     "rank_hits",              # D5: skew-safe dense ranking
-    "ema_loss",               # D11: halo-chunked EMA
+    "ema_loss",               # D11: affine maps composed over chunks
     "cumulative_train_time",  # D10
     "policy_match",           # G5: prefix-expansion equi-join
     "integrity_check",        # K1
