@@ -1,6 +1,7 @@
 """Audit, policy and integrity analytics.
 
-An audit log has one row per operation: ``session``, ``ts``, ``op``, ``path``, ``denied``."""
+An audit log has one row per operation: ``session``, ``ts``, ``op``, ``path``, ``denied``.  Session records
+are JSON objects with ``session`` and, if there were any, an array ``denials`` of objects with ``path``."""
 
 from __future__ import annotations
 
@@ -59,6 +60,22 @@ def audit_denials(log: DataFrame, keys: Sequence[str] = ("session",)) -> DataFra
     return den.unionByName(none)
 
 
+RECORD = "session BIGINT, denials ARRAY<STRUCT<path: STRING, op: STRING>>"
+
+
+def record_denials(records: DataFrame, record: str = "record", schema: str = RECORD, key: str = "session") -> DataFrame:
+    """K2 on nested records: denials per session and path, of all records of a session; a session
+    whose records have none (field absent, null or empty) gets one row with the text ``no denials
+    recorded``.  A record that is no JSON object, or has no session, counts for no session."""
+    parsed = records.select(F.from_json(record, schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    each = parsed.where(F.col(key).isNotNull()).select(key, F.explode_outer("denials").alias("d"))
+    count = each.groupBy(key, F.col("d.path").alias("path")).agg(F.count("d").alias("n"))
+    found = count.where("n > 0")
+    none = (count.where("n = 0").select(key).join(found.select(key).distinct(), key, "left_anti")
+            .select(key, F.lit(NO_DENIALS).alias("path"), F.lit(0).cast("long").alias("n")))
+    return found.unionByName(none)
+
+
 def recent_sessions(log: DataFrame, k: int = 5, keys: Sequence[str] = ("session",)) -> DataFrame:
     """The ``k`` most recent sessions by start time (a top-k report: the session table
     is aggregated first, one row per session)."""

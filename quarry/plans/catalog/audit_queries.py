@@ -44,6 +44,24 @@ def q_audit_denials(spark, sf_dir):
     return A.audit_denials(audit_log(spark, sf_dir))
 
 
+@register("record_denials", sql=W + """,
+d AS (SELECT session, path FROM audit WHERE denied
+      UNION ALL SELECT session, path || '.lock' FROM audit WHERE denied AND op_id % 3 = 0),
+den AS (SELECT session, path, CAST(count(*) AS BIGINT) AS n FROM d GROUP BY session, path)
+SELECT * FROM den
+UNION ALL
+SELECT DISTINCT session, 'no denials recorded', CAST(0 AS BIGINT) FROM audit WHERE session NOT IN (SELECT session FROM den)""")
+def q_record_denials(spark, sf_dir):
+    """K2 on session records as JSON: the records hold an array of one or two denials, an empty
+    one, or no such field."""
+    lock = F.struct(F.concat("path", F.lit(".lock")).alias("path"), F.lit("lock").alias("op"))
+    one = F.struct("path", "op")
+    denials = (F.when(F.col("denied") & (F.col("op_id") % 3 == 0), F.array(one, lock)).when(F.col("denied"), F.array(one))
+               .when(F.col("op_id") % 2 == 0, F.array().cast("array<struct<path:string,op:string>>")))
+    records = audit_log(spark, sf_dir).select(F.to_json(F.struct("session", denials.alias("denials"))).alias("record"))
+    return A.record_denials(records)
+
+
 @register("expected_denials", sql=W + """
 SELECT session, path, CAST(count(*) AS BIGINT) AS n, coalesce(regexp_matches(path, '^/proc/[0-9]+(/.*)?$'), false) AS expected
 FROM audit WHERE denied GROUP BY session, path""")

@@ -9,10 +9,11 @@ import os
 from pyspark.sql import functions as F
 
 from quarry.operators.corpus import shard_stats
-from quarry.operators.runlogs import parse_step_lines, scan_run_log
+from quarry.operators.runlogs import parse_step_lines, parse_summary, scan_run_log, tail_of_log
 from quarry.plans.catalog.corpus_queries import SHARD_SQL, _combine_sql, assigned_docs
 from quarry.plans.catalog.runlog_queries import W as STEP_W, step_lines
 from quarry.plans.registry import register
+from quarry.plans.standins import step_table
 from quarry.session import read_table
 from quarry.sources.shards import list_shards, scan_split, write_shards
 from quarry.sources.tabular import delimited_docs
@@ -80,6 +81,41 @@ def q_scan_run_log(spark, sf_dir):
     return parse_step_lines(lines).select("run", "step", "tok_sec", "epoch")
 
 
+def _written_logs(spark, lines, name: str):
+    """Lines ``run, at, line`` as text files, a run's in the order of ``at``; back with run and place."""
+    root = os.path.join(scratch_dir(spark, name), "logs")
+    (lines.repartitionByRange("run", "at").sortWithinPartitions("run", "at").select("run", "line")
+          .write.partitionBy("run").text(root))
+    back = scan_run_log(spark, root, places=True)
+    return back.withColumn("run", F.regexp_extract("run", r"run=([0-9]+)/", 1).cast("long"))
+
+
+@register("tail_log_lines", sql=STEP_W + """
+SELECT run, last - step + 1 AS from_end, step FROM (SELECT run, step, max(step) OVER (PARTITION BY run) AS last FROM steps)
+WHERE step > last - 50""")
+def q_tail_log_lines(spark, sf_dir):
+    """A15 + E4: the last 50 lines of every run's log file, by file, split and place; the empty lines
+    that the carriage return in front of a step line makes are none."""
+    lines = _written_logs(spark, step_lines(spark, sf_dir).withColumnRenamed("step", "at"), "tails")
+    tail = tail_of_log(lines.where("line <> ''"))
+    return parse_step_lines(tail, keys=["run", "from_end"]).select("run", "from_end", "step")
+
+
+@register("last_summary_block", sql=STEP_W + """
+SELECT run, CAST(max(step) + 1 AS DOUBLE) AS num_steps, round(max(loss), 6) AS val_bpb FROM steps GROUP BY run HAVING max(loss) IS NOT NULL""")
+def q_last_summary_block(spark, sf_dir):
+    """A15 + J2: log files with a summary block of an earlier attempt, step lines, and the run's own
+    block; the last block by place in the file counts."""
+    s = step_table(spark, sf_dir).groupBy("run").agg(F.max("step").alias("last"), F.max("loss").alias("loss")).where("loss IS NOT NULL")
+    block = lambda n, v: [F.lit("---"), F.format_string("num_steps:        %d", n), F.format_string("val_bpb:          %.6f", v)]
+    old = s.select("run", F.posexplode(F.array(*block(F.lit(99_999_999), F.col("loss") + 9))).alias("at", "line"))
+    new = s.select("run", F.posexplode(F.array(*block(F.col("last") + 1, F.col("loss")))).alias("at", "line"))
+    far = F.lit(1 << 40)
+    lines = old.withColumn("at", F.col("at") - far).unionByName(new.withColumn("at", F.col("at") + far))
+    lines = lines.unionByName(step_lines(spark, sf_dir).select("run", F.col("step").alias("at"), "line"))
+    return parse_summary(_written_logs(spark, lines, "summaries"), names=["num_steps", "val_bpb"], order="place")
+
+
 @register("scan_experiment_log", sql=__import__("quarry.plans.catalog.experiment_queries",
                                                fromlist=["W"]).W + "SELECT * FROM log")
 def q_scan_experiment_log(spark, sf_dir):
