@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
 
 MAX_VOCAB = 1_000_000
 
@@ -29,19 +30,19 @@ def bits_per_byte(scored: DataFrame, vocab: DataFrame, keys: Sequence[str] = (),
     return agg.withColumn("bpb", F.try_divide("total_nats", F.lit(math.log(2)) * F.col("total_bytes")))
 
 
-def unigram_bpb(train_units: DataFrame, val_units: DataFrame, unit: str = "piece") -> DataFrame:
-    """A stand-in scorer when no model is at hand: add-one unigram losses learnt on the
-    train units, ``nll = -ln((c + 1) / (N + V + 1))``, scored on the validation units, bytes
-    = UTF-8 length.  Both sides are aggregated per unit before the join, so a frequent unit
-    is one row on each side (no skewed join key)."""
-    tc = train_units.groupBy(unit).agg(F.count(F.lit(1)).alias("c"))
-    tot = tc.agg(F.sum("c").alias("N"), F.count(F.lit(1)).alias("V")).first()   # two scalars
+def unigram_bpb(units: DataFrame, unit: str = "piece", split: str = "split") -> DataFrame:
+    """A stand-in scorer when no model is at hand: add-one unigram losses learnt on the units of
+    the split ``train``, ``nll = -ln((c + 1) / (N + V + 1))``, scored on those of ``val``, bytes = UTF-8
+    length.  One aggregate counts a unit in both splits, so the text is read once and a frequent
+    unit is one row; the counts, a row a distinct unit, are written for the two steps that use them."""
+    of = lambda name: F.count_if(F.col(split) == name)
+    counts = cut_lineage(units.groupBy(unit).agg(of("train").alias("c"), of("val").alias("m")), "unit-counts")
+    tot = counts.agg(F.sum("c").alias("N"), F.count_if(F.col("c") > 0).alias("V")).first()   # two scalars
     n_train, n_types = int(tot["N"] or 0), int(tot["V"] or 0)
-    vc = val_units.groupBy(unit).agg(F.count(F.lit(1)).alias("m"))
-    j = vc.join(tc, unit, "left")
-    nll = -F.log((F.coalesce(F.col("c"), F.lit(0)) + 1) / F.lit(float(n_train + n_types + 1)))
+    nll = -F.log((F.col("c") + 1) / F.lit(float(n_train + n_types + 1)))
     nbytes = F.octet_length(unit)
-    agg = j.agg(F.sum(F.when(nbytes > 0, F.col("m") * nll).otherwise(F.lit(0.0))).alias("total_nats"),
-                F.sum(F.col("m") * nbytes).cast("long").alias("total_bytes"),
-                F.sum("m").cast("long").alias("n_tokens"))
+    agg = counts.where("m > 0").agg(
+        F.sum(F.when(nbytes > 0, F.col("m") * nll).otherwise(F.lit(0.0))).alias("total_nats"),
+        F.sum(F.col("m") * nbytes).cast("long").alias("total_bytes"),
+        F.sum("m").cast("long").alias("n_tokens"))
     return agg.withColumn("bpb", F.try_divide("total_nats", F.lit(math.log(2)) * F.col("total_bytes")))

@@ -236,7 +236,7 @@ def q_bits_per_byte(spark, sf_dir):
     from quarry.plans.catalog.corpus_queries import assigned_docs
     a = assigned_docs(spark, sf_dir).select("split", normalize_ws("text").alias("text"))
     ex = a.select("split", F.explode(pieces_expr("text")).alias("piece"))
-    return metrics.unigram_bpb(ex.where(F.col("split") == "train"), ex.where(F.col("split") == "val"))
+    return metrics.unigram_bpb(ex)
 
 
 # --------------------------------------------------------------------------- conservation
