@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.constants import DOCS_PER_SHARD
+
 SPLITS = ("train", "val")
 
 
@@ -34,13 +36,15 @@ def list_shards(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_shards(assigned: DataFrame, root: str, mode: str = "errorifexists",
-                 columns: tuple[str, ...] = ("text",), observe: tuple = ()) -> None:
-    """One directory per (split, shard).  Rows are range-partitioned by their index, so every
-    task writes a contiguous run of shards (one file a shard, but where a range cuts it) and the
-    large validation shard is written by many tasks in parallel.  ``observe`` (an Observation and
-    its aggregates) counts the rows as they are written."""
-    rows = (assigned.select(*columns, "split", "shard", "idx").repartitionByRange("idx")
-                    .sortWithinPartitions("split", "shard", "idx"))
+                 columns: tuple[str, ...] = ("text",), observe: tuple = (), docs_per_file: int = DOCS_PER_SHARD) -> None:
+    """One directory per (split, shard).  A train shard is one file: its rows go to one task,
+    which holds one shard after the other.  The validation shard may be of any size, so it is cut by
+    its index into files of ``docs_per_file`` rows, which are dealt to all tasks.  ``observe`` (an
+    Observation and its aggregates) counts the rows as they are written."""
+    rows = assigned.select(*columns, "split", "shard", "idx")
+    tasks = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    part = F.when(F.col("split") == "val", F.floor(F.col("idx") / F.lit(docs_per_file))).otherwise(F.col("shard"))
+    rows = rows.repartitionById(tasks, F.pmod(part, F.lit(tasks)).cast("int")).sortWithinPartitions("split", "shard", "idx")
     rows = rows.observe(*observe) if observe else rows
     (rows.drop("idx").write.mode(mode).partitionBy("split", "shard").parquet(root))
 

@@ -101,3 +101,20 @@ def test_results_log_in_many_files_and_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [(r["run"], r["idx"], r["commit"], r["description"]) for r in got] == [(7, i, c, "note") for i, c in enumerate(want)]
+
+
+def test_a_train_shard_is_one_file(spark, tmp_path):
+    """Whatever the ranges and partitions; the validation shard is spread over tasks."""
+    from quarry.operators.corpus import shard_assignment
+    from quarry.sources.shards import list_shards, scan_split, write_shards
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(7)
+    root = str(tmp_path / "corpus")
+    assigned = shard_assignment(docs, fraction=0.5, docs_per_shard=100)
+    write_shards(assigned, root, columns=("doc_id", "text"), docs_per_file=400)
+    files = [r["file_path"].split("corpus/")[1].rsplit("/", 1)[0] for r in list_shards(spark, root).collect()]
+    train = [f for f in files if "split=train" in f]
+    assert sorted(train) == sorted({f"split=train/shard={i}" for i in range(15)})
+    assert 1 < sum("split=val" in f for f in files) <= 4
+    assert scan_split(spark, root, "train").count() == 1500 == scan_split(spark, root, "val").count()
+    stored = {(r["shard"], r["doc_id"]) for r in scan_split(spark, root, "train").collect()}
+    assert stored == {(r["shard"], r["doc_id"]) for r in assigned.where("split = 'train'").collect()}
