@@ -143,8 +143,10 @@ def monitor_transform(steps: DataFrame, beta: float = EMA_BETA, limit: float = L
 
 
 def _batch_sink(out: str):
+    """Each batch has a folder ``batch_id=…`` of its own, which a repeated batch replaces: rows of a
+    batch that is tried again after a failure are not doubled."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
     return write
 
 

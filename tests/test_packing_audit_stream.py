@@ -102,3 +102,29 @@ def test_epochs_are_replayed_in_place(spark):
     assert 500 <= len(rows) < 520 and all(len(r["tokens"]) == 65 for r in rows)
     assert P.eval_rows(wanted, 10, 64, 500 * 64).count() == 500
     assert P.pack_best_fit(df.where("ids IS NULL"), seq_len=64, rows_wanted=5).count() == 0
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    """A batch tried again, with other rows even, stands once; a replay after the loss of its commit too."""
+    import os
+    from quarry.streaming import jobs
+    out = str(tmp_path / "sink")
+    write = jobs._batch_sink(out)
+    rows = lambda *v: spark.createDataFrame([(x, 1.0 * x) for x in v], "run long, best_bpb double")
+    write(rows(1, 2), 0)
+    write(rows(1), 1)
+    write(rows(1, 3), 1)
+    got = sorted((r["run"], r["batch_id"]) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 0), (1, 1), (2, 0), (3, 1)]
+
+    src, out, ckpt = (str(tmp_path / x) for x in ("src", "out", "ckpt"))
+    log = spark.createDataFrame([(1, "KEEP", 0.9), (1, "KEEP", 0.8), (2, "DISCARD", 0.1), (2, "KEEP", 0.7)],
+                                "run long, status string, val_bpb double").coalesce(1)
+    log.write.parquet(src)
+    for _ in range(2):
+        jobs.stream_running_best(spark, src, log.schema, out, ckpt)
+        got = sorted(tuple(r)[:3] for r in spark.read.parquet(out).collect())
+        assert got == [(1, 0.8, 2), (2, 0.7, 1)]
+        for name in os.listdir(f"{ckpt}/commits"):
+            if name.strip(".").split(".")[0] == "0":
+                os.remove(f"{ckpt}/commits/{name}")          # as if the driver died before the commit
