@@ -37,7 +37,7 @@ QUERY_VOCAB = VOCAB_SIZE   # 256 bytes + 7,932 merges + 4 specials
 PACK_T = MAX_SEQ_LEN       # rows of T + 1 = 2049 ids, as the reference packs
 PACK_BUFFER_DOCS = 1000
 BATCH = 16                 # the reference's device batch
-# One training per session, table version and size.
+# One training per process, table version and size.
 _TOKENIZERS: dict[tuple, bpe.Tokenizer] = {}
 
 
@@ -59,9 +59,10 @@ def table_version(spark, path: str) -> tuple:
 
 
 def tokenizer(spark, sf_dir, vocab: int = QUERY_VOCAB) -> bpe.Tokenizer:
-    """H2 on the training split (whole texts), trained once per session and version of the table;
-    the merge list is bounded by the vocabulary size.  An empty split stops the job."""
-    key = (spark.sparkContext.applicationId, vocab, table_version(spark, table_path(sf_dir, "documents")))
+    """H2 on the training split (whole texts), trained once per process and version of the table;
+    the merge list, which needs no session, is bounded by the vocabulary size.  An empty split stops
+    the job."""
+    key = (vocab, table_version(spark, table_path(sf_dir, "documents")))
     if key not in _TOKENIZERS:
         train, _ = train_split(spark, sf_dir)
         if train.limit(1).count() == 0:
