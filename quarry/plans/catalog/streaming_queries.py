@@ -5,11 +5,13 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql.types import StringType, StructField, StructType
+
 from quarry.plans.catalog.experiment_queries import W as LOG_W
 from quarry.plans.catalog.runlog_queries import W as STEP_W
 from quarry.plans.registry import register
 from quarry.plans.standins import experiment_log, step_table
-from quarry.session import read_table, table_path
+from quarry.session import is_folder, read_table, table_path
 from quarry.streaming import jobs
 
 
@@ -20,11 +22,13 @@ SELECT doc_id, text, lang, source, n_chars,
 FROM documents WHERE length(text) > 100""")
 def q_stream_ingest(spark, sf_dir):
     """L1 + L2: the documents file streamed through the length filter and hash split."""
-    schema = read_table(spark, sf_dir, "documents").schema
+    path, schema = table_path(sf_dir, "documents"), read_table(spark, sf_dir, "documents").schema
     base = jobs.scratch_dir(spark, "ingest")
-    jobs.stream_ingest(spark, sf_dir, schema, os.path.join(base, "out"), os.path.join(base, "ckpt"),
-                       glob=os.path.basename(table_path(sf_dir, "documents")))
-    return spark.read.parquet(os.path.join(base, "out"))
+    # A table is a file of ``sf_dir`` or a folder of files, whose names the glob would have to match.
+    source, glob = (path, None) if is_folder(spark, path) else (sf_dir, os.path.basename(path))
+    jobs.stream_ingest(spark, source, schema, os.path.join(base, "out"), os.path.join(base, "ckpt"), glob=glob)
+    split = StructType([*schema.fields, StructField("split", StringType())])
+    return spark.read.schema(split).parquet(os.path.join(base, "out"))      # a sink may hold no row
 
 
 def _materialize(df, spark, name):
