@@ -149,12 +149,8 @@ def load_model(spark: SparkSession, path: str, pattern: str) -> Broadcast:
     return spark.sparkContext.broadcast(build_model(read_ranks(path), pattern))
 
 
-def encode(docs: DataFrame, model: Broadcast, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key, token_ids`` for every row of ``docs``; other columns are left behind, so none can
-    clash.  A null or empty text has no ids; repeated rows and null keys stay as they are; a very
-    long text is one row, encoded whole.  Without rows the result has none."""
-    kind = docs.schema[key].dataType.simpleString()
-
+def _encoding(model: Broadcast, key: str):
+    """Batches of ``_key, _text`` → batches of ``key, token_ids``."""
     def run(batches):
         enc = coder(Encoder, model)
         for b in slices(batches, "_text"):
@@ -163,18 +159,11 @@ def encode(docs: DataFrame, model: Broadcast, text: str = "text", key: str = "do
             yield pa.RecordBatch.from_arrays(
                 [b.column("_key"), list_array([len(x) // 4 for x in found], values)], [key, "token_ids"])
         enc.forget()
-
-    return map_arrow(
-        docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")), run, f"`{key}` {kind}, token_ids array<int>")
+    return run
 
 
-def decode(tokens: DataFrame, model: Broadcast, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
-    """Adds the bytes that ``ids`` decode to (``out`` replaces a column of that name).
-    Null ids decode to no bytes."""
-    keep = [c for c in tokens.columns if c != out]
-    src = tokens.select(*keep)
-    schema = T.StructType([*src.schema.fields, T.StructField(out, T.BinaryType())])
-
+def _decoding(model: Broadcast, keep: list[str], ids: str, out: str):
+    """Batches of ``keep`` → the same with the bytes ``out`` of their ``ids``."""
     def run(batches):
         dec = coder(Decoder, model)
         for batch in batches:
@@ -184,8 +173,37 @@ def decode(tokens: DataFrame, model: Broadcast, ids: str = "token_ids", out: str
                 values, offs = col.values.to_numpy(zero_copy_only=False), col.offsets.to_numpy()
                 raw = [dec.decode(values[s:e].tolist()) for s, e in zip(offs[:-1], offs[1:])]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.binary())], [*keep, out])
+    return run
+
+
+def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
+    return docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
+
 
-    return map_arrow(src, run, schema)
+def encode(docs: DataFrame, model: Broadcast, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``key, token_ids`` for every row of ``docs``; other columns are left behind, so none can
+    clash.  A null or empty text has no ids; repeated rows and null keys stay as they are; a very
+    long text is one row, encoded whole.  Without rows the result has none."""
+    kind = docs.schema[key].dataType.simpleString()
+    return map_arrow(_keyed(docs, text, key), _encoding(model, key), f"`{key}` {kind}, token_ids array<int>")
+
+
+def decode(tokens: DataFrame, model: Broadcast, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
+    """Adds the bytes that ``ids`` decode to (``out`` replaces a column of that name).
+    Null ids decode to no bytes."""
+    keep = [c for c in tokens.columns if c != out]
+    src = tokens.select(*keep)
+    schema = T.StructType([*src.schema.fields, T.StructField(out, T.BinaryType())])
+    return map_arrow(src, _decoding(model, keep, ids, out), schema)
+
+
+def encode_and_decode(docs: DataFrame, model: Broadcast, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``decode(encode(docs))`` with both steps of a row in one Python worker: one after the other they hold two
+    workers a core at once, each with a model."""
+    kind = docs.schema[key].dataType.simpleString()
+    encoding, decoding = _encoding(model, key), _decoding(model, [key, "token_ids"], "token_ids", "decoded")
+    return map_arrow(_keyed(docs, text, key), lambda batches: decoding(encoding(batches)),
+                     f"`{key}` {kind}, token_ids array<int>, decoded binary")
 
 
 def digests(tokens: DataFrame, *more: str) -> DataFrame:

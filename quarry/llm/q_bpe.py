@@ -14,5 +14,4 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded; digests of the ids and of the decoded bytes."""
     model = bpe.load_model(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    tokens = bpe.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), model)
-    return bpe.digests(bpe.decode(tokens, model))
+    return bpe.digests(bpe.encode_and_decode(read_table(spark, sf_dir, "documents", "doc_id", "text"), model))
