@@ -353,13 +353,13 @@ def calibrate(net: TextCnn, rows: DataFrame) -> None:
     if not n or not 0 < toxic < n:
         return
     std, a, b = max(std, 1e-6), 1.0, 0.0
-    zs = (F.col("z") - mean) / std
     y = F.when(F.col("y") == 1, (toxic + 1) / (toxic + 2)).otherwise(1 / (n - toxic + 2))      # smoothed targets
+    aims = z.select(((F.col("z") - mean) / std).alias("zs"), y.alias("t"))
     probability = lambda t: 1 / (1 + F.exp(-F.greatest(F.lit(-50.0), F.least(F.lit(50.0), t))))
     for _ in range(100):                                               # Newton on two numbers
-        p = probability(a * zs + b)
-        r, w = p - y, p * (1 - p) + 1e-9
-        g0, g1, h00, h01, h11 = z.agg(F.sum(r * zs), F.sum(r), F.sum(w * zs * zs), F.sum(w * zs), F.sum(w)).first()
+        p, zs, r, w = map(F.col, ("p", "zs", "r", "w"))
+        at = aims.select("zs", "t", probability(a * zs + b).alias("p")).select("zs", (p - F.col("t")).alias("r"), (p * (1 - p) + 1e-9).alias("w"))
+        g0, g1, h00, h01, h11 = at.agg(F.sum(r * zs), F.sum(r), F.sum(w * zs * zs), F.sum(w * zs), F.sum(w)).first()
         move = np.linalg.solve(np.array([[h00 + 1e-6, h01], [h01, h11 + 1e-6]]), np.array([g0, g1]))
         move *= min(1, 2 / max(np.abs(move).max(), 1e-9))
         a, b = a - float(move[0]), b - float(move[1])

@@ -232,3 +232,18 @@ def test_rows_of_one_id_with_different_texts(spark):
     kept = sorted(((x["doc_id"], x["text"]) for x in N.one_of_each_class(df).collect()), key=str)
     assert kept == sorted([(1, a), (1, b), (4, c), (None, a), (5, None), (6, "")], key=str)
     assert N.one_of_each_class(df).columns == df.columns
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    """Pipeline, memory of the driver: rounds end when all components are stars, and none confirms it."""
+    from quarry.llm import components as C
+    tables = []
+    monkeypatch.setattr(C, "written", lambda df, name: tables.append(name) or df.localCheckpoint())
+    stars = spark.createDataFrame([(1, 5), (1, 6), (7, 1), (20, 10), (3, 3), (None, 1)], "a bigint, b bigint")
+    got = {x["node"]: x["label"] for x in components(stars, "a", "b").collect()}
+    assert got == {1: 1, 5: 1, 6: 1, 7: 1, 10: 10, 20: 10} and len(tables) == 1
+    tables.clear()
+    centre_last = spark.createDataFrame([(9, i) for i in range(9)], "a bigint, b bigint")
+    assert {x["label"] for x in components(centre_last, "a", "b").collect()} == {0} and len(tables) == 2
+    tables.clear()
+    assert components(stars.where("false"), "a", "b").count() == 0 and len(tables) == 1
