@@ -40,6 +40,8 @@ EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 CACHED_WORDS = 150_000
 BLOCK = 1 << 15                        # words whose responses are held at once
 FEATURED = 20_000                      # words of the sample whose grams are hashed at once
+NUMBERS_A_PART = 1 << 12               # of a task's change, which is summed by parts
+CHANGE = ["part", "n", "change"]
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -268,7 +270,9 @@ def train(docs: Iterable[str], labels: np.ndarray, seed: int = 7) -> TextCnn:
 
 def train_round(rows: DataFrame, learner: Learner, seed: int = 7) -> int:
     """``learner`` goes on over all ``rows`` (``_text``, ``y``): every task over its own, in steps of ``BATCH``;
-    the changes, each weighted by its rows, are summed in a tree and averaged.  Returns the rows read."""
+    the changes, each weighted by its rows, are summed and averaged.  Returns the rows read.  A change goes out in
+    parts, and the tasks after a shuffle sum the parts of one place: no task holds more than its own change, no
+    core two Python workers, and the driver gets one change, however many tasks there are."""
     model = rows.sparkSession.sparkContext.broadcast((learner.net, learner.squares))
 
     def run(batches):
@@ -285,13 +289,28 @@ def train_round(rows: DataFrame, learner: Learner, seed: int = 7) -> int:
                 own.learn([parts[i] for i in pick], y[pick], flat, ends)
             n += len(parts)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([((own.state() - before) * n).tobytes()])], ["n", "change"])
-
-    changes = map_arrow(rows.select("_text", "y"), run, "n long, change binary").rdd
-    n, total = changes.treeAggregate((0, 0.0), lambda a, r: (a[0] + r["n"], a[1] + np.frombuffer(r["change"])),
-                                     lambda a, b: (a[0] + b[0], a[1] + b[1]), depth=4)
-    if n:
-        learner.restore(learner.state() + total / n)
+            change = (own.state() - before) * n
+            parts = [change[at:at + NUMBERS_A_PART].tobytes() for at in range(0, len(change), NUMBERS_A_PART)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([n] * len(parts), pa.int64()),
+                                              pa.array(parts, pa.binary())], CHANGE)
+
+    def total(batches):
+        found = {}
+        for b in batches:
+            for part, m, x in zip(*(c.to_pylist() for c in b.columns)):
+                rows, numbers = found.get(part, (0, 0.0))
+                found[part] = rows + m, numbers + np.frombuffer(x)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([m for m, _ in found.values()], pa.int64()),
+                                              pa.array([x.tobytes() for _, x in found.values()], pa.binary())], CHANGE)
+
+    kinds = "part int, n long, change binary"
+    changes = map_arrow(rows.select("_text", "y"), run, kinds).repartition("part")
+    sums = sorted(tuple(r) for r in map_arrow(changes, total, kinds).collect())
+    if not sums:
+        return 0
+    n = sums[0][1]
+    learner.restore(learner.state() + np.concatenate([np.frombuffer(x) for _, _, x in sums]) / n)
     return n
 
 

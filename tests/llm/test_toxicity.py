@@ -102,3 +102,34 @@ def test_winners_are_first_largest_positions():
     top, wins = X._winners(h, starts, size)
     for t, (a, n) in enumerate(zip(starts, size)):
         assert (top[t] == h[a:a + n].max(0)).all() and (wins[t] == a + h[a:a + n].argmax(0)).all()
+
+
+def test_a_round_averages_the_tasks_changes(spark):
+    """The sum by parts is that of the tasks' whole changes, and none of them goes through the RDD interface's workers."""
+    words = ["zzvile", "abode", "decode", "code", "bead"]
+    docs = [(" ".join(words[(i + j) % 5] for j in range(6 + i % 3)), i % 2) for i in range(300)]
+    learner = X.start([t for t, _ in docs[:100]], np.array([y for _, y in docs[:100]], np.float32))
+    before, net = learner.state(), learner.net
+    rows = spark.createDataFrame(docs, "_text string, y int").repartition(3).cache()
+    want, n = 0.0, 0
+    for part in rows.rdd.glom().collect():
+        own = X.Learner(X.copy.deepcopy(net), X.copy.deepcopy(learner.squares))
+        vocab = X.Vocabulary()
+        parts = [X._tokens(r["_text"], vocab) for r in part]
+        flat, ends = X._vocabulary_features(vocab.new)
+        order, y = np.random.default_rng(7).permutation(len(parts)), np.array([r["y"] for r in part], "f4")
+        for at in range(0, len(order), X.BATCH):
+            own.learn([parts[i] for i in order[at:at + X.BATCH]], y[order[at:at + X.BATCH]], flat, ends)
+        want, n = want + (own.state() - before) * len(part), n + len(part)
+    assert X.train_round(rows, learner) == n == 300
+    assert np.allclose(learner.state(), before + want / n, rtol=1e-5, atol=1e-7) and np.any(learner.state() != before)
+    assert X.train_round(rows.where("false"), learner) == 0
+
+
+def test_a_round_never_holds_two_python_workers_a_core(spark, monkeypatch):
+    """The changes are summed behind a shuffle: an RDD of Python's own would read them beside the training worker."""
+    from pyspark import RDD
+    learner = X.start(["zzvile abode"] * 8, np.arange(8, dtype="f4") % 2)
+    rows = spark.createDataFrame([("zzvile code", i % 2) for i in range(20)], "_text string, y int")
+    monkeypatch.setattr(RDD, "treeAggregate", lambda *a, **b: pytest.fail("an RDD's workers sum the changes"))
+    assert X.train_round(rows, learner) == 20
